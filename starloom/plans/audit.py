@@ -8,13 +8,37 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import parse_date
 from starloom.functions.numbers import to_number
 from starloom.functions.text import match_key
+from starloom.operators import clients as client_rules
 from starloom.operators.lookup import checked_broadcast
 from starloom.operators.orders import latest_orders
-from starloom.settings import STATUS_CODES
+from starloom.settings import STATUS_CODES, UNKNOWN_CITY, UNKNOWN_SEX, Settings
+
+
+def rule_audit(
+    orders: DataFrame, clients: DataFrame, products: DataFrame, lookup: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """(source, regle, avant, apres, supprimees, detail) for every rule of the three sources."""
+    return (
+        order_rule_audit(orders, lookup)
+        .unionByName(client_rule_audit(clients, lookup, settings))
+        .unionByName(product_rule_audit(products))
+    )
+
+
+def _line(source: str, rule: str, before: str, after: str, detail: str | None = None) -> Column:
+    return F.struct(
+        F.lit(source).alias("source"), F.lit(rule).alias("regle"), F.col(before).alias("avant"),
+        F.col(after).alias("apres"), (F.col(before) - F.col(after)).alias("supprimees"),
+        (F.col(detail) if detail else F.lit(0).cast("bigint")).alias("detail"),
+    )
+
+
+def _raw_count(raw: DataFrame) -> DataFrame:
+    return F.broadcast(raw.agg(F.count("*").alias("n0")))  # one row
 
 
 def order_rule_audit(raw: DataFrame, lookup: DataFrame) -> DataFrame:
-    """(regle, avant, apres, supprimees, detail) per order rule.
+    """Counts per order rule.
 
     The rules only drop rows on their own columns, so one pass over the latest
     lines counts them all; the raw count is one more, over no columns.
@@ -44,23 +68,59 @@ def order_rule_audit(raw: DataFrame, lookup: DataFrame) -> DataFrame:
         F.count_if(F.col("d") & F.col("ville")).alias("villes"),
         F.count_if(F.col("d") & F.col("statut")).alias("statuts"),
         F.count_if(F.col("p") & F.col("livreur")).alias("livreurs"),
-    ).crossJoin(F.broadcast(raw.agg(F.count("*").alias("n0"))))  # one row each
+        F.count_if(~F.col("d")).alias("dates"),
+    ).crossJoin(_raw_count(raw))
+    source = "commandes"
+    lines = F.array(
+        _line(source, "R1", "n0", "n1"),
+        _line(source, "R2", "n1", "n2", "dates"),
+        _line(source, "R3", "n2", "n2", "villes"),
+        _line(source, "R4", "n2", "n2", "statuts"),
+        _line(source, "R5", "n2", "n5"),
+        _line(source, "R6", "n5", "n6"),
+        _line(source, "R7", "n6", "n6", "livreurs"),
+    )
+    return totals.select(F.inline(lines))
 
-    def line(rule: str, before: str, after: str, detail: Column) -> Column:
-        return F.struct(
-            F.lit(rule).alias("regle"), F.col(before).alias("avant"), F.col(after).alias("apres"),
-            (F.col(before) - F.col(after)).alias("supprimees"), detail.alias("detail"),
-        )
 
-    none = F.lit(0).cast("bigint")
+def client_rule_audit(raw: DataFrame, lookup: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The same for the client rules, on the cleaned clients."""
+    born = parse_date(F.col("date_naissance")).isNotNull()
+    kept = raw.transform(client_rules.latest_by_email).withColumn("_ne", born)
+    cleaned = (
+        kept.transform(client_rules.standardize_sex)
+        .transform(client_rules.validate_birth_date, settings)
+        .transform(client_rules.validate_email)
+        .transform(client_rules.standardize_home_city, lookup)
+    )
+    totals = cleaned.agg(
+        F.count("*").alias("n1"),
+        F.count_if(F.col("sexe") == UNKNOWN_SEX).alias("sexes"),
+        F.count_if(F.col("_ne") & F.col("date_naissance").isNull()).alias("ages"),
+        F.count_if(F.col("email").isNull()).alias("emails"),
+        F.count_if(F.col("ville") == UNKNOWN_CITY).alias("villes"),
+    ).crossJoin(_raw_count(raw))
+    source = "clients"
+    lines = F.array(
+        _line(source, "R1", "n0", "n1"),
+        _line(source, "R2", "n1", "n1", "sexes"),
+        _line(source, "R3", "n1", "n1", "ages"),
+        _line(source, "R4", "n1", "n1", "emails"),
+        _line(source, "R5", "n1", "n1", "villes"),
+    )
+    return totals.select(F.inline(lines))
+
+
+def product_rule_audit(raw: DataFrame) -> DataFrame:
+    """The product rules drop nothing: unknown prices and inactive products are counted."""
+    totals = raw.agg(
+        F.count("*").alias("n"),
+        F.count_if(to_number(F.col("prix_catalogue")).isNull()).alias("prix"),
+        F.count_if(~F.col("actif")).alias("inactifs"),
+    )
+    source = "produits"
     lines = F.array(
-        line("R1", "n0", "n1", none),
-        line("R2", "n1", "n2", F.col("n1") - F.col("n2")),
-        line("R3", "n2", "n2", F.col("villes")),
-        line("R4", "n2", "n2", F.col("statuts")),
-        line("R5", "n2", "n5", none),
-        line("R6", "n5", "n6", none),
-        line("R7", "n6", "n6", F.col("livreurs")),
+        _line(source, "R1", "n", "n"), _line(source, "R2", "n", "n", "prix"), _line(source, "R3", "n", "n", "inactifs")
     )
     return totals.select(F.inline(lines))
 

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 def write_csv(df: DataFrame, table: str, folder: str) -> str:
     """Write one table as a folder of CSV files with headers; returns the path."""
     path = f"{folder.rstrip('/')}/{table}"
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("encoding", "UTF-8")
+        .option("ignoreLeadingWhiteSpace", False)  # writers trim cells by default
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 
