@@ -15,7 +15,7 @@ from starloom.operators.orders import clean_orders
 from starloom.operators.products import clean_products
 from starloom.operators.segments import client_segments
 from starloom.plans import dimensions, facts, reports
-from starloom.session import scratch_path, stage
+from starloom.session import scratch_path, side_by_side, stage
 from starloom.settings import Settings
 from starloom.sinks.tables import publish_csv, replace_table
 from starloom.sinks.upsert import upsert_facts
@@ -60,19 +60,23 @@ class Warehouse:
 
     @cached_property
     def dimensions(self) -> dict[str, DataFrame]:
-        built = {
-            "dim_temps": dimensions.calendar_dimension(self.spark, self.settings),
-            "dim_produit": dimensions.product_dimension(self.products, self.settings),
-            "dim_region": dimensions.region_dimension(self.regions, self.settings),
-            "dim_client": dimensions.client_dimension(self.clients, self.segments, self.regions, self.settings),
-            "dim_livreur": dimensions.courier_dimension(self.orders),
+        """The five dimensions. They do not depend on each other, so their jobs overlap."""
+        self.orders, self.regions  # noqa: B018  built first, since several dimensions read them
+        build = {
+            "dim_temps": lambda: dimensions.calendar_dimension(self.spark, self.settings),
+            "dim_produit": lambda: dimensions.product_dimension(self.products, self.settings),
+            "dim_region": lambda: dimensions.region_dimension(self.regions, self.settings),
+            "dim_client": lambda: dimensions.client_dimension(self.clients, self.segments, self.regions, self.settings),
+            "dim_livreur": lambda: dimensions.courier_dimension(self.orders),
         }
-        return {name: stage(df, name) for name, df in built.items()}
+        return side_by_side(
+            self.spark, {name: lambda n=name, f=table: stage(f(), n) for name, table in build.items()}
+        )
 
     @cached_property
     def rows(self) -> dict[str, int]:
         """Counted sizes of the dimensions, from the Parquet footers."""
-        return {name: df.count() for name, df in self.dimensions.items()}
+        return side_by_side(self.spark, {name: df.count for name, df in self.dimensions.items()})
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -104,19 +108,26 @@ class Warehouse:
     def load_tables(self, folder: str, loaded_at: datetime) -> dict[str, str]:
         """Replace the dimensions, then upsert the fact, then check the stored tables."""
         root = folder.rstrip("/")
-        paths = {name: replace_table(df, f"{root}/{name}") for name, df in self.dimensions.items()}
+        paths = side_by_side(
+            self.spark,
+            {n: lambda n=n, df=df: replace_table(df, f"{root}/{n}") for n, df in self.dimensions.items()},
+        )
         paths["fait_ventes"] = f"{root}/fait_ventes"
-        upsert_facts(self.fact, paths["fait_ventes"], loaded_at)
+        upsert_facts(self.fact, paths["fait_ventes"], loaded_at, staged=True)
         quality.require(quality.check_star(stored_star(self.spark, root), quality.WAREHOUSE_RULES, skip_empty=True))
         return paths
 
     def refresh_reports(self, folder: str) -> dict[str, str]:
         """Recompute the four reporting tables and overwrite them."""
         root = folder.rstrip("/")
-        return {
-            name: replace_table(build(self.star, self.rows, self.settings), f"{root}/{name}")
-            for name, build in reports.REPORTS.items()
-        }
+        star, rows = self.star, self.rows
+        return side_by_side(
+            self.spark,
+            {
+                n: lambda n=n, build=build: replace_table(build(star, rows, self.settings), f"{root}/{n}")
+                for n, build in reports.REPORTS.items()
+            },
+        )
 
 
 def stored_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

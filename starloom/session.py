@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,3 +60,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, work: dict[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Run independent jobs at the same time, so that small ones share the executors."""
+    with ThreadPoolExecutor(max_workers=max(1, len(work))) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in work.items()}
+        return {name: future.result() for name, future in started.items()}

@@ -27,17 +27,20 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime) -> None:
+def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool = False) -> None:
     """Insert unseen order lines, overwrite known ones in all batch columns, keep the rest.
 
     Only the month partitions that hold a batch key, before or after, are
     rewritten. The merged rows are staged first, so nothing reads what is being
     written, and a run that died half way is repaired by running it again: rows
     are looked for wherever they now are. A known line keeps its load time.
+
+    The batch is read several times: it is staged first, unless the caller says
+    that it already comes from a staged table.
     """
     spark = batch.sparkSession
     dated = schemas.conform(batch, "fait_ventes").withColumn(MONTH, F.floor(F.col("id_date") / 100).cast("int"))
-    incoming = stage(dated, "lot")
+    incoming = dated if staged else stage(dated, "lot")
     _refuse_duplicates(incoming)
 
     stored = read_stored(spark, path)

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom.schemas import ARRIVAL
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
 
 class RetailTables:
     """Source set over one folder of Parquet tables."""
@@ -20,10 +23,21 @@ class RetailTables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A benchmark table; its schema is read from a file footer once per session."""
+        path = f"{self.folder}/{name}.parquet"
+        known = _schemas.get((self.spark.sparkContext.applicationId, path))
+        if known is not None:
+            return self.spark.read.schema(known).parquet(path)
+        df = self.spark.read.parquet(path)
+        _schemas[self.spark.sparkContext.applicationId, path] = df.schema
+        return df
 
     def orders(self) -> DataFrame:
-        """One raw row per order line. Joined small to large, each join on its own key."""
+        """One raw row per order line. Joined small to large, each join on its own key.
+
+        Lines and order heads both grow with the data, so they always meet by a
+        shuffle that can spill; Spark would broadcast them where files compress well.
+        """
         cities = self.table("nation").select("n_nationkey", "n_name")
         buyers = (
             self.table("customer")
@@ -37,7 +51,7 @@ class RetailTables:
             .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
             .withColumn("jour", F.expr("add_months(cast(o_orderdate as date), 300)"))
         )
-        lines = self.table("lineitem").join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self.table("lineitem").join(heads.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         return lines.select(
             F.expr("concat('ORD', l_orderkey, '-', l_linenumber)").alias("id_commande"),
             F.expr("concat('C', o_custkey)").alias("id_client"),
