@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,18 +14,19 @@ HOT_SHARE = 0.001
 SPREAD = 4096
 
 
-def checked_broadcast(df: DataFrame, limit: int = Settings.broadcast_rows) -> DataFrame:
-    """Mark df for broadcast if a count, cut off just above the limit, proves it small."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def checked_broadcast(df: DataFrame, limit: int = Settings.broadcast_rows, rows: int | None = None) -> DataFrame:
+    """Mark df for broadcast if its rows, known or counted up to just above the limit, prove it small."""
+    size = df.limit(limit + 1).count() if rows is None else rows
+    return F.broadcast(df) if size <= limit else df
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """All values of key above the given share of rows, and maybe a few below it.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[str, list]:
+    """For each key column, all values above the given share of rows, and maybe a few below it.
 
-    freqItems needs one pass and returns at most 1/share values.
+    freqItems needs one pass for all columns and keeps at most 1/share values of each.
     """
-    found = df.stat.freqItems([key], share).first()[0] or []
-    return [v for v in found if v is not None]
+    found = df.stat.freqItems(list(keys), share).first() if keys else ()
+    return {key: [v for v in values or [] if v is not None] for key, values in zip(keys, found)}
 
 
 def attach_by_key(
@@ -33,6 +36,7 @@ def attach_by_key(
     spread_by: Column,
     lookup_rows: int,
     limit: int = Settings.broadcast_rows,
+    hot: list | None = None,
 ) -> DataFrame:
     """facts LEFT JOIN lookup USING (key); lookup holds each key once.
 
@@ -40,11 +44,13 @@ def attach_by_key(
     shuffles, except for hot keys: their few lookup rows (at most 1/HOT_SHARE)
     are broadcast, and their fact rows, like those without a key, are spread over
     the shuffle by a hash of spread_by, where they meet no partner. One pass, and
-    no row is copied or dropped.
+    no row is copied or dropped. Callers that know a cheaper place to look for
+    the hot keys than facts pass them in; a key missing there only costs balance.
     """
     if lookup_rows <= limit:
         return facts.join(F.broadcast(lookup), key, "left")
-    hot = hot_keys(facts, key)
+    if hot is None:
+        hot = hot_keys(facts, [key])[key]
     values = [c for c in lookup.columns if c != key]
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     few = lookup.filter(is_hot).select(key, *[F.col(c).alias(f"_chaud_{c}") for c in values])

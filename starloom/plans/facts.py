@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
-from starloom.operators.lookup import attach_by_key
+from starloom.operators.lookup import attach_by_key, hot_keys
 from starloom.schemas import conform
 from starloom.settings import UNKNOWN_COURIER, Settings
 
@@ -37,6 +37,7 @@ def resolve_key(
     key: KeyMap,
     rows: int,
     settings: Settings = Settings(),
+    hot: list | None = None,
 ) -> DataFrame:
     """Add _sk_<output>: the surrogate key, or null where the natural key is not known.
 
@@ -47,7 +48,7 @@ def resolve_key(
         F.col(key.natural).alias(key.order_column), F.col(key.surrogate).alias(f"_sk_{key.output}")
     )
     return attach_by_key(
-        orders, lookup, key.order_column, F.col("id_commande"), rows, settings.broadcast_rows
+        orders, lookup, key.order_column, F.col("id_commande"), rows, settings.broadcast_rows, hot
     )
 
 
@@ -65,13 +66,19 @@ def sales_fact(
     rows: dict[str, int],
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """One row per cleaned order line with its keys and measures."""
+    """One row per cleaned order line with its keys and measures.
+
+    Hot natural keys are looked for once, in the cleaned orders, for all
+    dimensions that are too large to broadcast.
+    """
+    large = [k.order_column for k in KEY_MAPS if rows[k.dimension] > settings.broadcast_rows]
+    hot = hot_keys(orders, large)
     resolved = orders.select(
         "id_commande", "date_commande", "id_produit", "id_client", "ville_livraison", "id_livreur", "quantite",
         "montant_ht", "montant_ttc", "delai_livraison_jours", "statut",
     )
     for key in KEY_MAPS:
-        resolved = resolve_key(resolved, dimensions[key.dimension], key, rows[key.dimension], settings)
+        resolved = resolve_key(resolved, dimensions[key.dimension], key, rows[key.dimension], settings, hot.get(key.order_column))
     keys = {
         key.output: F.coalesce(
             F.col(f"_sk_{key.output}"), fallback_key(key, dimensions[key.dimension], settings)

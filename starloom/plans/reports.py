@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.numbers import mean, percent
-from starloom.operators.lookup import attach_by_key, checked_broadcast
+from starloom.operators.lookup import attach_by_key, checked_broadcast, hot_keys
 from starloom.operators.ranking import rank_desc
 from starloom.settings import DELIVERED, RETURNED, UNKNOWN_COURIER, Settings
 
@@ -17,18 +17,23 @@ Rows = dict[str, int]
 def _with_product(facts: DataFrame, star: Star, rows: Rows, columns: list[str], settings: Settings) -> DataFrame:
     """Inner join to the product dimension; unresolved fact keys may be one hot product."""
     products = star["dim_produit"].select(F.col("id_produit_sk").alias("id_produit"), *columns, F.lit(1).alias("_connu"))
+    hot = None
+    if rows["dim_produit"] > settings.broadcast_rows:
+        hot = hot_keys(star["fait_ventes"], ["id_produit"])["id_produit"]
     joined = attach_by_key(
-        facts, products, "id_produit", F.hash(*facts.columns), rows["dim_produit"], settings.broadcast_rows
+        facts, products, "id_produit", F.hash(*facts.columns), rows["dim_produit"], settings.broadcast_rows, hot
     )
     return joined.filter("_connu = 1").drop("_connu")
 
 
-def _with_days(facts: DataFrame, star: Star, columns: list[str]) -> DataFrame:
-    return facts.join(checked_broadcast(star["dim_temps"].select("id_date", *columns)), "id_date")
+def _with_days(facts: DataFrame, star: Star, rows: Rows, columns: list[str]) -> DataFrame:
+    days = star["dim_temps"].select("id_date", *columns)
+    return facts.join(checked_broadcast(days, rows=rows["dim_temps"]), "id_date")
 
 
-def _with_regions(facts: DataFrame, star: Star, columns: list[str]) -> DataFrame:
-    return facts.join(checked_broadcast(star["dim_region"].select("id_region", *columns)), "id_region")
+def _with_regions(facts: DataFrame, star: Star, rows: Rows, columns: list[str]) -> DataFrame:
+    cities = star["dim_region"].select("id_region", *columns)
+    return facts.join(checked_broadcast(cities, rows=rows["dim_region"]), "id_region")
 
 
 def monthly_revenue(star: Star, rows: Rows, settings: Settings = Settings()) -> DataFrame:
@@ -40,8 +45,8 @@ def monthly_revenue(star: Star, rows: Rows, settings: Settings = Settings()) ->
     facts = star["fait_ventes"].filter(F.col("statut_commande") == DELIVERED).select(
         "id_date", "id_region", "id_produit", "id_client", "quantite_vendue", "montant_ht", "montant_ttc"
     )
-    joined = _with_days(facts, star, ["annee", "mois", "trimestre", "libelle_mois", "periode_ramadan"])
-    joined = _with_regions(joined, star, ["region_admin", "zone_geo", "ville"])
+    joined = _with_days(facts, star, rows, ["annee", "mois", "trimestre", "libelle_mois", "periode_ramadan"])
+    joined = _with_regions(joined, star, rows, ["region_admin", "zone_geo", "ville"])
     joined = _with_product(joined, star, rows, ["categorie"], settings)
     grouped = joined.groupBy(
         "annee", "mois", "trimestre", "libelle_mois", "periode_ramadan", "region_admin", "zone_geo", "ville", "categorie"
@@ -62,8 +67,8 @@ def top_products(star: Star, rows: Rows, settings: Settings = Settings()) -> Dat
     facts = star["fait_ventes"].filter(F.col("statut_commande") == DELIVERED).select(
         "id_date", "id_region", "id_produit", "id_client", "quantite_vendue", "montant_ttc"
     )
-    joined = _with_days(facts, star, ["annee", "trimestre"])
-    joined = _with_regions(joined, star, ["ville"])
+    joined = _with_days(facts, star, rows, ["annee", "trimestre"])
+    joined = _with_regions(joined, star, rows, ["ville"])
     totals = joined.groupBy("annee", "trimestre", "ville", "id_produit").agg(
         F.sum("quantite_vendue").alias("qte_totale"),
         F.sum("montant_ttc").alias("ca_total"),
@@ -98,7 +103,7 @@ def return_rate(star: Star, rows: Rows, settings: Settings = Settings()) -> Data
     per quarter and product.
     """
     closed = star["fait_ventes"].filter(F.col("statut_commande").isin(DELIVERED, RETURNED))
-    counted = _with_days(closed.select("id_date", "id_produit", "statut_commande"), star, ["annee", "trimestre"])
+    counted = _with_days(closed.select("id_date", "id_produit", "statut_commande"), star, rows, ["annee", "trimestre"])
     per_product = counted.groupBy("annee", "trimestre", "id_produit").agg(
         F.count_if(F.col("statut_commande") == DELIVERED).alias("livrees"),
         F.count_if(F.col("statut_commande") == RETURNED).alias("retournees"),
@@ -122,7 +127,7 @@ def courier_performance(star: Star, rows: Rows, settings: Settings = Settings())
     delivered = star["fait_ventes"].filter(
         F.col("statut_commande").isin(DELIVERED, RETURNED) & F.col("delai_livraison_jours").isNotNull()
     )
-    dated = _with_days(delivered.select("id_date", "id_livreur", "delai_livraison_jours"), star, ["annee", "mois"])
+    dated = _with_days(delivered.select("id_date", "id_livreur", "delai_livraison_jours"), star, rows, ["annee", "mois"])
     per_key = dated.groupBy("annee", "mois", "id_livreur").agg(
         F.count("*").alias("n"),
         F.sum("delai_livraison_jours").alias("jours"),
