@@ -31,7 +31,7 @@ from starloom.sinks.tables import publish_csv, replace_table, write_csv
 from starloom.sinks.upsert import LOADED, MONTH, read_stored, upsert_facts
 from starloom.sources import files
 from starloom.sources.retail_tables import RetailTables
-from starloom.streaming.arrivals import load_arrivals
+from starloom.streaming.arrivals import load_arrivals, stream_facts
 
 # Thresholds on the scale of the benchmark tables' amounts.
 SETTINGS = Settings(
@@ -466,16 +466,14 @@ def fact_upsert_idempotent(spark, folder):
 
 @_query
 def fact_upsert_stream(spark, folder):
-    """History already loaded; the corrections arrive as files, twice."""
+    """History already loaded; the corrections arrive as files, and once more as new files."""
     fact = warehouse(spark, folder).fact
-    path, arrivals = scratch_path(spark, "faits"), scratch_path(spark, "arrivees")
+    path, arrivals, progress = (scratch_path(spark, name) for name in ("faits", "arrivees", "suivi"))
     upsert_facts(_history(fact), path, FIRST_LOAD)
     for _ in range(2):
-        _corrections(fact).coalesce(2).write.mode("append").parquet(arrivals)
-    load_arrivals(
-        spark, arrivals, schemas.TABLES["fait_ventes"], lambda batch: batch, path,
-        scratch_path(spark, "suivi"), SECOND_LOAD,
-    )
+        _corrections(fact).write.mode("append").parquet(arrivals)
+        incoming = stream_facts(spark, arrivals)
+        load_arrivals(incoming, lambda batch: batch, path, progress, SECOND_LOAD)
     return _stored_fact(spark, path)
 
 

@@ -19,7 +19,7 @@ from starloom.session import scratch_path, side_by_side, stage
 from starloom.settings import Settings
 from starloom.sinks.tables import publish_csv, replace_table
 from starloom.sinks.upsert import upsert_facts
-from starloom.sources.files import read_published_csv, read_table
+from starloom.sources.files import read_published, read_table
 
 
 class Warehouse:
@@ -101,8 +101,7 @@ class Warehouse:
     def load_csv(self, folder: str) -> dict[str, str]:
         """Publish the star as CSV, read it back typed, and check it."""
         paths = publish_csv(self.star, folder)
-        stored = {name: read_published_csv(self.spark, path, name) for name, path in paths.items()}
-        quality.require(quality.check_star(stored, quality.LOAD_RULES))
+        quality.require(check_published(self.spark, folder))
         return paths
 
     def load_tables(self, folder: str, loaded_at: datetime) -> dict[str, str]:
@@ -114,7 +113,7 @@ class Warehouse:
         )
         paths["fait_ventes"] = f"{root}/fait_ventes"
         upsert_facts(self.fact, paths["fait_ventes"], loaded_at, staged=True)
-        quality.require(quality.check_star(stored_star(self.spark, root), quality.WAREHOUSE_RULES, skip_empty=True))
+        quality.require(check_stored(self.spark, root))
         return paths
 
     def refresh_reports(self, folder: str) -> dict[str, str]:
@@ -130,6 +129,16 @@ class Warehouse:
         )
 
 
+def check_published(spark: SparkSession, folder: str) -> DataFrame:
+    """The load rules on every published CSV table found in a folder."""
+    return quality.check_star(read_published(spark, folder), quality.LOAD_RULES)
+
+
+def check_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The warehouse rules on the stored tables; empty ones are passed over."""
+    return quality.check_star(stored_star(spark, folder), quality.WAREHOUSE_RULES, skip_empty=True)
+
+
 def stored_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The six tables of a loaded warehouse."""
     return {name: read_table(spark, f"{folder}/{name}", name) for name in schemas.TABLES}

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
 
+_CSV_TEXT = {"header": True, "encoding": "UTF-8", "escape": '"'}
+_FILE_PLACE = ("_metadata.file_path as _fichier", "_metadata.file_block_start as _bloc")
+
 
 def read_text_csv(
     spark: SparkSession, path: str, required: Sequence[str] = (), multi_line: bool = False
@@ -19,28 +23,36 @@ def read_text_csv(
     column orders rows by file, block and row. Quoted line breaks need
     multi_line, at the price of unsplittable files.
     """
-    cells = (
-        spark.read.option("header", True)
-        .option("encoding", "UTF-8")
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    arrival = F.struct(
-        F.col("_metadata.file_path").alias("fichier"),
-        F.col("_metadata.file_block_start").alias("bloc"),
-        F.monotonically_increasing_id().alias("ligne"),
-    )
-    named = cells.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c.strip()) for c in cells.columns],
-        arrival.alias(schemas.ARRIVAL),
-    )
+    cells = spark.read.options(**_CSV_TEXT, multiLine=multi_line).csv(path)
+    named = with_arrival(cells.selectExpr(*[f"`{c}` as `{c.strip()}`" for c in cells.columns], *_FILE_PLACE))
     missing = [c for c in required if c not in named.columns]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
     return named
 
 
+def stream_text_csv(
+    spark: SparkSession, folder: str, columns: Sequence[str], files_per_batch: int = 1000
+) -> DataFrame:
+    """The same files as a stream, with the columns in the given order.
+
+    Row numbers exist only inside a batch: pass each batch through with_arrival.
+    """
+    cells = (
+        spark.readStream.schema(", ".join(f"{c} string" for c in columns))
+        .options(**_CSV_TEXT, maxFilesPerTrigger=files_per_batch)
+        .csv(folder)
+    )
+    return cells.selectExpr("*", *_FILE_PLACE)
+
+
+def with_arrival(cells: DataFrame) -> DataFrame:
+    """Empty cells as '', and the file place of each row folded into the arrival column."""
+    names = [c for c in cells.columns if c not in ("_fichier", "_bloc")]
+    arrival = F.struct("_fichier", "_bloc", F.monotonically_increasing_id().alias("_ligne"))
+    return cells.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names], arrival.alias(schemas.ARRIVAL))
+
+
 def read_orders(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_text_csv(spark, path, schemas.ORDER_COLUMNS, **options)
 
@@ -81,3 +93,15 @@ def read_published_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A stored Parquet table of the star; extra stored columns are not read."""
     return spark.read.schema(schemas.TABLES[table]).parquet(path)
+
+
+def read_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every published CSV table found in a folder; missing ones are left out."""
+    found = {}
+    for table in schemas.TABLES:
+        try:
+            found[table] = read_published_csv(spark, f"{folder.rstrip('/')}/{table}", table)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found

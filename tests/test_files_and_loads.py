@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.operators.cities import city_lookup
+from starloom.operators.orders import latest_orders
+from starloom.plans.warehouse import check_published, run, stored_star
 from starloom.sinks.tables import publish_csv, replace_table
 from starloom.sinks.upsert import read_stored, upsert_facts
 from starloom.sources import files
 from starloom.sources.delivered_files import DeliveredFiles
-from starloom.streaming.arrivals import load_arrivals
-from starloom.operators.orders import latest_orders
-from starloom.plans.warehouse import run, stored_star
+from starloom.streaming.arrivals import load_arrivals, raw_orders_to_facts, stream_facts
 
 T0, T1 = datetime(2026, 6, 1), datetime(2026, 6, 2)
 
@@ -79,17 +80,46 @@ def test_upsert_refuses_repeated_keys(spark, tmp_path):
 
 def test_stream_is_replay_safe(spark, tmp_path):
     source, target, marks = str(tmp_path / "in"), str(tmp_path / "f"), str(tmp_path / "m")
-    go = lambda marks: load_arrivals(spark, source, schemas.TABLES["fait_ventes"], lambda b: b, target, marks, T0)
+    go = lambda: load_arrivals(stream_facts(spark, source, 1), lambda b: b, target, marks, T0)
     fact(spark, ("a", 20240105, 1, "en_cours"), ("b", 20240206, 2, "livré")).coalesce(1).write.parquet(source)
-    go(marks)
+    go()
     fact(spark, ("a", 20240105, 5, "livré"), ("c", 20240206, 3, "livré")).coalesce(1).write.mode("append").parquet(source)
-    go(marks)
+    go()
     once = stored(spark, target)
     assert [r[:3] for r in once] == [("a", 20240105, 5), ("b", 20240206, 2), ("c", 20240206, 3)]
-    go(marks)
+    go()
     assert stored(spark, target) == once
 
 
+def test_raw_orders_stream(spark, tmp_path):
+    """Raw text files: the last line of an order in a file counts, later files correct earlier ones."""
+    head = ",".join(schemas.ORDER_COLUMNS) + "\n"
+    line = "{},C1,P1,{},{},10,{},TNG,carte,,\n".format
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text(
+        head + line("A", "2024-01-05", 1, "OK") + line("A", "05/01/2024", 2, "KO") + line("B", "junk", 1, "OK"), encoding="utf-8"
+    )
+    regions = spark.createDataFrame([("Tanger", "TNG", 0)], "nom_ville_standard string, code_ville string, _arrivee int")
+    dims = {
+        "dim_produit": spark.createDataFrame([(4, "P1", True)], "id_produit_sk int, id_produit_nk string, est_actif boolean"),
+        "dim_client": spark.createDataFrame([(5, "C1", True)], "id_client_sk int, id_client_nk string, est_actif boolean"),
+        "dim_region": spark.createDataFrame([(6, "Tanger")], "id_region int, ville string"),
+        "dim_livreur": spark.createDataFrame([(7, "-1")], "id_livreur int, id_livreur_nk string"),
+    }
+    to_facts = raw_orders_to_facts(city_lookup(regions), dims, {name: 1 for name in dims})
+    target, marks = str(tmp_path / "f"), str(tmp_path / "m")
+    go = lambda: load_arrivals(
+        files.stream_text_csv(spark, str(tmp_path / "in"), schemas.ORDER_COLUMNS), to_facts, target, marks, T0
+    )
+    go()
+    assert stored(spark, target) == [("A", 20240105, 2, "annulé", 1)]
+    (tmp_path / "in" / "2.csv").write_text(head + line("A", "2024-02-05", 3, "DONE") + line("C", "2024-02-06", 1, "OK"), encoding="utf-8")
+    go()
+    assert stored(spark, target) == [("A", 20240205, 3, "livré", 1), ("C", 20240206, 1, "en_cours", 1)]
+    first = read_stored(spark, target).filter("id_commande = 'A'").first()
+    assert (first.id_produit, first.id_client, first.id_region, first.id_livreur) == (4, 5, 6, 7)
+
+
 def test_published_tables_read_back(spark, tmp_path):
     table = fact(spark, ("a", 20240105, 1, "livré"), ("b", 20240206, 2, "annulé"))
     paths = publish_csv({"fait_ventes": table}, str(tmp_path))
@@ -97,6 +127,14 @@ def test_published_tables_read_back(spark, tmp_path):
     assert back.dtypes == table.dtypes and sorted(back.collect()) == sorted(table.collect())
 
 
+def test_missing_published_tables_are_passed_over(spark, tmp_path):
+    with pytest.raises(ValueError, match="no table"):
+        check_published(spark, str(tmp_path))
+    publish_csv({"fait_ventes": fact(spark, ("a", 20240105, 1, "livré"), ("a", 20240105, -2, "?"))}, str(tmp_path))
+    failed = {(r.colonne, r.regle) for r in check_published(spark, str(tmp_path)).collect() if not r.succes}
+    assert failed == {("id_commande", "unique"), ("montant_ttc", "between"), ("quantite_vendue", "between"), ("statut_commande", "in_set")}
+
+
 def test_replace(spark, tmp_path):
     path = str(tmp_path / "d")
     replace_table(spark.range(5), path)
