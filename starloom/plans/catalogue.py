@@ -448,9 +448,9 @@ def _stored_fact(spark, path):
 def _loaded(spark, folder, times: int) -> DataFrame:
     fact = warehouse(spark, folder).fact
     path = scratch_path(spark, "faits")
-    upsert_facts(_history(fact), path, FIRST_LOAD)
+    upsert_facts(_history(fact), path, FIRST_LOAD, staged=True)
     for _ in range(times):
-        upsert_facts(_corrections(fact), path, SECOND_LOAD)
+        upsert_facts(_corrections(fact), path, SECOND_LOAD, staged=True)
     return _stored_fact(spark, path)
 
 
@@ -469,7 +469,7 @@ def fact_upsert_stream(spark, folder):
     """History already loaded; the corrections arrive as files, and once more as new files."""
     fact = warehouse(spark, folder).fact
     path, arrivals, progress = (scratch_path(spark, name) for name in ("faits", "arrivees", "suivi"))
-    upsert_facts(_history(fact), path, FIRST_LOAD)
+    upsert_facts(_history(fact), path, FIRST_LOAD, staged=True)
     for _ in range(2):
         _corrections(fact).write.mode("append").parquet(arrivals)
         incoming = stream_facts(spark, arrivals)

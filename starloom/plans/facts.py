@@ -41,11 +41,12 @@ def resolve_key(
 ) -> DataFrame:
     """Add _sk_<output>: the surrogate key, or null where the natural key is not known.
 
-    rows is the counted size of the dimension. Only current versions resolve.
+    rows is the counted size of the dimension. Only current versions resolve; of
+    several rows with one natural key the last counts, so no order line doubles.
     """
     current = dimension.filter("est_actif") if "est_actif" in dimension.columns else dimension
-    lookup = current.select(
-        F.col(key.natural).alias(key.order_column), F.col(key.surrogate).alias(f"_sk_{key.output}")
+    lookup = current.groupBy(F.col(key.natural).alias(key.order_column)).agg(
+        F.max(key.surrogate).alias(f"_sk_{key.output}")
     )
     return attach_by_key(
         orders, lookup, key.order_column, F.col("id_commande"), rows, settings.broadcast_rows, hot

@@ -75,8 +75,7 @@ class Warehouse:
 
     @cached_property
     def rows(self) -> dict[str, int]:
-        """Counted sizes of the dimensions, from the Parquet footers."""
-        return side_by_side(self.spark, {name: df.count for name, df in self.dimensions.items()})
+        return table_sizes(self.spark, self.dimensions)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -117,16 +116,24 @@ class Warehouse:
         return paths
 
     def refresh_reports(self, folder: str) -> dict[str, str]:
-        """Recompute the four reporting tables and overwrite them."""
-        root = folder.rstrip("/")
-        star, rows = self.star, self.rows
-        return side_by_side(
-            self.spark,
-            {
-                n: lambda n=n, build=build: replace_table(build(star, rows, self.settings), f"{root}/{n}")
-                for n, build in reports.REPORTS.items()
-            },
-        )
+        return refresh_reports(self.spark, self.star, self.rows, folder, self.settings)
+
+
+def table_sizes(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of stored tables, from the Parquet footers."""
+    return side_by_side(spark, {name: df.count for name, df in tables.items()})
+
+
+def refresh_reports(
+    spark: SparkSession, star: dict[str, DataFrame], rows: dict[str, int], folder: str, settings: Settings = Settings()
+) -> dict[str, str]:
+    """Recompute the four reporting tables from a star and overwrite them."""
+    root = folder.rstrip("/")
+    work = {
+        name: lambda n=name, build=build: replace_table(build(star, rows, settings), f"{root}/{n}")
+        for name, build in reports.REPORTS.items()
+    }
+    return side_by_side(spark, work)
 
 
 def check_published(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
@@ -41,11 +41,12 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
     spark = batch.sparkSession
     dated = schemas.conform(batch, "fait_ventes").withColumn(MONTH, F.floor(F.col("id_date") / 100).cast("int"))
     incoming = dated if staged else stage(dated, "lot")
-    _refuse_duplicates(incoming)
+    _refuse_unusable_keys(incoming)
+    load_time = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
 
     stored = read_stored(spark, path)
     if stored is None:
-        fresh = incoming.withColumn(LOADED, F.lit(loaded_at).cast("timestamp_ntz"))
+        fresh = incoming.withColumn(LOADED, load_time)
         _write(fresh, path)
         return
 
@@ -54,7 +55,7 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
     touched = sorted(r[0] for r in months.collect())  # one value per month partition
     if not touched:
         return
-    merged = stage(_merge(stored.filter(F.col(MONTH).isin(touched)), incoming, loaded_at), "fusion")
+    merged = stage(_merge(stored.filter(F.col(MONTH).isin(touched)), incoming, load_time), "fusion")
     _write(merged, path)
     filled = {r[0] for r in merged.select(MONTH).distinct().collect()}
     for month in touched:
@@ -62,13 +63,14 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
             merged.limit(0).drop(MONTH).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
 
 
-def _refuse_duplicates(batch: DataFrame) -> None:
-    repeated = batch.groupBy(KEY).count().filter("count > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"batch holds order line {repeated[0][0]} more than once")
+def _refuse_unusable_keys(batch: DataFrame) -> None:
+    """A key that is missing or occurs twice would make the result depend on chance."""
+    bad = batch.groupBy(KEY).count().filter(f"count > 1 or {KEY} is null").limit(1).collect()
+    if bad:
+        raise ValueError(f"batch holds order line {bad[0][0]} {bad[0][1]} times")
 
 
-def _merge(old: DataFrame, new: DataFrame, loaded_at: datetime) -> DataFrame:
+def _merge(old: DataFrame, new: DataFrame, load_time: Column) -> DataFrame:
     """Full outer join on the key, which is unique on both sides."""
     renamed = new.select(KEY, *[F.col(c).alias(f"_lot_{c}") for c in new.columns if c != KEY], F.lit(True).alias("_lot"))
     joined = old.join(renamed, KEY, "full_outer")
@@ -76,8 +78,7 @@ def _merge(old: DataFrame, new: DataFrame, loaded_at: datetime) -> DataFrame:
     columns = [
         F.when(from_batch, F.col(f"_lot_{c}")).otherwise(F.col(c)).alias(c) for c in new.columns if c != KEY
     ]
-    first_load = F.coalesce(LOADED, F.lit(loaded_at).cast("timestamp_ntz")).alias(LOADED)
-    return joined.select(KEY, *columns, first_load)
+    return joined.select(KEY, *columns, F.coalesce(LOADED, load_time).alias(LOADED))
 
 
 def _write(df: DataFrame, path: str) -> None:

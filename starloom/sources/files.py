@@ -91,8 +91,8 @@ def read_published_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A stored Parquet table of the star; extra stored columns are not read."""
-    return spark.read.schema(schemas.TABLES[table]).parquet(path)
+    """A stored Parquet table of the star, without the extra columns of its storage."""
+    return spark.read.schema(schemas.TABLES[table]).parquet(path).select(*schemas.columns_of(table))
 
 
 def read_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -57,7 +57,7 @@ class RetailTables:
             F.expr("concat('C', o_custkey)").alias("id_client"),
             F.expr("concat(if(l_partkey % 50 = 49, 'X', 'P'), l_partkey)").alias("id_produit"),
             F.expr("""
-                case when l_orderkey % 20 < 8 then date_format(jour, 'yyyy-MM-dd')
+                case when l_orderkey % 20 < 8 then cast(jour as string)
                      when l_orderkey % 20 < 16 then date_format(jour, 'dd/MM/yyyy')
                      when l_orderkey % 20 < 19 then date_format(jour, 'MMM dd yyyy')
                      else 'pas-une-date' end""").alias("date_commande"),
@@ -82,7 +82,7 @@ class RetailTables:
             F.expr("""
                 if(l_returnflag = 'R' or (l_returnflag = 'A' and l_linestatus = 'F')
                      or (l_returnflag = 'N' and l_linestatus = 'O'),
-                   date_format(add_months(cast(l_shipdate as date), 300), 'yyyy-MM-dd'), '')""").alias(
+                   cast(add_months(cast(l_shipdate as date), 300) as string), '')""").alias(
                 "date_livraison"
             ),
             F.struct("l_shipdate", "l_partkey", "l_suppkey").alias(ARRIVAL),
@@ -101,7 +101,7 @@ class RetailTables:
                           '@mail.com', if(c_custkey % 11 = 0, ' ', '')))""").alias("email"),
             F.expr("""
                 if(c_custkey % 40 = 0, 'pas-une-date',
-                   date_format(date_add(date'1915-01-01', cast(c_custkey * 7919 % 40000 as int)), 'yyyy-MM-dd'))
+                   cast(date_add(date'1915-01-01', cast(c_custkey * 7919 % 40000 as int)) as string))
                 """).alias("date_naissance"),
             F.expr("""
                 element_at(array('m', 'F', '1', '0', 'Homme', 'Femme', ' male', 'xyz', 'h'),
@@ -112,7 +112,7 @@ class RetailTables:
                      else if(c_custkey % 16 = 3, 'VilleXYZ', n_name) end""").alias("ville"),
             F.lit("").alias("telephone"),
             F.expr("""
-                case c_custkey % 3 when 0 then date_format(inscrit, 'yyyy-MM-dd')
+                case c_custkey % 3 when 0 then cast(inscrit as string)
                      when 1 then date_format(inscrit, 'dd/MM/yyyy')
                      else date_format(inscrit, 'MMM dd yyyy') end""").alias("date_inscription"),
             F.col("c_mktsegment").alias("canal_acquisition"),

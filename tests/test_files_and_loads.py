@@ -73,9 +73,20 @@ def test_upsert_writes_null_over_a_value(spark, tmp_path):
     assert read_stored(spark, path).first().delai_livraison_jours is None
 
 
-def test_upsert_refuses_repeated_keys(spark, tmp_path):
-    with pytest.raises(ValueError, match="a"):
-        upsert_facts(fact(spark, ("a", 20240105, 1, "livré"), ("a", 20240105, 2, "livré")), str(tmp_path / "f"), T0)
+@pytest.mark.parametrize("keys", [("a", "a"), ("a", None)])
+def test_upsert_refuses_unusable_keys(spark, tmp_path, keys):
+    with pytest.raises(ValueError, match="order line"):
+        upsert_facts(fact(spark, *[(k, 20240105, 1, "livré") for k in keys]), str(tmp_path / "f"), T0)
+
+
+def test_upsert_keeps_the_given_load_time_in_any_zone(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        upsert_facts(fact(spark, ("a", 20240105, 1, "livré")), str(tmp_path / "f"), T0)
+        assert read_stored(spark, str(tmp_path / "f")).first().date_chargement == T0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_stream_is_replay_safe(spark, tmp_path):

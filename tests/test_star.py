@@ -110,6 +110,14 @@ def test_fact_keys(tables, limit):
     assert (two.quantite_vendue, two.montant_ttc, two.remise_pct, two.cout_livraison) == (2, Decimal(16000), Decimal(0), None)
 
 
+def test_repeated_natural_keys_do_not_double_sales(tables):
+    built, rows = build(tables)
+    twice = built["dim_produit"].filter("id_produit_nk = 'P001'").withColumn("id_produit_sk", F.lit(9))
+    built["dim_produit"] = built["dim_produit"].unionByName(twice)
+    sales = sales_fact(tables[4], built, rows).filter("id_commande = 'CMD-001'").collect()
+    assert [r.id_produit for r in sales] == [9]
+
+
 def test_unresolved_key_is_a_setting(tables):
     settings = Settings(unresolved_sk=-1)
     built, rows = build(tables, settings)
