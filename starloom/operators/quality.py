@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from starloom.settings import SEGMENTS, STATUSES
@@ -163,8 +163,10 @@ class QualityError(RuntimeError):
     """A rule failed on a built table."""
 
 
-def require(report: DataFrame) -> None:
-    """Raise if any rule failed. The report has one row per rule, so it is read whole."""
-    failed = report.filter(~F.col("succes")).collect()
+def require(report: DataFrame) -> list[Row]:
+    """Read the report, one row per rule, and raise if any rule failed."""
+    lines = report.collect()
+    failed = [r for r in lines if not r.succes]
     if failed:
         raise QualityError("; ".join(f"{r.table_name}.{r.colonne} {r.regle}: {r.echecs} of {r.evalues}" for r in failed))
+    return lines

@@ -494,10 +494,10 @@ def scd2_merge(spark, folder):
 def pipeline_end_to_end(spark, folder):
     """A full run into a new folder: row counts and passed rules of the stored tables."""
     target = scratch_path(spark, "entrepot")
-    run(spark, RetailTables(spark, folder), target, SETTINGS, FIRST_LOAD)
-    star = stored_star(spark, target)
-    scores = quality.table_scores(quality.check_star(star, quality.WAREHOUSE_RULES)).drop("succes")
-    return integrity.table_counts(star).join(F.broadcast(scores), "table_name", "left").select(
+    checks = run(spark, RetailTables(spark, folder), target, SETTINGS, FIRST_LOAD).checks
+    scores = quality.table_scores(spark.createDataFrame(checks)).drop("succes")
+    counts = integrity.table_counts(stored_star(spark, target))
+    return counts.join(F.broadcast(scores), "table_name", "left").select(
         "table_name", "nb_lignes",
         F.coalesce("regles", F.lit(0)).alias("regles"), F.coalesce("regles_ok", F.lit(0)).alias("regles_ok"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from starloom import schemas
 from starloom.operators import quality
@@ -32,6 +32,7 @@ class Warehouse:
         self.spark = spark
         self.sources = sources
         self.settings = settings
+        self.checks: list[Row] = []  # rules passed by the last load, one row each
 
     @cached_property
     def regions(self) -> DataFrame:
@@ -100,7 +101,7 @@ class Warehouse:
     def load_csv(self, folder: str) -> dict[str, str]:
         """Publish the star as CSV, read it back typed, and check it."""
         paths = publish_csv(self.star, folder)
-        quality.require(check_published(self.spark, folder))
+        self.checks = quality.require(check_published(self.spark, folder))
         return paths
 
     def load_tables(self, folder: str, loaded_at: datetime) -> dict[str, str]:
@@ -112,7 +113,7 @@ class Warehouse:
         )
         paths["fait_ventes"] = f"{root}/fait_ventes"
         upsert_facts(self.fact, paths["fait_ventes"], loaded_at, staged=True)
-        quality.require(check_stored(self.spark, root))
+        self.checks = quality.require(check_stored(self.spark, root))
         return paths
 
     def refresh_reports(self, folder: str) -> dict[str, str]:

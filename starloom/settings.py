@@ -139,7 +139,8 @@ class Settings:
     period_category: str = "Alimentation"
     country: str = "Maroc"
     unresolved_sk: int = 1
-    # A lookup is broadcast only when its counted rows stay under this bound.
-    broadcast_rows: int = 2_000_000
+    # A lookup is broadcast only when its counted rows stay under this bound. Its
+    # few columns are keys and names of at most 200 characters.
+    broadcast_rows: int = 1_000_000
     # One task ranks a whole group only when groups are proven smaller than this.
     rank_group_rows: int = 2_000_000
