@@ -295,6 +295,10 @@ def _in_set(table: str, column: str, values: str) -> str:
     return _rule(table, "in_set", column, f"{column} NOT IN ({values})")
 
 
+def _max_length(table: str, **columns: int) -> list[str]:
+    return [_rule(table, "max_length", c, f"length({c}) > {n}") for c, n in columns.items()]
+
+
 _SEGMENT_SET = _in_set("dim_client", "segment_client", "'Gold', 'Silver', 'Bronze'")
 _STATUS_SET = _in_set("fait", "statut_commande", "'livré', 'annulé', 'en_cours', 'retourné', 'inconnu'")
 _AMOUNTS = [_between("fait", "montant_ttc", "< 0"), _between("fait", "quantite_vendue", "< 1")]
@@ -319,6 +323,14 @@ _CONSTRAINTS = " UNION ALL ".join(
         *_not_null("fait", "id_commande", "id_date", "id_produit", "id_client", "id_region", "quantite_vendue",
                    "montant_ht", "montant_ttc"),
         *_unique("fait", "id_commande"), *_AMOUNTS, _between("fait", "montant_ht", "< 0"), _STATUS_SET,
+        *_max_length("dim_temps", libelle_jour=20, libelle_mois=20),
+        *_max_length("dim_produit", id_produit_nk=20, nom_produit=200, categorie=100, sous_categorie=100, marque=100,
+                     fournisseur=100, origine_pays=50),
+        *_max_length("dim_client", id_client_nk=20, nom_complet=200, tranche_age=10, ville=100, region_admin=100,
+                     segment_client=20, canal_acquisition=50),
+        *_max_length("dim_region", ville=100, province=100, region_admin=100, zone_geo=50, pays=50),
+        *_max_length("dim_livreur", id_livreur_nk=20, nom_livreur=100, type_transport=50, zone_couverture=100),
+        *_max_length("fait", id_commande=30, statut_commande=20),
     ]
 )
 

@@ -54,7 +54,8 @@ def attach_by_key(
     values = [c for c in lookup.columns if c != key]
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     few = lookup.filter(is_hot).select(key, *[F.col(c).alias(f"_chaud_{c}") for c in values])
-    cold = lookup.withColumn("_sel", F.lit(0))
+    # Always 0, but not a literal: Spark would fold a literal out of the join keys, and with it the spreading.
+    cold = lookup.withColumn("_sel", F.pmod(F.hash(key), F.lit(1)))
     aside = F.col(key).isNull() | is_hot
     salt = F.when(aside, F.pmod(F.hash(spread_by), F.lit(SPREAD)) + 1).otherwise(0)
     routed = facts.join(F.broadcast(few), key, "left").withColumn("_sel", salt)

@@ -32,6 +32,8 @@ class Rule:
             low = F.lit(False) if self.low is None else column < self.low
             high = F.lit(False) if self.high is None else column > self.high
             return low | high
+        if self.kind == "max_length":
+            return F.char_length(column) > self.high
         raise ValueError(f"no row test for {self.kind}")
 
     def judged(self) -> Column:
@@ -54,6 +56,10 @@ def between(column: str, low: int | None = None, high: int | None = None) -> Rul
     return Rule("between", column, low=low, high=high)
 
 
+def max_length(**columns: int) -> tuple[Rule, ...]:
+    return tuple(Rule("max_length", column, high=length) for column, length in columns.items())
+
+
 # What a run must satisfy before its tables are trusted.
 LOAD_RULES = {
     "dim_client": (not_null("id_client_nk"), unique("id_client_sk"), in_set("segment_client", SEGMENTS)),
@@ -82,19 +88,32 @@ CONSTRAINTS = {
         not_null("mois"), between("mois", 1, 12),
         not_null("trimestre"), between("trimestre", 1, 4),
         not_null("annee"),
+        *max_length(libelle_jour=20, libelle_mois=20),
     ),
     "dim_produit": (
         not_null("id_produit_sk"), unique("id_produit_sk"), not_null("id_produit_nk"), not_null("nom_produit"),
         not_null("date_debut"), not_null("date_fin"), not_null("est_actif"),
+        *max_length(
+            id_produit_nk=20, nom_produit=200, categorie=100, sous_categorie=100, marque=100, fournisseur=100,
+            origine_pays=50,
+        ),
     ),
     "dim_client": (
         not_null("id_client_sk"), unique("id_client_sk"), not_null("id_client_nk"),
         in_set("sexe", ("m", "f", "inconnu")), in_set("segment_client", SEGMENTS),
         not_null("date_debut"), not_null("date_fin"), not_null("est_actif"),
+        *max_length(
+            id_client_nk=20, nom_complet=200, tranche_age=10, ville=100, region_admin=100, segment_client=20,
+            canal_acquisition=50,
+        ),
+    ),
+    "dim_region": (
+        not_null("id_region"), unique("id_region"), not_null("ville"), unique("ville"),
+        *max_length(ville=100, province=100, region_admin=100, zone_geo=50, pays=50),
     ),
-    "dim_region": (not_null("id_region"), unique("id_region"), not_null("ville"), unique("ville")),
     "dim_livreur": (
         not_null("id_livreur"), unique("id_livreur"), not_null("id_livreur_nk"), unique("id_livreur_nk"),
+        *max_length(id_livreur_nk=20, nom_livreur=100, type_transport=50, zone_couverture=100),
     ),
     "fait_ventes": (
         not_null("id_commande"), unique("id_commande"),
@@ -103,6 +122,7 @@ CONSTRAINTS = {
         not_null("montant_ht"), between("montant_ht", low=0),
         not_null("montant_ttc"), between("montant_ttc", low=0),
         in_set("statut_commande", STATUSES),
+        *max_length(id_commande=30, statut_commande=20),
     ),
 }
 

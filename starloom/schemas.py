@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 ORDER_COLUMNS = (
     "id_commande", "id_client", "id_produit", "date_commande", "quantite", "prix_unitaire",
     "statut", "ville_livraison", "mode_paiement", "id_livreur", "date_livraison",
@@ -64,9 +69,9 @@ def columns_of(table: str) -> list[str]:
     return [field.split()[0] for field in TABLES[table].split(", ")]
 
 
-def conform(df, table: str):
-    """Cast and order df to the declared columns of a star table."""
-    from pyspark.sql import functions as F
-
+def conform(df: DataFrame, table: str, optional: Collection[str] = ()) -> DataFrame:
+    """Cast and order df to the declared columns of a star table; optional ones may be missing."""
     fields = [field.split(maxsplit=1) for field in TABLES[table].split(", ")]
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields])
+    return df.select(
+        *[F.col(n).cast(kind).alias(n) for n, kind in fields if n in df.columns or n not in optional]
+    )

@@ -14,6 +14,8 @@ from starloom.session import stage
 KEY = "id_commande"
 MONTH = "annee_mois"
 LOADED = "date_chargement"
+# Columns a batch may leave out, with the value of a new line; known lines keep theirs.
+OPTIONAL = {"cout_livraison": None, "delai_livraison_jours": None, "remise_pct": 0, "statut_commande": None}
 STORED = f"{schemas.TABLES['fait_ventes']}, {LOADED} timestamp_ntz, {MONTH} int"
 
 
@@ -28,7 +30,7 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool = False) -> None:
-    """Insert unseen order lines, overwrite known ones in all batch columns, keep the rest.
+    """Insert unseen order lines, overwrite known ones in all columns of the batch, keep the rest.
 
     Only the month partitions that hold a batch key, before or after, are
     rewritten. The merged rows are staged first, so nothing reads what is being
@@ -39,15 +41,14 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
     that it already comes from a staged table.
     """
     spark = batch.sparkSession
-    dated = schemas.conform(batch, "fait_ventes").withColumn(MONTH, F.floor(F.col("id_date") / 100).cast("int"))
+    dated = schemas.conform(batch, "fait_ventes", OPTIONAL).withColumn(MONTH, F.floor(F.col("id_date") / 100).cast("int"))
     incoming = dated if staged else stage(dated, "lot")
     _refuse_unusable_keys(incoming)
     load_time = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
 
     stored = read_stored(spark, path)
     if stored is None:
-        fresh = incoming.withColumn(LOADED, load_time)
-        _write(fresh, path)
+        _write(incoming.withColumns({**_defaults(incoming), LOADED: load_time}), path)
         return
 
     left = stored.select(KEY, MONTH).join(incoming.select(KEY), KEY, "left_semi").select(MONTH)
@@ -70,20 +71,24 @@ def _refuse_unusable_keys(batch: DataFrame) -> None:
         raise ValueError(f"batch holds order line {bad[0][0]} {bad[0][1]} times")
 
 
+def _defaults(batch: DataFrame) -> dict[str, Column]:
+    return {c: F.lit(value) for c, value in OPTIONAL.items() if c not in batch.columns}
+
+
 def _merge(old: DataFrame, new: DataFrame, load_time: Column) -> DataFrame:
     """Full outer join on the key, which is unique on both sides."""
     renamed = new.select(KEY, *[F.col(c).alias(f"_lot_{c}") for c in new.columns if c != KEY], F.lit(True).alias("_lot"))
     joined = old.join(renamed, KEY, "full_outer")
-    from_batch = F.col("_lot").isNotNull()
-    columns = [
-        F.when(from_batch, F.col(f"_lot_{c}")).otherwise(F.col(c)).alias(c) for c in new.columns if c != KEY
-    ]
-    return joined.select(KEY, *columns, F.coalesce(LOADED, load_time).alias(LOADED))
+    from_batch, is_new = F.col("_lot").isNotNull(), F.col(LOADED).isNull()
+    given = [F.when(from_batch, F.col(f"_lot_{c}")).otherwise(F.col(c)).alias(c) for c in new.columns if c != KEY]
+    left_out = [F.when(is_new, default).otherwise(F.col(c)).alias(c) for c, default in _defaults(new).items()]
+    return joined.select(KEY, *given, *left_out, F.coalesce(LOADED, load_time).alias(LOADED))
 
 
 def _write(df: DataFrame, path: str) -> None:
     """Write month partitions; the rebalance hint splits a month too large for one task."""
-    ordered = df.select(*[f.split()[0] for f in STORED.split(", ")])
+    fields = [field.split(maxsplit=1) for field in STORED.split(", ")]
+    ordered = df.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields])
     (
         ordered.hint("rebalance", F.col(MONTH))
         .write.mode("overwrite")

@@ -73,6 +73,15 @@ def test_upsert_writes_null_over_a_value(spark, tmp_path):
     assert read_stored(spark, path).first().delai_livraison_jours is None
 
 
+def test_upsert_updates_only_the_columns_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "f")
+    upsert_facts(fact(spark, ("a", 20240105, 1, "livré")).withColumn("remise_pct", F.lit(5)), path, T0)
+    partial = fact(spark, ("a", 20240105, 2, "x"), ("b", 20240105, 3, "x")).drop("remise_pct", "statut_commande")
+    upsert_facts(partial, path, T1)
+    got = {r.id_commande: (r.quantite_vendue, r.remise_pct, r.statut_commande) for r in read_stored(spark, path).collect()}
+    assert got == {"a": (2, 5, "livré"), "b": (3, 0, None)}
+
+
 @pytest.mark.parametrize("keys", [("a", "a"), ("a", None)])
 def test_upsert_refuses_unusable_keys(spark, tmp_path, keys):
     with pytest.raises(ValueError, match="order line"):

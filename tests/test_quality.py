@@ -10,11 +10,12 @@ def clients(frame):
 
 
 def test_rules(clients):
-    rules = [q.not_null("nk"), q.unique("sk"), q.in_set("seg", ("Gold",)), q.between("n", low=0), q.unique("nk"), q.between("n", 0, 4)]
+    rules = [q.not_null("nk"), q.unique("sk"), q.in_set("seg", ("Gold",)), q.between("n", low=0), q.unique("nk"), q.between("n", 0, 4), *q.max_length(seg=3)]
     got = {(r.regle, r.colonne, r.evalues, r.echecs, r.succes) for r in q.check_table(clients, "t", rules).collect()}
     assert got == {
         ("not_null", "nk", 3, 1, False), ("unique", "sk", 3, 2, False), ("in_set", "seg", 2, 1, False),
         ("between", "n", 2, 1, False), ("unique", "nk", 2, 0, True), ("between", "n", 2, 2, False),
+        ("max_length", "seg", 2, 1, False),
     }
 
 

@@ -35,6 +35,26 @@ def test_hot_rows_are_spread_over_the_shuffle(spark):
     assert joined.filter("cle = 'hot' and sk = 3").count() == 20000
 
 
+def test_no_task_gets_much_more_than_its_share(spark):
+    """A third of the rows on one key and a tenth without a key."""
+    facts = spark.range(0, 60000, 1, 8).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 != 1, F.concat(F.lit("k"), F.col("id") % 7001)).alias("cle"),
+    )
+    table = spark.range(7001).select(F.concat(F.lit("k"), "id").alias("cle"), F.col("id").alias("sk"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        spread = lookup.attach_by_key(facts, table, "cle", F.col("id"), lookup_rows=7001, limit=0)
+        loads = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(loads) == 60000 and max(loads) < 1.5 * 60000 / 16
+
+
 def test_rank_in_bands_equals_rank(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 50 != 1, "b").alias("g"),
