@@ -9,6 +9,7 @@ from starloom.functions.dates import parse_date
 from starloom.functions.text import map_code, match_key
 from starloom.operators.cities import harmonize_city
 from starloom.operators.latest import keep_latest
+from starloom.schemas import ARRIVAL
 from starloom.settings import AGE_BANDS, EMAIL_PATTERN, SEX_CODES, UNKNOWN_SEX, Settings
 
 
@@ -16,6 +17,7 @@ def latest_by_email(df: DataFrame) -> DataFrame:
     """Rule 1: one client per normalized e-mail, the most recent sign-up; unreadable dates lose."""
     dated = df.withColumn("date_inscription", parse_date(F.col("date_inscription")))
     newest = [F.desc_nulls_last("date_inscription"), F.desc("id_client")]
+    newest += [F.desc(ARRIVAL)] if ARRIVAL in df.columns else []
     return keep_latest(dated.withColumn("email_norm", match_key(F.col("email"))), ["email_norm"], newest)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
@@ -61,18 +62,31 @@ class Warehouse:
 
     @cached_property
     def dimensions(self) -> dict[str, DataFrame]:
-        """The five dimensions. They do not depend on each other, so their jobs overlap."""
-        self.orders, self.regions  # noqa: B018  built first, since several dimensions read them
-        build = {
-            "dim_temps": lambda: dimensions.calendar_dimension(self.spark, self.settings),
-            "dim_produit": lambda: dimensions.product_dimension(self.products, self.settings),
-            "dim_region": lambda: dimensions.region_dimension(self.regions, self.settings),
-            "dim_client": lambda: dimensions.client_dimension(self.clients, self.segments, self.regions, self.settings),
-            "dim_livreur": lambda: dimensions.courier_dimension(self.orders),
-        }
-        return side_by_side(
-            self.spark, {name: lambda n=name, f=table: stage(f(), n) for name, table in build.items()}
+        """The five dimensions. What does not depend on the orders is built while they are cleaned."""
+        self.cities  # noqa: B018  built before the jobs that share it
+        first = self._staged(
+            {
+                "dim_temps": lambda: dimensions.calendar_dimension(self.spark, self.settings),
+                "dim_produit": lambda: dimensions.product_dimension(self.products, self.settings),
+                "dim_region": lambda: dimensions.region_dimension(self.regions, self.settings),
+            },
+            orders=lambda: self.orders,
         )
+        second = self._staged(
+            {
+                "dim_client": lambda: dimensions.client_dimension(
+                    self.clients, self.segments, self.regions, self.settings
+                ),
+                "dim_livreur": lambda: dimensions.courier_dimension(self.orders),
+            }
+        )
+        built = {**first, **second}
+        return {name: built[name] for name in schemas.DIMENSIONS}
+
+    def _staged(self, tables: dict[str, Callable[[], DataFrame]], **others: Callable) -> dict[str, DataFrame]:
+        """Build and stage tables side by side."""
+        work = {name: lambda n=name, build=build: stage(build(), n) for name, build in tables.items()}
+        return side_by_side(self.spark, {**others, **work})
 
     @cached_property
     def rows(self) -> dict[str, int]:

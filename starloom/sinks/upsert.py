@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.operators import quality
 from starloom.session import stage
 
 KEY = "id_commande"
@@ -37,13 +38,15 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
     written, and a run that died half way is repaired by running it again: rows
     are looked for wherever they now are. A known line keeps its load time.
 
-    The batch is read several times: it is staged first, unless the caller says
+    A batch that breaks a declared constraint of the fact, such as a missing or
+    repeated key, is refused whole. The batch is read several times: it is staged first, unless the caller says
     that it already comes from a staged table.
     """
     spark = batch.sparkSession
     dated = schemas.conform(batch, "fait_ventes", OPTIONAL).withColumn(MONTH, F.floor(F.col("id_date") / 100).cast("int"))
     incoming = dated if staged else stage(dated, "lot")
-    _refuse_unusable_keys(incoming)
+    rules = [r for r in quality.CONSTRAINTS["fait_ventes"] if r.column in incoming.columns]
+    quality.require(quality.check_table(incoming, "fait_ventes", rules))
     load_time = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
 
     stored = read_stored(spark, path)
@@ -64,13 +67,6 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
             merged.limit(0).drop(MONTH).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
 
 
-def _refuse_unusable_keys(batch: DataFrame) -> None:
-    """A key that is missing or occurs twice would make the result depend on chance."""
-    bad = batch.groupBy(KEY).count().filter(f"count > 1 or {KEY} is null").limit(1).collect()
-    if bad:
-        raise ValueError(f"batch holds order line {bad[0][0]} {bad[0][1]} times")
-
-
 def _defaults(batch: DataFrame) -> dict[str, Column]:
     return {c: F.lit(value) for c, value in OPTIONAL.items() if c not in batch.columns}
 
