@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, rules
+from starloom.llm import fingerprints, jaccard, rules
 from starloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def _query(function):
     return function
 
 
+@_query
+def op1_document_fingerprints(spark, folder):
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    return fingerprints.fingerprint_edits(table(spark, folder, "documents"))
+
+
 @_query
 def op5_quality_rules(spark, folder):
     """Counts and verdict of every document; cutoffs from all labels, by language."""
