@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import fingerprints, jaccard, rules
+from starloom.llm import fingerprints, jaccard, pieces, rules
 from starloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(spark: SparkSession) -> str:
+    """The SentencePiece model: the setting starloom.sentencepiece.model, or the public 32k model."""
+    return spark.conf.get("starloom.sentencepiece.model", None) or public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _query(function):
     QUERIES[function.__name__] = function
     return function
@@ -42,3 +48,9 @@ def op5_quality_rules(spark, folder):
 def op6_ngram_jaccard_join(spark, folder):
     """Class and number of links of every document: five words, similarity 0.8."""
     return jaccard.similar(table(spark, folder, "documents"))
+
+
+@_query
+def op10_sentencepiece(spark, folder):
+    """Pieces of every document and the text decoded from them, as digests."""
+    return pieces.encoding_digests(table(spark, folder, "documents"), tokenizer_path(spark))

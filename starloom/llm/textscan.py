@@ -39,19 +39,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Words:
+class Spans:
+    """Some bytes, and hashes of ranges of them."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+        powers = _powers_to(len(data))
+        self._sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUE[data] * powers[0][: len(data)], out=self._sums[1:])
+
+    def hash_spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        shifted = (self._sums[ends] - self._sums[starts]) * _powers_to(len(self.data))[1][starts]
+        return mix(shifted + (ends - starts).astype(np.uint64))
+
+
+class Words(Spans):
     """The words of some texts: hash, start, end (bytes in data) and, per text, the first word's place in bounds."""
 
     def __init__(self, texts: list[bytes], lower: bool = False):
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.offsets = np.concatenate(([0], np.cumsum(lengths)))
-        raw = b"".join(texts)
-        self.data = np.frombuffer(raw, np.uint8)
-        if lower:
-            self.data = _LOWER[self.data]
-        n = len(raw)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        super().__init__(_LOWER[data] if lower else data)
+        n = len(data)
         word = np.zeros(n + 2, bool)
-        word[1:-1] = ~_BLANK[self.data]
+        word[1:-1] = ~_BLANK[data]
         edge = np.zeros(n + 1, bool)
         edge[self.offsets] = True
         self.starts = np.flatnonzero(word[1:] & (~word[:-1] | edge))
@@ -59,15 +71,6 @@ class Words:
         self.hashes = self.hash_spans(self.starts, self.ends)
         self.bounds = np.searchsorted(self.starts, self.offsets)
 
-    def hash_spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hashes of the byte ranges."""
-        if not hasattr(self, "_sums"):
-            powers = _powers_to(len(self.data))
-            self._sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_VALUE[self.data] * powers[0][: len(self.data)], out=self._sums[1:])
-        shifted = (self._sums[ends] - self._sums[starts]) * _powers_to(len(self.data))[1][starts]
-        return mix(shifted + (ends - starts).astype(np.uint64))
-
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)
 
@@ -105,6 +108,11 @@ def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, i
 
 def hash_of(word: str | bytes) -> int:
     """The hash of one word, as Words gives it."""
-    data = word.encode() if isinstance(word, str) else word
-    scan = Words([data])
-    return int(scan.hash_spans(np.array([0]), np.array([len(data)]))[0])
+    data = np.frombuffer(word.encode() if isinstance(word, str) else word, np.uint8)
+    return int(Spans(data).hash_spans(np.array([0]), np.array([len(data)]))[0])
+
+
+def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ranges of data one after the other."""
+    ends = np.cumsum(lengths)
+    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)]
