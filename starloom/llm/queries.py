@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import fingerprints, jaccard, pieces, rules
+from starloom.llm import fingerprints, jaccard, mixing, pieces, rules, warc
 from starloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,19 @@ def op6_ngram_jaccard_join(spark, folder):
     return jaccard.similar(table(spark, folder, "documents"))
 
 
+@_query
+def op8_mixing(spark, folder):
+    """Every document's place in a mix of all sources, weighted by the root of their number of documents."""
+    docs = table(spark, folder, "documents")
+    return mixing.mix(docs, mixing.natural_weights(docs, "source"))
+
+
+@_query
+def op9_warc(spark, folder):
+    """Every page written to seekable bundles and read back."""
+    return warc.archive(table(spark, folder, "pages")).drop("url", "payload")
+
+
 @_query
 def op10_sentencepiece(spark, folder):
     """Pieces of every document and the text decoded from them, as digests."""
