@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import fingerprints, jaccard, mixing, pieces, rules, warc
+from starloom.llm import fingerprints, jaccard, mixing, pieces, pii, rules, warc
 from starloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,14 @@ def op1_document_fingerprints(spark, folder):
     return fingerprints.fingerprint_edits(table(spark, folder, "documents"))
 
 
+@_query
+def op2_personal_data(spark, folder):
+    """Personal data in every document: counts and digest of the patterns' spans, and all spans."""
+    found = pii.find_personal_data(table(spark, folder, "documents"), ["doc_id"])
+    counts = [F.regexp_count("_base", F.lit(rf"\b{kind}:")).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("_base", 256).alias("base_sha256"), F.col("_spans").alias("spans"))
+
+
 @_query
 def op5_quality_rules(spark, folder):
     """Counts and verdict of every document; cutoffs from all labels, by language."""
