@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import fingerprints, jaccard, mixing, pieces, pii, rules, warc
+from starloom.llm import fingerprints, jaccard, mixing, pieces, pii, rules, scoring, warc
 from starloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def op2_personal_data(spark, folder):
     return found.select("doc_id", *counts, F.sha2("_base", 256).alias("base_sha256"), F.col("_spans").alias("spans"))
 
 
+@_query
+def op3_lm_scoring(spark, folder):
+    """Every document under the unigram counts and the log-bilinear model of the documents not held out."""
+    return scoring.score(table(spark, folder, "documents"))
+
+
 @_query
 def op5_quality_rules(spark, folder):
     """Counts and verdict of every document; cutoffs from all labels, by language."""
