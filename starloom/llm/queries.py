@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import fingerprints, jaccard, mixing, pieces, pii, rules, scoring, warc
+from starloom.llm import fingerprints, jaccard, licenses, mixing, pieces, pii, rules, scoring, toxicity, warc
 from starloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,14 @@ def op3_lm_scoring(spark, folder):
     return scoring.score(table(spark, folder, "documents"))
 
 
+@_query
+def op4_license_scans(spark, folder):
+    """Every license notice in every document, with its differences from the template."""
+    found = licenses.find_licenses(table(spark, folder, "documents"))
+    words = [F.array_join(name, " ").alias(name) for name in ("missing", "added")]
+    return found.select("doc_id", "license", "start", "end", "reduction", "agreement", *words, "wording")
+
+
 @_query
 def op5_quality_rules(spark, folder):
     """Counts and verdict of every document; cutoffs from all labels, by language."""
@@ -64,6 +72,12 @@ def op6_ngram_jaccard_join(spark, folder):
     return jaccard.similar(table(spark, folder, "documents"))
 
 
+@_query
+def op7_toxicity(spark, folder):
+    """Grade and expected severity of every document."""
+    return toxicity.grade(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @_query
 def op8_mixing(spark, folder):
     """Every document's place in a mix of all sources, weighted by the root of their number of documents."""

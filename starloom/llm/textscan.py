@@ -18,6 +18,12 @@ _BASE = np.uint64(int(_random.integers(1 << 62)) * 2 + 1)
 _VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LETTERS = np.ones(256, bool)
+_LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+_ALNUM = _LETTERS.copy()
+_ALNUM[0x30:0x3A] = False
+# What separates words: white space, or all ASCII that is no letter (or digit). Other characters count as letters there.
+SEPARATORS = {"blank": _BLANK, "letters": _LETTERS, "alnum": _ALNUM}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -56,14 +62,14 @@ class Spans:
 class Words(Spans):
     """The words of some texts: hash, start, end (bytes in data) and, per text, the first word's place in bounds."""
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, words: str = "blank"):
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.offsets = np.concatenate(([0], np.cumsum(lengths)))
         data = np.frombuffer(b"".join(texts), np.uint8)
         super().__init__(_LOWER[data] if lower else data)
         n = len(data)
         word = np.zeros(n + 2, bool)
-        word[1:-1] = ~_BLANK[data]
+        word[1:-1] = ~SEPARATORS[words][data]
         edge = np.zeros(n + 1, bool)
         edge[self.offsets] = True
         self.starts = np.flatnonzero(word[1:] & (~word[:-1] | edge))
