@@ -284,3 +284,17 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Simil
         F.coalesce(F.col("copies") - 1 + F.col("links"), F.lit(0)).alias("n_links"),
         "n_ngrams",
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Similarity = Similarity()) -> DataFrame:
+    """The rows of docs that stand for their class: that with the smallest id. Columns are docs' own.
+
+    Of rows that repeat an id one stays. Rows without an id stay.
+    """
+    found = stage(similar(docs, key, text, how), "classes")
+    others = found.filter(F.col("class_id") != F.col(key)).select(key)
+    first = keep_ids(docs, others, key, keep=False)
+    repeated = stage(found.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(key).filter(F.col(key).isNotNull()), "repeated")
+    if repeated.isEmpty():
+        return first
+    return keep_ids(first, repeated, key, keep=False).unionByName(keep_ids(first, repeated, key).dropDuplicates([key]))

@@ -30,6 +30,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.llm.frames import BROADCAST_ROWS
+from starloom.session import stage
+
 
 NO_SOURCE = "\0null"
 
@@ -146,3 +149,18 @@ def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", k
         (F.col("slot") * how.block_rows + F.col("_rank") % how.block_rows).alias("position"),
         (F.col("_whole") / F.lit(float(period))).alias("share"),
     )
+
+
+def in_mixed_order(docs: DataFrame, weights: Mapping[str, float], source: str = "source", key: str = "doc_id", how: Mixing = Mixing()) -> DataFrame:
+    """All rows of docs in the order of the mix: sorted across and inside the partitions, and so in files written from it.
+
+    Of a repeated id all rows stand at its first position; rows without an id come last.
+    """
+    places = mix(docs, weights, source, key, how).groupBy(F.col(key).alias("_key")).agg(F.min("position").alias("_position"))
+    places = stage(places.filter("_key is not null"), "positions")
+    if places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        places = F.broadcast(places)
+    placed = docs.join(places, docs[key] == places["_key"], "left")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.col("_position").asc_nulls_last()
+    return placed.repartitionByRange(parts, order).sortWithinPartitions(order).drop("_key", "_position")

@@ -327,3 +327,14 @@ def encoding_digests(docs: DataFrame, model: str, key: str = "doc_id", text: str
 
     columns = "n_tokens long, ids_sha256 string, decoded_sha256 string, ends_sha256 string"
     return _encoded(docs, model, key, text, columns, fill)
+
+
+def training_tokens(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_tokens, ids, decoded_sha256) per row: the tokens to train on, and the digest of the text decoded from them."""
+
+    def fill(found: Encoded) -> list[pa.Array]:
+        amounts = pa.array([len(own) for own in found.ids], pa.int64())
+        decoded = pa.array([hashlib.sha256(value).hexdigest() for value in found.decoded], pa.string())
+        return [amounts, pa.array(found.ids, pa.list_(pa.int32())), decoded]
+
+    return _encoded(docs, model, key, text, "n_tokens long, ids array<int>, decoded_sha256 string", fill)

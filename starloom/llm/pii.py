@@ -304,21 +304,33 @@ def find_personal_data(docs: DataFrame, keep: list[str], key: str = "doc_id", te
     The tagger's weights, some 80 kB whatever the input, go along with the task.
     """
     weights = pickle.dumps({k: w.astype(np.float32) for k, w in train(sample_texts(docs, key, text, how), how).weights.items()})
-    source = docs.select(*[F.col(c) for c in keep], F.col(text).alias("_text"))
+    own = {name: f"c{k}" for k, name in enumerate(keep)}
+    source = docs.select(*[F.col(name).alias(short) for name, short in own.items()], F.col(text).alias("_text"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = texts_of(batch, "_text")
         base = [base_spans(t) for t in texts]
         spans = [join_spans(b, m) for b, m in zip(base, model_spans(_restore(weights), texts, how), strict=True)]
         columns = [[redact(t, s) for t, s in zip(texts, spans, strict=True)], map(written, base), map(written, spans)]
-        return pa.RecordBatch.from_arrays(
-            [*(batch.column(k) for k in range(len(keep))), *(pa.array(list(c), pa.string()) for c in columns)],
-            [*(f"k{k}" for k in range(len(keep))), "_text", "_base", "_spans"],
-        )
-
-    kept = [(f"k{k}", source.schema[k].dataType.simpleString()) for k in range(len(keep))]
-    schema = ", ".join(f"{name} {kind}" for name, kind in kept) + ", _text string, _base string, _spans string"
-    return map_batches(source, work, schema).toDF(*keep, "_text", "_base", "_spans")
+        kept = [batch.column(short) for short in own.values()]
+        made = [pa.array(list(c), pa.string()) for c in columns]
+        return pa.RecordBatch.from_arrays([*kept, *made], [*own.values(), "_text", "_base", "_spans"])
+
+    kept = [f"{short} {source.schema[short].dataType.simpleString()}" for short in own.values()]
+    found = map_batches(source, work, ", ".join([*kept, "_text string, _base string, _spans string"]))
+    return found.toDF(*keep, "_text", "_base", "_spans")
+
+
+def redact_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars", how: Training = Training()) -> DataFrame:
+    """docs with every span replaced by its kind in angle brackets, and the length, if there is one, brought up to date."""
+    others = [name for name in docs.columns if name != text]
+    found = find_personal_data(docs, others, key, text, how)
+    changed = found.toDF(*[f"c{k}" for k in range(len(others))], "_text", "_base", "_spans")
+    short = dict(zip(others, changed.columns, strict=False)) | {text: "_text"}
+    columns = {name: F.col(short[name]) for name in docs.columns}
+    if length in columns:
+        columns[length] = F.length("_text").cast(docs.schema[length].dataType)
+    return changed.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def redact(text: str, spans: list[Span]) -> str:

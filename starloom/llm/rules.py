@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import map_batches, prepare, texts_of
+from starloom.llm.frames import keep_ids, map_batches, prepare, texts_of
 from starloom.session import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,19 +86,30 @@ def measure_text(text: str) -> tuple[int, ...]:
 
 
 def measure(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns in keep with the measures of each text. Reads only these columns."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    """The columns in keep with the measures of each text. Reads only these columns and the text."""
+    source = docs.select(*keep) if text in keep else docs.select(*keep, text)
     names = [part.split()[0] for part in MEASURES.split(", ")]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = zip(*map(measure_text, texts_of(batch, "_text")), strict=True)
+        columns = zip(*map(measure_text, texts_of(batch, text)), strict=True)
         kept = [batch.column(name) for name in keep]
         return pa.RecordBatch.from_arrays([*kept, *(pa.array(c, pa.int64()) for c in columns)], [*keep, *names])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in keep)
     return map_batches(source, work, f"{schema}, {MEASURES}")
 
 
+def filter_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", text: str = "text", risk: Risk = Risk()) -> DataFrame:
+    """The rows of docs that neither the fixed rules nor the learned cutoffs reject, with docs' own columns."""
+    own = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+    plain = docs.toDF(*own.values())
+    marked = keep_ids(plain, labels.select(F.col(key).alias(own[key])), own[key])
+    measured = stage(measure(marked, [own[key], own[stratum]], own[text]), "measures")
+    chosen = cutoffs(measured, labels.withColumnRenamed(key, own[key]), own[key], own[stratum], risk)
+    judged = judge(measure(plain, list(own.values()), own[text]), chosen, own[stratum], risk)
+    return judged.filter("kept").select(*own.values()).toDF(*docs.columns)
+
+
 def base_failed() -> Column:
     """The fixed rules: too few words, or too many of them in repeated windows."""
     return F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
