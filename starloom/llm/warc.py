@@ -118,7 +118,7 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def with_revisits(pages: DataFrame, key: str, payload: str, least: int) -> tuple[DataFrame, DataFrame]:
-    """Digest and size of every row, and (_id, _first) of every revisit. Payloads are not shuffled."""
+    """Digest and size of every row, and (_id, _digest, _first) of every revisit. Payloads are not shuffled."""
     content = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     digests = pages.select(
         F.col(key).alias("_id"), F.sha2(content, 256).alias("_digest"), F.octet_length(content).cast("long").alias("_size")
@@ -126,7 +126,7 @@ def with_revisits(pages: DataFrame, key: str, payload: str, least: int) -> tuple
     digests = stage(digests, "payload-digests")
     large = digests.filter(F.col("_size") >= least)
     firsts = large.groupBy("_digest").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    return digests, large.join(firsts, "_digest").filter("_id > _first").select("_id", "_first").distinct()
+    return digests, large.join(firsts, "_digest").filter("_id > _first").select("_id", "_digest", "_first").distinct()
 
 
 def write_bundles(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", how: Bundling = Bundling()) -> DataFrame:
@@ -140,18 +140,21 @@ def write_bundles(pages: DataFrame, folder: str, key: str = "page_id", url: str
         F.col(key).cast("long").alias("_id"), F.col(url).cast("string").alias("_url"),
         F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("_payload"),
     )
-    # Ids of revisits are unique among the ids, so a hot payload is no hot key here.
-    known = source.join(revisits.select(F.col("_id").alias("_again"), "_first"), F.col("_id") == F.col("_again"), "left").drop("_again")
+    # Marks of revisits travel as rows of their own and stand before the page they mark: payloads are shuffled once,
+    # and pages of a hot payload lie in as many bundles as others.
+    marks = revisits.select("_id", F.lit(None).cast("string").alias("_url"), F.lit(None).cast("binary").alias("_payload"), "_digest", "_first")
+    empty = {"_digest": F.lit(None).cast("string"), "_first": F.lit(None).cast("long")}
+    rows = source.withColumns(empty).unionByName(marks)
     spread = F.pmod(F.xxhash64("_id", F.when(F.col("_id").isNull(), F.xxhash64("_payload"))), F.lit(bundles)).cast("int")
-    dealt = known.withColumn("_bundle", spread).repartition(int(bundles), "_bundle")
-    ordered = dealt.sortWithinPartitions("_bundle", "_id", F.xxhash64("_payload"))
+    dealt = rows.withColumn("_bundle", spread).repartition(int(bundles), "_bundle")
+    ordered = dealt.sortWithinPartitions("_bundle", "_id", F.col("_first").isNull(), F.xxhash64("_payload"))
     schema = "page_id long, bundle string, frame int, offset long, length long"
     return stage(ordered.mapInArrow(lambda batches: _write(batches, folder, how), schema), "warc-index")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        columns = [batch.column(n) for n in ("_bundle", "_id", "_url", "_payload", "_first")]
+        columns = [batch.column(n) for n in ("_bundle", "_id", "_url", "_payload", "_digest", "_first")]
         for k in range(batch.num_rows):
             yield tuple(column[k].as_py() for column in columns)
 
@@ -159,7 +162,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def _write(batches: Iterator[pa.RecordBatch], folder: str, how: Bundling) -> Iterator[pa.RecordBatch]:
     files, root = fs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
-    bundle, writer, held, index = None, None, [], []
+    bundle, marked, writer, held, index = None, None, None, [], []
 
     def flush():
         if held:
@@ -177,7 +180,13 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, how: Bundling) -> Ite
         index.clear()
         return pa.RecordBatch.from_arrays(columns, names)
 
-    for number, page, url, payload, first in _rows(batches):
+    marks: dict[tuple[int, str], int] = {}
+    for number, page, url, payload, mark, first in _rows(batches):
+        if first is not None:
+            if marks and page != marked:
+                marks.clear()
+            marked, marks[page, mark] = page, first
+            continue
         if number != bundle:
             if writer:
                 yield close()
@@ -185,7 +194,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, how: Bundling) -> Ite
             writer = SeekableWriter(files.open_output_stream(f"{root}/{temporary}", compression=None), how.level)
             order = 0
         order += 1
-        made = record(page, url, payload, hashlib.sha256(payload).hexdigest(), len(payload), first, order)
+        digest = hashlib.sha256(payload).hexdigest()
+        made = record(page, url, payload, digest, len(payload), marks.get((page, digest)), order)
         if held and sum(map(len, held)) + len(made) > how.frame_bytes:
             flush()
         index.append((page, f"bundle-{number:06d}.warc.zst", len(writer.frames), sum(map(len, held)), len(made)))
