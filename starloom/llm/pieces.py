@@ -37,7 +37,7 @@ from starloom.llm.frames import map_batches, texts_of
 from starloom.llm.textscan import Spans, gather
 
 SPACE = "▁".encode()
-REMEMBERED_PARTS = 300_000
+REMEMBERED_PARTS = 100_000
 
 
 class CharMap:
@@ -288,8 +288,8 @@ def _encoded(docs: DataFrame, model: str, key: str, text: str, columns: str, fil
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = []
-        for first in range(0, batch.num_rows, 500):
-            some = batch.slice(first, 500)
+        for first in range(0, batch.num_rows, 250):
+            some = batch.slice(first, 250)
             found = load(name).encode(texts_of(some, "_text"))
             made.append(pa.RecordBatch.from_arrays([some.column("_id"), *fill(found)], ["_id", *names]))
         return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
