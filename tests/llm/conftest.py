@@ -1,0 +1,27 @@
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, _text string, kept string, class_id string, position string"
+
+
+@pytest.fixture
+def odd_docs(spark):
+    """Nulls in every column, empty and long texts, repeated rows and ids, columns with clashing names."""
+    words = " ".join(f"word{k} part{k % 7}" for k in range(120))
+    rows = [
+        (1, words, "en", "a"), (2, words, "en", "a"), (2, words, "en", "a"), (3, words + " one two", None, "a"),
+        (4, None, "en", None), (5, "", "de", "b"), (6, "  \n\n ", "de", "b"), (None, words, "en", "b"), (None, None, None, None),
+        (7, "é中😀 " * 3000, "fr", "c"), (8, "x" * 20_000, "fr", "c"), (9, "call +1 (743) 555-3824 now", "en", "c"),
+        (10, "one", "en", "c"), (11, "Released under the MIT License.\nyou idiot", "en", "c"),
+    ]
+    return spark.createDataFrame([(i, t, l, s, len(t or ""), "x", "y", "z", None) for i, t, l, s in rows], DOCS)
+
+
+@pytest.fixture
+def no_docs(odd_docs):
+    return odd_docs.limit(0)
+
+
+@pytest.fixture
+def odd_labels(spark):
+    rows = [(1, 1, 0), (3, 1, 0), (9, 1, 0), (11, 0, 1), (11, 0, 0), (8, 0, None), (None, 1, 1), (7, 5, 7)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
