@@ -285,12 +285,17 @@ def train(texts: list[str], how: Training = Training()) -> Tagger:
 
 
 def sample_texts(docs: DataFrame, key: str, text: str, how: Training) -> list[str]:
-    """A bounded sample of texts with digits or an @, by a hash of the key; the same for the same documents."""
-    near = docs.select(F.col(text).alias("_text"), F.xxhash64(F.col(key)).alias("_draw"))
+    """A bounded sample of texts with digits or an @, by a hash of key and text: about how.sample_documents, at most twice that.
+
+    The texts are counted first, so that each task sends its share of the sample only.
+    """
+    near = docs.select(F.col(text).alias("_text"), (F.xxhash64(F.col(key), F.col(text)) / 2.0**64 + 0.5).alias("_draw"))
     placed = near.withColumn("_at", F.regexp_instr("_text", F.lit("[0-9@]"))).filter("_at > 0")
+    share = how.sample_documents / max(1, placed.count())
     # Of a long text, what lies around its first digit or @.
     around = F.expr("substring(_text, greatest(_at - 2000, 1), 4000)").alias("_around")
-    return [r["_around"] for r in placed.select("_draw", around).orderBy("_draw", "_around").limit(how.sample_documents).collect()]
+    chosen = placed.filter(F.col("_draw") < share).select(around).limit(2 * how.sample_documents).collect()
+    return sorted(r["_around"] for r in chosen)
 
 
 @lru_cache(maxsize=1)

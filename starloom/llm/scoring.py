@@ -74,6 +74,23 @@ def word_counts(training: DataFrame) -> DataFrame:
     return map_batches(training.select("_text"), work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, limit: int) -> DataFrame:
+    """The words of counts above a frequency that at most limit words reach.
+
+    The frequency is read from a histogram over steps of a 64th of a doubling,
+    so that no task sends more than its share of the words.
+    """
+    step = F.floor(F.log2("n") * 64).cast("int")
+    histogram = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
+    total, least = 0, None
+    for row in histogram:
+        total += row["count"]
+        if total > limit:
+            break
+        least = row["step"]
+    return counts.filter(step >= least) if least is not None else counts.limit(0)
+
+
 class Lookup:
     """Values by sorted 64-bit keys."""
 
@@ -180,7 +197,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Scoring
     counts = stage(word_counts(training), "word-counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     scale = tokens + 0.5 * (distinct + 1)
-    top = counts.orderBy(F.desc("n"), "word").limit(how.frequent_words).toArrow()
+    top = frequent_words(counts, how.frequent_words).toArrow()
     words, n = top.column("word").to_numpy(), top.column("n").to_numpy()
     if END not in words:
         ends = counts.filter(F.col("word") == END).first()
