@@ -95,3 +95,12 @@ def op9_warc(spark, folder):
 def op10_sentencepiece(spark, folder):
     """Pieces of every document and the text decoded from them, as digests."""
     return pieces.encoding_digests(table(spark, folder, "documents"), tokenizer_path(spark))
+
+
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first_id FROM p)
+SELECT page_id, CASE WHEN n >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id > first_id THEN first_id END AS refers_to, d AS payload_digest, CAST(n AS BIGINT) AS payload_bytes
+FROM f
+"""
