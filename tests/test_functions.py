@@ -24,7 +24,12 @@ from starloom.functions.text import title_case
         ("2024/01/05", None),
         ("20240115", None),
         ("15-Nov-2024", None),
-        ("2024-01-15 ", None),
+        ("2024-01-15 ", date(2024, 1, 15)),
+        (" 2024-01-05", date(2024, 1, 5)),
+        ("5/1/2024", date(2024, 1, 5)),
+        ("Mar 5 2024", date(2024, 3, 5)),
+        ("2024-1-5", date(2024, 1, 5)),
+        ("5/13/2024", None),
         ("", None),
         (None, None),
     ],
@@ -53,7 +58,7 @@ def test_title_case(frame, text, expected):
     assert frame("t string", (text,)).select(title_case(F.col("t"))).first()[0] == expected
 
 
-@pytest.mark.parametrize("text, expected", [("5", 5), (" 12.5 ", 12.5), ("-3", -3), ("x", None), ("", None), (None, None)])
+@pytest.mark.parametrize("text, expected", [("5", 5), (" 12.5 ", 12.5), ("-3", -3), ("123456789012345", 123456789012345), ("0.00004", 0.00004), ("2.000049", 2.000049), ("x", None), ("", None), (None, None)])
 def test_to_number(frame, text, expected):
     value = frame("t string", (text,)).select(to_number(F.col("t"))).first()[0]
     assert (None if value is None else float(value)) == expected
