@@ -143,3 +143,15 @@ def test_history_merge(frame):
         (6, "a", "Silver", date(2025, 1, 1), end, True),
         (7, "e", "Gold", date(2025, 1, 1), end, True),
     ]
+
+
+def test_untracked_columns_are_updated_in_place(frame):
+    schema = "sk int, nk string, seg string, ville string, date_debut date, date_fin date, est_actif boolean"
+    end = date(9999, 12, 31)
+    current = frame(schema, (1, "a", "Gold", "X", date(2024, 1, 1), end, True), (2, "b", "Gold", "X", date(2024, 6, 1), end, True))
+    incoming = frame("nk string, seg string, ville string", ("a", "Gold", "Y"), ("b", "Bronze", "Z"), ("c", "Silver", "W"))
+    merged = merge_versions(current, incoming, "sk", "nk", ["seg"], date(2024, 6, 1))
+    rows = {(r.sk, r.nk, r.seg, r.ville, r.est_actif) for r in merged.collect()}
+    assert {(1, "a", "Gold", "Y", True), (3, "c", "Silver", "W", True)} <= rows
+    # b opened on the same day: changed in place.
+    assert {r for r in rows if r[1] == "b"} == {(2, "b", "Bronze", "Z", True)}
