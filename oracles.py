@@ -74,7 +74,7 @@ def _segments(gold: int, silver: int) -> str:
 
 
 def _client_dimension(segments: str) -> str:
-    return f"""SELECT CAST(row_number() OVER (ORDER BY date_inscription NULLS LAST, c.id_client) AS INTEGER) AS id_client_sk,
+    return f"""SELECT CAST(row_number() OVER (ORDER BY date_inscription NULLS LAST, c.id_client) AS BIGINT) AS id_client_sk,
       c.id_client AS id_client_nk, {_title("trim(prenom) || ' ' || trim(nom)")} AS nom_complet, tranche_age, sexe, c.ville,
       coalesce(r.region_admin, 'Non renseignée') AS region_admin,
       coalesce(s.segment_client, 'Bronze') AS segment_client, canal_acquisition,
@@ -176,10 +176,10 @@ _CTES = {
       isodow(j) >= 6 AS est_weekend, strftime(j, '%Y-%m-%d') IN ({", ".join(_text(h) for h in HOLIDAYS)}) AS est_ferie_maroc,
       {" OR ".join(f"j BETWEEN DATE '{a}' AND DATE '{b}'" for a, b in RAMADAN)} AS periode_ramadan
     FROM (SELECT CAST(unnest(generate_series(DATE '2020-01-01', DATE '2025-12-31', INTERVAL 1 DAY)) AS DATE) AS j)""",
-    "dim_produit": """SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER) AS id_produit_sk, id_produit AS id_produit_nk,
+    "dim_produit": """SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS BIGINT) AS id_produit_sk, id_produit AS id_produit_nk,
       nom AS nom_produit, categorie, sous_categorie, marque, fournisseur, prix_catalogue AS prix_standard, origine_pays,
       DATE '2026-06-01' AS date_debut, DATE '9999-12-31' AS date_fin, true AS est_actif FROM produits""",
-    "dim_region": """SELECT CAST(row_number() OVER (ORDER BY n_nationkey) AS INTEGER) AS id_region, trim(nom_ville_standard) AS ville,
+    "dim_region": """SELECT CAST(row_number() OVER (ORDER BY n_nationkey) AS BIGINT) AS id_region, trim(nom_ville_standard) AS ville,
       province, region_admin, zone_geo, 'Maroc' AS pays FROM raw_regions""",
     "dim_client": _client_dimension("segments"),
     "dim_client_neuf": _client_dimension("segments_bas"),
@@ -187,7 +187,7 @@ _CTES = {
       CASE WHEN nk = '-1' THEN 'Livreur inconnu' ELSE 'Livreur ' || nk END AS nom_livreur,
       CASE WHEN nk = '-1' THEN 'Inconnu' ELSE {_list(TRANSPORTS)}[id_livreur % 3 + 1] END AS type_transport,
       CASE WHEN nk = '-1' THEN 'Inconnue' ELSE {_list(ZONES)}[id_livreur % 7 + 1] END AS zone_couverture
-    FROM (SELECT nk, CAST(row_number() OVER (ORDER BY nk) AS INTEGER) AS id_livreur
+    FROM (SELECT nk, CAST(row_number() OVER (ORDER BY nk) AS BIGINT) AS id_livreur
           FROM (SELECT id_livreur AS nk FROM commandes UNION SELECT '-1'))""",
     "fait": f"""SELECT c.id_commande, {_key("c.date_commande")} AS id_date, coalesce(p.id_produit_sk, 1) AS id_produit,
       coalesce(k.id_client_sk, 1) AS id_client, coalesce(r.id_region, 1) AS id_region,
@@ -421,7 +421,7 @@ _BODIES = {
       CAST(date_inscription AS VARCHAR) AS date_inscription) FROM clients""",
     "clean_products": "SELECT * EXCLUDE (p_partkey) REPLACE (CAST(prix_catalogue AS DOUBLE) AS prix_catalogue) FROM produits",
     "client_segments": "SELECT id_client, segment_client, CAST(ca_12m AS DOUBLE) AS ca_12m FROM segments",
-    "surrogate_keys": """SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS cle FROM orders""",
+    "surrogate_keys": """SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS cle FROM orders""",
     "dim_temps": """SELECT t.*, coalesce(n, 0) AS nb_lignes FROM dim_temps t
       LEFT JOIN (SELECT id_date, count(*) AS n FROM fait GROUP BY id_date) f USING (id_date)""",
     "dim_produit": _PRODUCT_DIMENSION,
@@ -503,14 +503,36 @@ _BODIES = {
         CASE WHEN {_CHANGED} THEN DATE '2026-06-30' ELSE c.date_fin END AS date_fin, NOT ({_CHANGED}) AS est_actif
       FROM dim_client c JOIN dim_client_neuf n USING (id_client_nk)
       UNION ALL
-      SELECT CAST((SELECT max(id_client_sk) FROM dim_client) + row_number() OVER (ORDER BY n.id_client_nk) AS INTEGER),
+      SELECT CAST((SELECT max(id_client_sk) FROM dim_client) + row_number() OVER (ORDER BY n.id_client_nk) AS BIGINT),
         n.id_client_nk, {", ".join("n." + t for t in _TRACKED)}, DATE '2026-07-01', DATE '9999-12-31', true
       FROM dim_client c JOIN dim_client_neuf n USING (id_client_nk) WHERE {_CHANGED})""",
+    "pipeline_second_run": """SELECT c.id_commande,
+        coalesce(k.id_client, (SELECT id_client FROM clients WHERE date_inscription >= DATE '2022-01-01'
+                               ORDER BY date_inscription, id_client LIMIT 1)) AS id_client_nk,
+        coalesce(p.id_produit, (SELECT id_produit FROM produits WHERE actif ORDER BY p_partkey LIMIT 1)) AS id_produit_nk,
+        coalesce(r.ville, (SELECT ville FROM dim_region WHERE id_region = 1)) AS ville, c.id_livreur AS id_livreur_nk
+      FROM commandes c
+      LEFT JOIN clients k ON k.id_client = c.id_client
+        AND (c.date_commande >= DATE '2023-07-01' OR k.date_inscription >= DATE '2022-01-01')
+      LEFT JOIN produits p ON p.id_produit = c.id_produit AND (c.date_commande >= DATE '2023-07-01' OR p.actif)
+      LEFT JOIN dim_region r ON r.ville = c.ville_livraison""",
     "pipeline_end_to_end": f"""SELECT table_name, nb_lignes, CAST(coalesce(regles, 0) AS BIGINT) AS regles,
         CAST(coalesce(regles, 0) AS BIGINT) AS regles_ok
       FROM ({_COUNTS}) LEFT JOIN (VALUES ('dim_client', 2), ('dim_produit', 1), ('fait_ventes', 2)) r(table_name, regles) USING (table_name)""",
 }
 
+_BODIES["load_checks"] = (
+    f"SELECT concat_ws(' ', table_name, colonne, regle) AS check_name, echecs AS nb_echecs FROM ({_CONSTRAINTS})"
+    f" UNION ALL SELECT check_name, nb_orphelines FROM ({_BODIES['orphan_keys']})"
+)
+_BODIES["reports_refresh"] = " UNION ALL ".join(
+    f"SELECT '{stored}' AS table_name, count(*) AS nb_lignes, CAST(sum({total}) AS BIGINT) AS total FROM ({_BODIES[report]})"
+    for stored, report, total in (
+        ("mv_ca_mensuel", "mv_monthly_revenue", "volume_vendu"), ("mv_top_produits", "mv_top_products", "qte_totale"),
+        ("mv_taux_retour", "mv_return_rate", "nb_retournees"), ("mv_performance_livreurs", "mv_courier_performance", "nb_livraisons"),
+    )
+)
+
 
 def statements() -> dict[str, str]:
     return {name: _statement(body) for name, body in _BODIES.items()}

@@ -37,4 +37,4 @@ def date_key(day: Column) -> Column:
 
 def nth_name(names: tuple[str, ...], position: Column) -> Column:
     """The name at a 1-based position."""
-    return F.element_at(F.array(*[F.lit(n) for n in names]), position)
+    return F.element_at(F.array(*[F.lit(n) for n in names]), position.cast("int"))

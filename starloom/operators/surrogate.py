@@ -31,6 +31,6 @@ def assign_keys(df: DataFrame, order: Sequence[Column], name: str, after: int |
     return (
         placed.withColumn("_tranche", slice_of)
         .join(F.broadcast(offsets), "_tranche")
-        .withColumn(name, key.cast("int"))
+        .withColumn(name, key.cast("long"))
         .drop("_place", "_tranche", "_avant")
     )

@@ -8,11 +8,36 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.latest import keep_latest
 from starloom.operators.surrogate import assign_keys
 from starloom.session import stage
 from starloom.settings import OPEN_END
 
 
+def one_per_key(df: DataFrame, sk: str, nk: str) -> DataFrame:
+    """The row with the highest sk of every natural key; a row without one could not be recognized later."""
+    return keep_latest(df.filter(F.col(nk).isNotNull()), [nk], [F.desc(sk)])
+
+
+def extend_keys(current: DataFrame, incoming: DataFrame, sk: str, nk: str) -> DataFrame:
+    """A dimension without history after a run in which incoming holds the present rows.
+
+    Known natural keys keep their key and take the incoming attributes, new ones
+    follow the highest key in the order of incoming's own keys, missing ones stay.
+    """
+    state = one_per_key(incoming, sk, nk)
+    columns = current.columns
+    known = current.select(sk, nk).join(state.drop(sk), nk).select(columns)
+    missing = current.join(state.select(nk), nk, "left_anti").select(columns)
+    unseen = state.join(current.select(nk), nk, "left_anti").withColumnRenamed(sk, "_ordre")
+    numbered = assign_keys(unseen, [F.col("_ordre")], sk, after=highest_key(current, sk))
+    return missing.unionByName(known).unionByName(numbered.select(columns))
+
+
+def highest_key(current: DataFrame, sk: str) -> Column:
+    return current.agg(F.coalesce(F.max(sk), F.lit(0))).scalar()
+
+
 def merge_versions(
     current: DataFrame, incoming: DataFrame, sk: str, nk: str, tracked: Sequence[str], as_of: date
 ) -> DataFrame:
@@ -23,6 +48,7 @@ def merge_versions(
     starts on it. New keys: a first version. Unchanged, closed and missing keys
     stay. New versions are numbered after the highest key, by natural key. A
     version opened on as_of itself is changed in place, so none ends before it starts.
+    incoming holds each natural key once, and none that is null (see one_per_key).
     """
     carried = [c for c in incoming.columns if c in current.columns and c not in (sk, nk, "date_debut", "date_fin", "est_actif")]
     state = incoming.select(nk, *[F.col(c).alias(f"_neuf_{c}") for c in carried], F.lit(True).alias("_present"))
@@ -43,15 +69,16 @@ def merge_versions(
             **{c: F.when(F.col("_present") & ~F.col("_change"), F.col(f"_neuf_{c}")).otherwise(F.col(c)) for c in carried},
         }
     )
-    opened = judged.filter(F.col("_nouveau") | F.col("_change")).select(
+    # Several open versions of one key, stored by a first load, are followed by one.
+    followed = judged.filter(F.col("_nouveau") | F.col("_change")).dropDuplicates([nk])
+    opened = followed.select(
         nk,
         *[F.col(f"_neuf_{c}").alias(c) for c in carried],
         F.lit(as_of).alias("date_debut"),
         F.lit(OPEN_END).alias("date_fin"),
         F.lit(True).alias("est_actif"),
     )
-    highest = current.agg(F.coalesce(F.max(sk), F.lit(0))).scalar()
-    numbered = assign_keys(opened, [F.col(nk)], sk, after=highest)
+    numbered = assign_keys(opened, [F.col(nk)], sk, after=highest_key(current, sk))
     columns = current.columns
     closed = current.filter("not est_actif").select(columns)
     return closed.unionByName(kept.select(columns)).unionByName(numbered.select(columns))

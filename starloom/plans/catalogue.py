@@ -11,12 +11,14 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, ShortType
 
 from starloom import schemas
+from starloom.functions.dates import parse_date
 from starloom.operators import clients, orders, quality
 from starloom.operators.cities import city_lookup
 from starloom.operators.products import clean_products
@@ -24,7 +26,7 @@ from starloom.operators.segments import client_segments
 from starloom.operators.surrogate import assign_keys
 from starloom.operators.versions import merge_versions
 from starloom.plans import audit, dimensions, facts, integrity, questions, reports
-from starloom.plans.warehouse import Warehouse, run, stored_star
+from starloom.plans.warehouse import Warehouse, check_load, run, stored_star
 from starloom.session import scratch_path
 from starloom.settings import Settings
 from starloom.sinks.tables import publish_csv, replace_table, write_csv
@@ -503,5 +505,65 @@ def pipeline_end_to_end(spark, folder):
     )
 
 
+@_query
+def load_checks(spark, folder):
+    """The declared constraints and the foreign keys, on the stored tables of a full run."""
+    target = scratch_path(spark, "entrepot")
+    run(spark, RetailTables(spark, folder), target, SETTINGS, FIRST_LOAD)
+    return check_load(spark, target)
+
+
+@_query
+def reports_refresh(spark, folder):
+    """Rows and a total of each reporting table that a full run stored."""
+    target = scratch_path(spark, "entrepot")
+    run(spark, RetailTables(spark, folder), target, SETTINGS, FIRST_LOAD)
+    totals = {
+        "mv_ca_mensuel": "volume_vendu", "mv_top_produits": "qte_totale",
+        "mv_taux_retour": "nb_retournees", "mv_performance_livreurs": "nb_livraisons",
+    }
+    lines = [
+        spark.read.parquet(f"{target}/{name}").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("nb_lignes"), F.sum(total).alias("total")
+        )
+        for name, total in totals.items()
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
+class FirstDelivery(RetailTables):
+    """What a first run gets: earlier orders, later clients, active products. The second gets everything."""
+
+    def orders(self):
+        return super().orders().filter(parse_date(F.col("date_commande")) < F.lit(date(2023, 7, 1)))
+
+    def clients(self):
+        return super().clients().filter(parse_date(F.col("date_inscription")) >= F.lit(date(2022, 1, 1)))
+
+    def products(self):
+        return super().products().filter("actif")
+
+
+class SecondDelivery(RetailTables):
+    """All clients and products, and the orders the first run did not get."""
+
+    def orders(self):
+        return super().orders().filter(parse_date(F.col("date_commande")) >= F.lit(date(2023, 7, 1)))
+
+
+@_query
+def pipeline_second_run(spark, folder):
+    """Every sale of two runs into one folder, with the natural keys its stored keys stand for."""
+    target = scratch_path(spark, "entrepot")
+    run(spark, FirstDelivery(spark, folder), target, SETTINGS, FIRST_LOAD)
+    run(spark, SecondDelivery(spark, folder), target, replace(SETTINGS, as_of=date(2026, 7, 1)), SECOND_LOAD)
+    star = stored_star(spark, target)
+    sales = star["fait_ventes"].select("id_commande", *[key.output for key in facts.KEY_MAPS])
+    for key in facts.KEY_MAPS:
+        names = star[key.dimension].select(F.col(key.surrogate).alias(key.output), F.col(key.natural))
+        sales = sales.join(names, key.output, "left").drop(key.output)
+    return sales
+
+
 # Names that would hide an imported function carry a trailing underscore.
 QUERIES = {name.rstrip("_"): query for name, query in QUERIES.items()}

@@ -9,6 +9,7 @@ from starloom.functions.dates import date_key, nth_name
 from starloom.functions.text import title_case
 from starloom.operators.lookup import checked_broadcast
 from starloom.operators.surrogate import assign_keys
+from starloom.operators.versions import highest_key
 from starloom.schemas import ARRIVAL, conform
 from starloom.settings import (
     DAY_NAMES, HOLIDAYS, MONTH_NAMES, OPEN_END, RAMADAN, TRANSPORTS, UNKNOWN_CITY, UNKNOWN_COURIER, ZONES, Settings,
@@ -101,18 +102,22 @@ def region_dimension(regions: DataFrame, settings: Settings = Settings()) -> Dat
     )
 
 
-def courier_dimension(orders: DataFrame) -> DataFrame:
+def courier_dimension(orders: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Every courier seen in the orders, in id order, and always the unknown one.
 
     The sources carry no courier attributes: transport and zone are placeholders
-    that follow from the key.
+    that follow from the key. Stored couriers stay as they are; new ones follow
+    the highest stored key.
     """
     unknown = orders.sparkSession.range(1).select(F.lit(UNKNOWN_COURIER).alias("id_livreur_nk"))
     seen = orders.select(F.col("id_livreur").alias("id_livreur_nk")).filter("id_livreur_nk is not null")
-    keyed = assign_keys(seen.unionByName(unknown).distinct(), [F.col("id_livreur_nk")], "id_livreur")
+    found, after = seen.unionByName(unknown).distinct(), 0
+    if stored is not None:
+        found, after = found.join(stored, "id_livreur_nk", "left_anti"), highest_key(stored, "id_livreur")
+    keyed = assign_keys(found, [F.col("id_livreur_nk")], "id_livreur", after)
     known = F.col("id_livreur_nk") != UNKNOWN_COURIER
     placeholder = lambda names: nth_name(names, F.col("id_livreur") % len(names) + 1)
-    return conform(
+    new = conform(
         keyed.withColumns(
             {
                 "nom_livreur": F.when(known, F.concat(F.lit("Livreur "), "id_livreur_nk")).otherwise("Livreur inconnu"),
@@ -122,3 +127,4 @@ def courier_dimension(orders: DataFrame) -> DataFrame:
         ),
         "dim_livreur",
     )
+    return new if stored is None else stored.unionByName(new)

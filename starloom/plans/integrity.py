@@ -42,11 +42,11 @@ def orphan_keys(star: dict[str, DataFrame]) -> DataFrame:
     One pass turns every fact row into its five keys and counts them per key
     before anything is shuffled; the dimensions then meet distinct keys only.
     """
-    pairs = F.array(*[F.struct(F.lit(fk).alias("cle"), F.col(fk).alias("valeur")) for fk in FOREIGN_KEYS])
+    pairs = F.array(*[F.struct(F.lit(fk).alias("cle"), F.col(fk).cast("long").alias("valeur")) for fk in FOREIGN_KEYS])
     used = star["fait_ventes"].select(F.inline(pairs)).groupBy("cle", "valeur").agg(F.count("*").alias("n"))
     known = _union(
         [
-            star[dim].select(F.lit(fk).alias("cle"), F.col(pk).alias("valeur"), F.lit(True).alias("_connu"))
+            star[dim].select(F.lit(fk).alias("cle"), F.col(pk).cast("long").alias("valeur"), F.lit(True).alias("_connu"))
             for fk, (dim, pk) in FOREIGN_KEYS.items()
         ]
     )

@@ -6,7 +6,9 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import quality
@@ -15,24 +17,38 @@ from starloom.operators.clients import clean_clients
 from starloom.operators.orders import clean_orders
 from starloom.operators.products import clean_products
 from starloom.operators.segments import client_segments
-from starloom.plans import dimensions, facts, reports
+from starloom.operators.versions import extend_keys, merge_versions, one_per_key
+from starloom.plans import dimensions, facts, integrity, reports
 from starloom.session import scratch_path, side_by_side, stage
 from starloom.settings import Settings
-from starloom.sinks.tables import publish_csv, replace_table
+from starloom.sinks.journal import finish
+from starloom.sinks.tables import apply_swap, publish_csv, replace_table, swap_table
 from starloom.sinks.upsert import upsert_facts
 from starloom.sources.files import read_published, read_table
 
+# Versioned dimensions: stem of the key columns, and the attributes whose change opens a version.
+KEYS = {"dim_produit": "id_produit", "dim_client": "id_client"}
+TRACKED = {
+    "dim_produit": ["categorie", "sous_categorie"],
+    "dim_client": ["ville", "region_admin", "segment_client"],
+}
+
 
 class Warehouse:
     """The tables of one run, each built once, staged as Parquet and then reread.
 
-    sources offers orders(), clients(), products() and regions().
+    sources offers orders(), clients(), products() and regions(). stored holds
+    the dimensions of an earlier run: known natural keys keep their surrogate
+    keys, so that loaded sales stay with their clients, products and cities.
     """
 
-    def __init__(self, spark: SparkSession, sources, settings: Settings = Settings()):
+    def __init__(
+        self, spark: SparkSession, sources, settings: Settings = Settings(), stored: dict[str, DataFrame] | None = None
+    ):
         self.spark = spark
         self.sources = sources
         self.settings = settings
+        self.stored = stored or {}
         self.checks: list[Row] = []  # rules passed by the last load, one row each
 
     @cached_property
@@ -67,22 +83,36 @@ class Warehouse:
         first = self._staged(
             {
                 "dim_temps": lambda: dimensions.calendar_dimension(self.spark, self.settings),
-                "dim_produit": lambda: dimensions.product_dimension(self.products, self.settings),
-                "dim_region": lambda: dimensions.region_dimension(self.regions, self.settings),
+                "dim_produit": lambda: self._versioned(
+                    "dim_produit", dimensions.product_dimension(self.products, self.settings)
+                ),
+                "dim_region": lambda: self._extended(dimensions.region_dimension(self.regions, self.settings)),
             },
             orders=lambda: self.orders,
         )
         second = self._staged(
             {
-                "dim_client": lambda: dimensions.client_dimension(
-                    self.clients, self.segments, self.regions, self.settings
+                "dim_client": lambda: self._versioned(
+                    "dim_client",
+                    dimensions.client_dimension(self.clients, self.segments, self.regions, self.settings),
                 ),
-                "dim_livreur": lambda: dimensions.courier_dimension(self.orders),
+                "dim_livreur": lambda: dimensions.courier_dimension(self.orders, self.stored.get("dim_livreur")),
             }
         )
         built = {**first, **second}
         return {name: built[name] for name in schemas.DIMENSIONS}
 
+    def _versioned(self, name: str, built: DataFrame) -> DataFrame:
+        """built, or the stored versions brought up to date with it."""
+        if name not in self.stored:
+            return built
+        sk, nk = f"{KEYS[name]}_sk", f"{KEYS[name]}_nk"
+        return merge_versions(self.stored[name], one_per_key(built, sk, nk), sk, nk, TRACKED[name], self.settings.as_of)
+
+    def _extended(self, built: DataFrame) -> DataFrame:
+        stored = self.stored.get("dim_region")
+        return built if stored is None else extend_keys(stored, built, "id_region", "ville")
+
     def _staged(self, tables: dict[str, Callable[[], DataFrame]], **others: Callable) -> dict[str, DataFrame]:
         """Build and stage tables side by side."""
         work = {name: lambda n=name, build=build: stage(build(), n) for name, build in tables.items()}
@@ -119,11 +149,17 @@ class Warehouse:
         return paths
 
     def load_tables(self, folder: str, loaded_at: datetime) -> dict[str, str]:
-        """Replace the dimensions, then upsert the fact, then check the stored tables."""
+        """Store the dimensions, upsert the fact, check the stored tables.
+
+        A folder that holds dimensions takes only a warehouse built on them. Every
+        write can be repeated: after a crash, run again.
+        """
         root = folder.rstrip("/")
+        if not self.stored and stored_dimensions(self.spark, root):
+            raise ValueError(f"{root} holds dimensions: build the warehouse with stored=stored_dimensions(spark, folder)")
         paths = side_by_side(
             self.spark,
-            {n: lambda n=n, df=df: replace_table(df, f"{root}/{n}") for n, df in self.dimensions.items()},
+            {n: lambda n=n, df=df: swap_table(df, f"{root}/{n}") for n, df in self.dimensions.items()},
         )
         paths["fait_ventes"] = f"{root}/fait_ventes"
         upsert_facts(self.fact, paths["fait_ventes"], loaded_at, staged=True)
@@ -134,6 +170,20 @@ class Warehouse:
         return refresh_reports(self.spark, self.star, self.rows, folder, self.settings)
 
 
+def stored_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The dimensions an earlier run left in a folder; a write it did not finish is finished first."""
+    found = {}
+    for name in schemas.DIMENSIONS:
+        path = f"{folder.rstrip('/')}/{name}"
+        finish(spark, path, apply_swap)
+        try:
+            found[name] = read_table(spark, path, name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
+
+
 def table_sizes(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, int]:
     """Row counts of stored tables, from the Parquet footers."""
     return side_by_side(spark, {name: df.count for name, df in tables.items()})
@@ -161,6 +211,16 @@ def check_stored(spark: SparkSession, folder: str) -> DataFrame:
     return quality.check_star(stored_star(spark, folder), quality.WAREHOUSE_RULES, skip_empty=True)
 
 
+def check_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Failures of every declared constraint and foreign key on the stored tables, one row each."""
+    star = stored_star(spark, folder)
+    constraints = quality.check_star(star, quality.CONSTRAINTS, skip_empty=True).select(
+        F.concat_ws(" ", "table_name", "colonne", "regle").alias("check_name"), F.col("echecs").alias("nb_echecs")
+    )
+    orphans = integrity.orphan_keys(star).withColumnRenamed("nb_orphelines", "nb_echecs")
+    return constraints.unionByName(orphans)
+
+
 def stored_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The six tables of a loaded warehouse."""
     return {name: read_table(spark, f"{folder}/{name}", name) for name in schemas.TABLES}
@@ -174,11 +234,17 @@ def run(
     loaded_at: datetime | None = None,
     as_tables: bool = True,
 ) -> Warehouse:
-    """Build and load everything; folder defaults to a new scratch path."""
+    """Build and load everything; folder defaults to a new scratch path.
+
+    Tables are added to those that earlier runs stored in the folder, and the
+    reporting tables are computed again from all stored sales.
+    """
     target = folder or scratch_path(spark, "entrepot")
-    warehouse = Warehouse(spark, sources, settings)
+    warehouse = Warehouse(spark, sources, settings, stored_dimensions(spark, target) if as_tables else None)
     if as_tables:
         warehouse.load_tables(target, loaded_at or datetime.now())
+        star = stored_star(spark, target)
+        refresh_reports(spark, star, table_sizes(spark, star), target, settings)
     else:
         warehouse.load_csv(target)
     return warehouse

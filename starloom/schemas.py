@@ -39,25 +39,25 @@ TABLES = {
         "est_ferie_maroc boolean, periode_ramadan boolean"
     ),
     "dim_produit": (
-        "id_produit_sk int, id_produit_nk string, nom_produit string, categorie string, "
+        "id_produit_sk bigint, id_produit_nk string, nom_produit string, categorie string, "
         "sous_categorie string, marque string, fournisseur string, prix_standard decimal(10,2), "
         "origine_pays string, date_debut date, date_fin date, est_actif boolean"
     ),
     "dim_client": (
-        "id_client_sk int, id_client_nk string, nom_complet string, tranche_age string, "
+        "id_client_sk bigint, id_client_nk string, nom_complet string, tranche_age string, "
         "sexe string, ville string, region_admin string, segment_client string, "
         "canal_acquisition string, date_debut date, date_fin date, est_actif boolean"
     ),
     "dim_region": (
-        "id_region int, ville string, province string, region_admin string, zone_geo string, pays string"
+        "id_region bigint, ville string, province string, region_admin string, zone_geo string, pays string"
     ),
     "dim_livreur": (
-        "id_livreur int, id_livreur_nk string, nom_livreur string, type_transport string, "
+        "id_livreur bigint, id_livreur_nk string, nom_livreur string, type_transport string, "
         "zone_couverture string"
     ),
     "fait_ventes": (
-        "id_commande string, id_date int, id_produit int, id_client int, id_region int, "
-        "id_livreur int, quantite_vendue int, montant_ht decimal(12,2), montant_ttc decimal(12,2), "
+        "id_commande string, id_date int, id_produit bigint, id_client bigint, id_region bigint, "
+        "id_livreur bigint, quantite_vendue int, montant_ht decimal(12,2), montant_ttc decimal(12,2), "
         "cout_livraison decimal(8,2), delai_livraison_jours smallint, remise_pct decimal(5,2), "
         "statut_commande string"
     ),

@@ -1,0 +1,52 @@
+"""Replacing stored files so that a crash half way can be repaired.
+
+The new rows are staged first. A one-row journal beside the table then names the
+staged copy; it is cleared after the last write. Whoever writes the table next
+finishes a journal that is still open before doing anything else.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
+
+from starloom.session import scratch_path
+
+_FIELDS = "copie string, mois array<int>"
+
+
+def _place(path: str) -> str:
+    return f"{path.rstrip('/')}.journal"
+
+
+def open_entry(spark: SparkSession, path: str) -> Row | None:
+    """The write to path that was not finished, if any."""
+    try:
+        return spark.read.schema(_FIELDS).parquet(_place(path)).first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def write_through(df: DataFrame, path: str, apply: Callable[[SparkSession, Row, str], None], months: list[int] | None = None) -> None:
+    """Stage df, note it in the journal of path, and apply it. df may read from path.
+
+    apply gets the entry (copie: path of the staged rows, mois: the months) and
+    must give the same files however often it runs.
+    """
+    spark = df.sparkSession
+    copy = scratch_path(spark, "copie")
+    df.write.parquet(copy)
+    spark.createDataFrame([(copy, months)], _FIELDS).coalesce(1).write.mode("overwrite").parquet(_place(path))
+    finish(spark, path, apply)
+
+
+def finish(spark: SparkSession, path: str, apply: Callable[[SparkSession, Row, str], None]) -> None:
+    """Apply the open entry of path, if there is one, and close it."""
+    entry = open_entry(spark, path)
+    if entry:
+        apply(spark, entry, path)
+        spark.createDataFrame([], _FIELDS).write.mode("overwrite").parquet(_place(path))

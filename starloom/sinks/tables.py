@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
+
+from starloom.sinks.journal import write_through
 
 
 def write_csv(df: DataFrame, table: str, folder: str) -> str:
@@ -29,3 +31,13 @@ def replace_table(df: DataFrame, path: str) -> str:
     """Replace a stored Parquet table. df must not read from path."""
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def swap_table(df: DataFrame, path: str) -> str:
+    """Replace a stored Parquet table by rows that may be read from it; a crash half way loses nothing."""
+    write_through(df, path, apply_swap)
+    return path
+
+
+def apply_swap(spark: SparkSession, entry: Row, path: str) -> None:
+    replace_table(spark.read.parquet(entry.copie), path)

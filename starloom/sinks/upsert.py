@@ -5,12 +5,13 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import quality
 from starloom.session import stage
+from starloom.sinks.journal import finish, write_through
 
 KEY = "id_commande"
 MONTH = "annee_mois"
@@ -34,9 +35,9 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
     """Insert unseen order lines, overwrite known ones in all columns of the batch, keep the rest.
 
     Only the month partitions that hold a batch key, before or after, are
-    rewritten. The merged rows are staged first, so nothing reads what is being
-    written, and a run that died half way is repaired by running it again: rows
-    are looked for wherever they now are. A known line keeps its load time.
+    rewritten. The merged rows are staged and noted in a journal first, so nothing
+    reads what is being written, and a run that died half way is finished by the
+    next one before it looks at the stored rows. A known line keeps its load time.
 
     A batch that breaks a declared constraint of the fact, such as a missing or
     repeated key, is refused whole. The batch is read several times: it is staged first, unless the caller says
@@ -49,6 +50,7 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
     quality.require(quality.check_table(incoming, "fait_ventes", rules))
     load_time = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
 
+    finish(spark, path, _apply)
     stored = read_stored(spark, path)
     if stored is None:
         _write(incoming.withColumns({**_defaults(incoming), LOADED: load_time}), path)
@@ -59,11 +61,16 @@ def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool
     touched = sorted(r[0] for r in months.collect())  # one value per month partition
     if not touched:
         return
-    merged = stage(_merge(stored.filter(F.col(MONTH).isin(touched)), incoming, load_time), "fusion")
+    write_through(_merge(stored.filter(F.col(MONTH).isin(touched)), incoming, load_time), path, _apply, touched)
+
+
+def _apply(spark: SparkSession, entry: Row, path: str) -> None:
+    """Write the staged months, then empty the touched months that all lines have left."""
+    merged = spark.read.parquet(entry.copie)
     _write(merged, path)
     filled = {r[0] for r in merged.select(MONTH).distinct().collect()}
-    for month in touched:
-        if month not in filled:  # every line of the month moved elsewhere
+    for month in entry.mois:
+        if month not in filled:
             merged.limit(0).drop(MONTH).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
 
 

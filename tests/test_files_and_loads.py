@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -9,7 +9,9 @@ from starloom import schemas
 from starloom.operators.cities import city_lookup
 from starloom.operators.orders import latest_orders
 from starloom.operators.quality import QualityError
+from starloom.plans.facts import KEY_MAPS
 from starloom.plans.warehouse import check_published, run, stored_star
+from starloom.settings import Settings
 from starloom.sinks.tables import publish_csv, replace_table
 from starloom.sinks.upsert import read_stored, upsert_facts
 from starloom.sources import files
@@ -212,3 +214,87 @@ def test_whole_run_from_files(spark, tmp_path, as_tables):
     if as_tables:
         paths = built.refresh_reports(out)
         assert spark.read.parquet(paths["mv_top_produits"]).first().rang_global == 1
+
+
+def test_second_run_keeps_sales_with_their_clients(spark, tmp_path):
+    """C2 signed up before C1 but arrives with the second run only."""
+    orders = ",".join(schemas.ORDER_COLUMNS) + "\n"
+    clients = ",".join(schemas.CLIENT_COLUMNS) + "\n"
+    line = "{},{},{},{},1,10,livre,{},carte,{},\n".format
+    person = "{},alami,sara,{}@x.ma,1990-01-01,F,Tanger,,{},Web\n".format
+    product = lambda name: {"id_produit": name, "nom": name, "categorie": "x", "sous_categorie": "x", "marque": "A",
+                            "fournisseur": "B", "prix_catalogue": 9.5, "origine_pays": "USA", "date_creation": "", "actif": True}
+    regions = ",".join(schemas.REGION_COLUMNS) + "\nTNG,Tanger,F,Nord,Nord,1,1\n"
+
+    def deliver(day, order_lines, people, products, cities):
+        folder = tmp_path / str(day)
+        folder.mkdir(exist_ok=True)
+        files_ = {"o.csv": orders + order_lines, "c.csv": clients + people, "p.json": json.dumps({"produits": products}), "r.csv": cities}
+        for name, text in files_.items():
+            (folder / name).write_text(text, encoding="utf-8")
+        sources = DeliveredFiles(spark, *[str(folder / n) for n in ("o.csv", "c.csv", "p.json", "r.csv")])
+        run(spark, sources, str(tmp_path / "out"), Settings(as_of=date(2026, 6, day)), loaded_at=T0)
+
+    def sales():
+        star = stored_star(spark, str(tmp_path / "out"))
+        found = star["fait_ventes"].select("id_commande", *[k.output for k in KEY_MAPS])
+        for k in KEY_MAPS:
+            found = found.join(star[k.dimension].select(F.col(k.surrogate).alias(k.output), k.natural), k.output).drop(k.output)
+        return sorted(tuple(r) for r in found.collect())
+
+    one = ("CMD1", "P9", "C1", "Tanger", "L9")
+    two = ("CMD2", "P1", "C2", "Agadir", "L1")
+    deliver(1, line("CMD1", "C1", "P9", "2024-03-15", "TNG", "L9"), person("C1", "a", "2023-01-01"), [product("P9")], regions)
+    assert sales() == [one]
+    second = (2, line("CMD2", "C2", "P1", "2024-03-16", "AGA", "L1"), person("C2", "b", "2022-01-01") + person("C1", "a", "2023-01-01"),
+              [product("P1"), product("P9")], regions.replace("TNG", "AGA,Agadir,A,Sud,Sud,1,1\nTNG"))
+    deliver(*second)
+    assert sales() == [one, two]
+    deliver(*second)
+    assert sales() == [one, two]
+    kept = stored_star(spark, str(tmp_path / "out"))["dim_client"].groupBy("id_client_nk").count().collect()
+    # C1 was Bronze on both days: no new version. The run of the same day adds none either.
+    assert {r.id_client_nk: r["count"] for r in kept} == {"C1": 1, "C2": 1}
+
+
+@pytest.mark.parametrize("step", ["before the write", "after the write", "before closing"])
+def test_a_crashed_upsert_is_finished_by_the_next_one(spark, tmp_path, monkeypatch, step):
+    from starloom.sinks import upsert
+
+    path = str(tmp_path / "f")
+    upsert_facts(fact(spark, ("a", 20240105, 1, "livré"), ("b", 20240106, 2, "livré")), path, T0)
+    moved = fact(spark, ("a", 20240205, 1, "livré"), ("b", 20240206, 5, "livré"))
+    written, applied = upsert._write, upsert._apply
+
+    def crash(*args):
+        if step == "after the write":
+            written(*args)
+        if step == "before closing":
+            applied(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upsert, "_apply" if step == "before closing" else "_write", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        upsert_facts(moved, path, T1)
+    monkeypatch.undo()
+    upsert_facts(moved, path, T1)
+    got = sorted((r.id_commande, r.id_date, r.quantite_vendue) for r in read_stored(spark, path).collect())
+    assert got == [("a", 20240205, 1), ("b", 20240206, 5)]
+
+
+def test_a_crashed_replacement_is_finished(spark, tmp_path, monkeypatch):
+    from starloom.sinks import journal, tables
+
+    path = str(tmp_path / "d")
+    replace_table(spark.range(5), path)
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "replace_table", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        tables.swap_table(spark.read.parquet(path).filter("id > 2"), path)
+    monkeypatch.undo()
+    journal.finish(spark, path, tables.apply_swap)
+    journal.finish(spark, path, tables.apply_swap)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4]
