@@ -2,7 +2,8 @@
 
 Stages, each over all that the one before kept: quality rules drop documents;
 of near duplicates one stays; personal data is replaced; sources are put into
-the order of a weighted mix; the texts are encoded.
+the order of a weighted mix, each document with its position in it; the texts are
+encoded, and every row of tokens keeps its source and position.
 """
 
 from __future__ import annotations
@@ -30,13 +31,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in mixed order, sources weighted by the root of their number of documents."""
+    """All documents with their position in the mix and in its order, sources weighted by the root of their number of documents."""
     return mixing.in_mixed_order(docs, mixing.natural_weights(docs, "source"))
 
 
 def sentencepiece_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document."""
-    return pieces.training_tokens(docs, tokenizer_path(spark))
+    """The token ids of every document, with its source and its position in the mix."""
+    return pieces.training_tokens(docs, tokenizer_path(spark), kept=("source", "mix_position"))
 
 
 STAGES = [

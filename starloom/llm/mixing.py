@@ -152,9 +152,10 @@ def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", k
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, float], source: str = "source", key: str = "doc_id", how: Mixing = Mixing()) -> DataFrame:
-    """All rows of docs in the order of the mix: sorted across and inside the partitions, and so in files written from it.
+    """All rows of docs with their mix_position, sorted by it across and inside the partitions, and so in files written from it.
 
-    Of a repeated id all rows stand at its first position; rows without an id come last.
+    A reader may take the files in any order, so the column is what later stages go by. Of a repeated id all rows
+    stand at its first position; rows without an id come last and have none.
     """
     places = mix(docs, weights, source, key, how).groupBy(F.col(key).alias("_key")).agg(F.min("position").alias("_position"))
     places = stage(places.filter("_key is not null"), "positions")
@@ -163,4 +164,4 @@ def in_mixed_order(docs: DataFrame, weights: Mapping[str, float], source: str =
     placed = docs.join(places, docs[key] == places["_key"], "left")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("_position").asc_nulls_last()
-    return placed.repartitionByRange(parts, order).sortWithinPartitions(order).drop("_key", "_position")
+    return placed.repartitionByRange(parts, order).sortWithinPartitions(order).withColumn("mix_position", F.col("_position")).drop("_key", "_position")

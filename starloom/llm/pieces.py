@@ -280,22 +280,23 @@ def send_model(spark, path: str) -> str:
     return path.rstrip("/").rpartition("/")[2]
 
 
-def _encoded(docs: DataFrame, model: str, key: str, text: str, columns: str, fill) -> DataFrame:
-    """docs' key with the columns that fill makes of the encoded texts, a few hundred texts at a time."""
+def _encoded(docs: DataFrame, model: str, key: str, text: str, columns: str, fill, kept: tuple[str, ...] = ()) -> DataFrame:
+    """docs' key and kept columns with the columns that fill makes of the encoded texts, a few hundred texts at a time."""
     name = send_model(docs.sparkSession, model)
-    source = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-    names = [part.split()[0] for part in columns.split(", ")]
+    own = [f"_kept{k}" for k in range(len(kept))]
+    source = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"), *(F.col(c).alias(o) for c, o in zip(kept, own, strict=True)))
+    names = ["_id", *own, *(part.split()[0] for part in columns.split(", "))]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = []
         for first in range(0, batch.num_rows, 250):
             some = batch.slice(first, 250)
             found = load(name).encode(texts_of(some, "_text"))
-            made.append(pa.RecordBatch.from_arrays([some.column("_id"), *fill(found)], ["_id", *names]))
+            made.append(pa.RecordBatch.from_arrays([some.column("_id"), *map(some.column, own), *fill(found)], names))
         return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
 
-    kind = source.schema["_id"].dataType.simpleString()
-    return map_batches(source, work, f"_id {kind}, {columns}").withColumnRenamed("_id", key)
+    kinds = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in ("_id", *own))
+    return map_batches(source, work, f"{kinds}, {columns}").withColumnsRenamed({"_id": key, **dict(zip(own, kept, strict=True))})
 
 
 def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -329,12 +330,12 @@ def encoding_digests(docs: DataFrame, model: str, key: str = "doc_id", text: str
     return _encoded(docs, model, key, text, columns, fill)
 
 
-def training_tokens(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids, decoded_sha256) per row: the tokens to train on, and the digest of the text decoded from them."""
+def training_tokens(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", kept: tuple[str, ...] = ()) -> DataFrame:
+    """(key, kept, n_tokens, ids, decoded_sha256) per row: the tokens to train on, and the digest of the text decoded from them."""
 
     def fill(found: Encoded) -> list[pa.Array]:
         amounts = pa.array([len(own) for own in found.ids], pa.int64())
         decoded = pa.array([hashlib.sha256(value).hexdigest() for value in found.decoded], pa.string())
         return [amounts, pa.array(found.ids, pa.list_(pa.int32())), decoded]
 
-    return _encoded(docs, model, key, text, "n_tokens long, ids array<int>, decoded_sha256 string", fill)
+    return _encoded(docs, model, key, text, "n_tokens long, ids array<int>, decoded_sha256 string", fill, kept)

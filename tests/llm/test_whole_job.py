@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from starloom.llm import scoring
+import corpus_pipeline
+from starloom.llm import mixing, scoring
 from starloom.llm.textscan import Words
 
 
@@ -37,3 +38,16 @@ def test_word_classes_add_up_to_one(spark):
     masses, shares = scoring.class_masses(counts, classes), np.full(classes.size, 0.5)
     np.add.at(shares, places, rows.column("n").to_numpy() + 0.5)
     assert np.allclose(shares, masses)
+
+
+def test_tokens_keep_their_place_in_the_mix(spark, tmp_path):
+    rows = [(k, f"text number {k}", "ab"[k % 10 == 0]) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = corpus_pipeline.source_mix(spark, docs, "")
+    want = {r.doc_id: r.position for r in mixing.mix(docs, mixing.natural_weights(docs, "source")).collect()}
+    # Written and read again in an order of the reader's own, as between the stages.
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    read = spark.read.parquet(f"{tmp_path}/mixed").orderBy("doc_id")
+    found = corpus_pipeline.sentencepiece_tokens(spark, read, "").collect()
+    assert {r.doc_id: r.mix_position for r in found} == want and len(set(want.values())) == 400
+    assert all(r.source == "ab"[r.doc_id % 10 == 0] and r.n_tokens == len(r.ids) for r in found)
