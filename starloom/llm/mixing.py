@@ -6,32 +6,36 @@ its release time and deadline. In each slot the released block with the earliest
 deadline goes next. Every source then stays less than one block away from its
 fluid share, at every moment.
 
-Weights are turned into whole shares of a period of slots. Such a schedule
-repeats every period, so only one period is scheduled, in the driver, over
-parameters alone; every block's slot then follows by arithmetic. A source's
-documents are put into a fixed random order (a hash of the id), numbered in
-parallel, and cut into blocks.
+Release times and deadlines are computed in whole numbers from the exact weights,
+never from rounded shares, so the deviation does not grow with the input. The
+driver schedules the blocks that the sources hold, from their counts alone, and
+writes the slots to a table portion by portion; slots in which nothing is
+released are passed over. A source's documents are put into a fixed random order
+(a hash of the id), numbered in parallel, and cut into blocks, which are joined
+with their slots.
 
 No document is dropped or repeated. The target shares hold up to the slot where
-the first source ends; from there the others go on at their own pace, and the
-slots of ended sources stay empty.
+the first source ends; from there the others go on at their own pace, and slots
+stay empty.
 
 Edge cases: null is a source of its own; a source without a weight gets the
 smallest positive weight given; weights of sources that do not occur take part
-in the schedule, their slots stay empty; repeated rows are further documents.
+in the shares, their slots stay empty; repeated rows are further documents.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
+from math import lcm
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import BROADCAST_ROWS
-from starloom.session import stage
+from starloom.session import scratch_path, stage
 
 
 NO_SOURCE = "\0null"
@@ -40,10 +44,12 @@ NO_SOURCE = "\0null"
 @dataclass(frozen=True)
 class Mixing:
     block_rows: int = 16
-    period: int = 10_000
+    # Slots of so many blocks of a source are one row of the schedule; so many slots are written at once.
+    run_blocks: int = 1_024
+    portion: int = 1_000_000
     # Documents of a source are numbered in this many parts, or as many as there are shuffle partitions.
     parts: int = 256
-    # More sources than this are refused: the period could not hold their shares.
+    # More sources than this are refused.
     max_sources: int = 2_000
 
 
@@ -63,25 +69,70 @@ def shares(weights: Mapping[str, float], period: int) -> dict[str, int]:
     return whole
 
 
-def schedule(whole: Mapping[str, int]) -> dict[str, list[int]]:
-    """One period: for each source the slots of its blocks, by earliest deadline first among released blocks."""
-    period = sum(whole.values())
-    waiting = [(0, s, 0) for s in sorted(whole) if whole[s]]
+def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * scale) for s, w in exact.items()}
+
+
+def slots_of(whole: Mapping[str, int], blocks: Mapping[str, int]) -> Iterator[tuple[int, str, int]]:
+    """(slot, source, block) by slot, for so many blocks of each source: earliest deadline first among released blocks.
+
+    whole are exact weights. Leaving out the blocks that a source does not hold
+    only frees slots, so all others keep within their release times and deadlines.
+    """
+    total = sum(whole.values())
+    waiting = [(0, s, 0) for s in sorted(whole) if whole[s] and blocks.get(s, 0)]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    slots: dict[str, list[int]] = {s: [] for s in whole}
-    for slot in range(period):
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             _, source, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * period // whole[source]), source, k))
+            heapq.heappush(ready, (-(-(k + 1) * total // whole[source]), source, k))
         deadline, source, k = heapq.heappop(ready)
         assert slot < deadline
+        yield slot, source, k
+        if k + 1 < blocks[source]:
+            heapq.heappush(waiting, ((k + 1) * total // whole[source], source, k + 1))
+        slot += 1
+
+
+def schedule(whole: Mapping[str, int]) -> dict[str, list[int]]:
+    """For each source the slots of its blocks up to the slot where all have had exactly their weight."""
+    slots: dict[str, list[int]] = {s: [] for s in whole}
+    for slot, source, _ in slots_of(whole, whole):
         slots[source].append(slot)
-        if k + 1 < whole[source]:
-            heapq.heappush(waiting, ((k + 1) * period // whole[source], source, k + 1))
     return slots
 
 
+def schedule_table(spark: SparkSession, whole: Mapping[str, int], blocks: Mapping[str, int], how: Mixing) -> DataFrame:
+    """(_source, _run, _slots): the slots of each source's blocks, run_blocks a row; the driver holds one portion at a time."""
+    schema, path = "_source string, _run long, _slots array<long>", scratch_path(spark, "slots")
+    rows: list[tuple[str, int, list[int]]] = []
+    open_runs: dict[str, list[int]] = {}
+    held = 0
+
+    def write() -> None:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
+        rows.clear()
+
+    for slot, source, k in slots_of(whole, blocks):
+        run = open_runs.setdefault(source, [])
+        run.append(slot)
+        held += 1
+        if len(run) == how.run_blocks or k + 1 == blocks[source]:
+            rows.append((source, k // how.run_blocks, open_runs.pop(source)))
+            if held >= how.portion:
+                write()
+                held = sum(map(len, open_runs.values()))
+    write()
+    return spark.read.schema(schema).parquet(path)
+
+
 def numbered(docs: DataFrame, source: str, key: str, parts: int) -> DataFrame:
     """(_source, _id, _rank): places 0, 1, ... inside each source, in the order of a hash of the id.
 
@@ -114,7 +165,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", k
     """(key, source, block, slot, position, share) per row of docs.
 
     block counts the source's blocks, slot is the block's place in the mix,
-    position orders all documents, share is the source's scheduled weight.
+    position orders all documents, share is the source's exact weight.
     """
     spark = docs.sparkSession
     if len(weights) > how.max_sources:
@@ -122,32 +173,32 @@ def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", k
     parts = max(how.parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranked = numbered(docs, source, key, parts)
     given = {NO_SOURCE if s is None else s: float(w) for s, w in weights.items() if w > 0}
-    present = [r["_source"] for r in ranked.select("_source").distinct().limit(how.max_sources + 1).collect()]
-    if len(present) > how.max_sources:
+    rows = ranked.groupBy("_source").agg(F.count("*").alias("n")).limit(how.max_sources + 1).collect()
+    if len(rows) > how.max_sources:
         raise ValueError(f"more than {how.max_sources} sources")
     least = min(given.values(), default=1.0)
-    given.update({s: least for s in present if s not in given})
+    given.update({r["_source"]: least for r in rows if r["_source"] not in given})
     if not given:
         return ranked.select(
             F.col("_id").alias(key), F.col("_source").alias(source), F.lit(0).cast("long").alias("block"),
             F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("position"), F.lit(0.0).alias("share"),
         )
-    period = max(how.period, 4 * len(given))
-    whole = shares(given, period)
-    rows = [(s, whole[s], slots) for s, slots in schedule(whole).items()]
-    pattern = spark.createDataFrame(rows, "_source string, _whole int, _slots array<int>")
-    block = F.floor(F.col("_rank") / how.block_rows)
-    turn = F.floor(F.col("block") / F.col("_whole"))
-    inside = F.element_at("_slots", (F.col("block") - F.col("_turn") * F.col("_whole") + 1).cast("int"))
-    placed = ranked.join(F.broadcast(pattern), "_source").withColumn("block", block).withColumn("_turn", turn)
-    placed = placed.withColumn("slot", F.col("_turn") * period + inside)
+    whole, blocks = whole_weights(given), {r["_source"]: -(-r["n"] // how.block_rows) for r in rows}
+    total = sum(whole.values())
+    slots = schedule_table(spark, whole, blocks, how)
+    weight = spark.createDataFrame([(s, whole[s] / total) for s in blocks], "_source string, share double")
+    pattern = slots.join(weight, "_source")
+    # Rows of a run, run_blocks * block_rows at most, share a key, so that no source is a hot one.
+    placed = ranked.withColumn("block", F.floor(F.col("_rank") / how.block_rows)).withColumn("_run", F.floor(F.col("block") / how.run_blocks))
+    placed = placed.join(pattern, ["_source", "_run"])
+    placed = placed.withColumn("slot", F.element_at("_slots", (F.col("block") % how.run_blocks + 1).cast("int")))
     return placed.select(
         F.col("_id").alias(key),
         F.when(F.col("_source") != NO_SOURCE, F.col("_source")).alias(source),
         "block",
         "slot",
         (F.col("slot") * how.block_rows + F.col("_rank") % how.block_rows).alias("position"),
-        (F.col("_whole") / F.lit(float(period))).alias("share"),
+        "share",
     )
 
 

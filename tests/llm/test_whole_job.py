@@ -51,3 +51,32 @@ def test_tokens_keep_their_place_in_the_mix(spark, tmp_path):
     found = corpus_pipeline.sentencepiece_tokens(spark, read, "").collect()
     assert {r.doc_id: r.mix_position for r in found} == want and len(set(want.values())) == 400
     assert all(r.source == "ab"[r.doc_id % 10 == 0] and r.n_tokens == len(r.ids) for r in found)
+
+
+def test_no_source_falls_behind_its_exact_weight():
+    # A third of all rows on one source, root weights: no period of 10,000 slots holds these shares in whole slots.
+    counts = {"big": 6_000_000, **{f"s{k:02d}": 600_000 + 7 * k for k in range(19)}}
+    weights = {s: n**0.5 for s, n in counts.items()}
+    whole, total = mixing.whole_weights(weights), sum(weights.values())
+    done, end = dict.fromkeys(counts, 0), 400_000
+    for slot, source, k in mixing.slots_of(whole, dict.fromkeys(counts, 10**9)):
+        if slot == end:
+            break
+        assert k == done[source]
+        done[source] += 1
+        if slot % 997 == 0 or slot > end - 50:
+            assert all(abs(done[s] - weights[s] / total * (slot + 1)) < 1 + 1e-6 for s in done)
+    assert slot == end == sum(done.values())
+
+
+def test_mix_follows_the_exact_weights(spark):
+    rows = [(k, "a") for k in range(40)] + [(k, "b") for k in range(40, 3040)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {"a": 1.0, "b": 99_999.0}
+    how = mixing.Mixing(block_rows=1, run_blocks=64, portion=500)
+    found = mixing.mix(docs, weights, how=how).collect()
+    assert len(found) == 3040 and {r.source: r.share for r in found} == {"a": 1e-5, "b": 0.99999}
+    slots = {(r.source, r.block): r.slot for r in found}
+    assert len(set(slots.values())) == len(slots) == 3040
+    for (source, k), slot in slots.items():
+        assert k * 100_000 // weights[source] <= slot < -(-(k + 1) * 100_000 // weights[source])
