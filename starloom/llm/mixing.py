@@ -49,8 +49,6 @@ class Mixing:
     portion: int = 1_000_000
     # Documents of a source are numbered in this many parts, or as many as there are shuffle partitions.
     parts: int = 256
-    # More sources than this are refused.
-    max_sources: int = 2_000
 
 
 def shares(weights: Mapping[str, float], period: int) -> dict[str, int]:
@@ -152,13 +150,16 @@ def numbered(docs: DataFrame, source: str, key: str, parts: int) -> DataFrame:
     return ranked.join(offsets, ["_source", "_part"]).select("_source", "_id", (F.col("_before") + F.col("_inside")).alias("_rank"))
 
 
-def natural_weights(docs: DataFrame, source: str, power: float = 0.5, limit: int = 2_000) -> dict[str, float]:
-    """Weights count ** power, over all documents: below 1 small sources get more than their share."""
+def source_counts(docs: DataFrame, source: str) -> dict[str, int]:
+    """Documents by source; the driver holds one entry for each."""
     name = F.coalesce(F.col(source).cast("string"), F.lit(NO_SOURCE))
-    rows = docs.groupBy(name.alias("s")).count().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} sources; give weights for groups of them")
-    return {r["s"]: float(r["count"]) ** power for r in rows}
+    found = docs.groupBy(name.alias("_source")).agg(F.count("*").alias("_n")).toArrow()
+    return dict(zip(found.column("_source").to_pylist(), found.column("_n").to_pylist(), strict=True))
+
+
+def natural_weights(docs: DataFrame, source: str, power: float = 0.5) -> dict[str, float]:
+    """Weights count ** power, over all documents: below 1 small sources get more than their share."""
+    return {s: float(n) ** power for s, n in source_counts(docs, source).items()}
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", key: str = "doc_id", how: Mixing = Mixing()) -> DataFrame:
@@ -168,22 +169,18 @@ def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", k
     position orders all documents, share is the source's exact weight.
     """
     spark = docs.sparkSession
-    if len(weights) > how.max_sources:
-        raise ValueError(f"more than {how.max_sources} sources")
     parts = max(how.parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranked = numbered(docs, source, key, parts)
     given = {NO_SOURCE if s is None else s: float(w) for s, w in weights.items() if w > 0}
-    rows = ranked.groupBy("_source").agg(F.count("*").alias("n")).limit(how.max_sources + 1).collect()
-    if len(rows) > how.max_sources:
-        raise ValueError(f"more than {how.max_sources} sources")
+    counts = source_counts(docs, source)
     least = min(given.values(), default=1.0)
-    given.update({r["_source"]: least for r in rows if r["_source"] not in given})
+    given.update({s: least for s in counts if s not in given})
     if not given:
         return ranked.select(
             F.col("_id").alias(key), F.col("_source").alias(source), F.lit(0).cast("long").alias("block"),
             F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("position"), F.lit(0.0).alias("share"),
         )
-    whole, blocks = whole_weights(given), {r["_source"]: -(-r["n"] // how.block_rows) for r in rows}
+    whole, blocks = whole_weights(given), {s: -(-n // how.block_rows) for s, n in counts.items()}
     total = sum(whole.values())
     slots = schedule_table(spark, whole, blocks, how)
     weight = spark.createDataFrame([(s, whole[s] / total) for s in blocks], "_source string, share double")

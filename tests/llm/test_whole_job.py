@@ -80,3 +80,10 @@ def test_mix_follows_the_exact_weights(spark):
     assert len(set(slots.values())) == len(slots) == 3040
     for (source, k), slot in slots.items():
         assert k * 100_000 // weights[source] <= slot < -(-(k + 1) * 100_000 // weights[source])
+
+
+def test_any_number_of_sources_is_mixed(spark):
+    docs = spark.range(6_000).selectExpr("id as doc_id", "concat('site', id % 2500) as source")
+    found = mixing.mix(docs, mixing.natural_weights(docs, "source")).collect()
+    assert sorted(r.doc_id for r in found) == list(range(6_000))
+    assert len({r.source for r in found}) == len({r.slot for r in found}) == 2_500
