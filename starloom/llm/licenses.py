@@ -5,13 +5,15 @@ template. Each block is compressed alone and with each template as a raw
 Zstandard dictionary; the template that makes it smallest, relative to its size
 alone, is the likeliest source. The winner is confirmed by the exact wording: a
 word-by-word alignment gives the words of the template that are missing and
-those added, and the block counts as that license if enough words agree.
+those added, and the wording counts as that license if enough words agree. The
+rest of the block, before and after the wording, is then searched again until
+nothing is confirmed, so notices that follow each other are all found.
 
 Templates are a parameter; the default holds short notices of common licenses.
 
 Edge cases: null and empty texts hold no block; of templates with equal
 reduction the first by name wins; repeated rows are searched as often as they
-occur; a text may hold several blocks.
+occur; a text may hold several blocks, and a block several notices.
 """
 
 from __future__ import annotations
@@ -139,16 +141,47 @@ def compare(block: str, ready: list, how: Scanning) -> tuple | None:
     return best and best[1]
 
 
+def closest(block: str, ready: list, how: Scanning) -> tuple | None:
+    """The winner of the block or, where other notices beside it hide its reduction, of a stretch that holds a wording."""
+    best = compare(block, ready, how)
+    if best:
+        return best
+    found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(block.lower())]
+    own = [word for word, _, _ in found]
+    for _, words, _ in ready:
+        steps = [s for s in difflib.SequenceMatcher(None, words, own, autojunk=False).get_matching_blocks() if s.size]
+        if not steps or sum(s.size for s in steps) < how.least_agreement * len(words):
+            continue
+        start, end = found[steps[0].b][1], found[steps[-1].b + steps[-1].size - 1][2]
+        inner = compare(block[start:end], ready, how) if end - start < len(block) else None
+        if inner and (best is None or start + inner[5] < best[5]):
+            best = (*inner[:5], start + inner[5], start + inner[6])
+    return best
+
+
+def compare_all(block: str, ready: list, how: Scanning) -> list[tuple]:
+    """The winners of a block, as compare gives them, in the order of the text: after each one both rests are searched."""
+    found, rests = [], [(0, len(block))]
+    while rests:
+        first, last = rests.pop()
+        best = closest(block[first:last], ready, how) if WORD.search(block, first, last) else None
+        if best:
+            start, end = first + best[5], first + best[6]
+            found.append((*best[:5], start, end))
+            rests += [(first, start), (end, last)]
+    return sorted(found, key=lambda f: f[5])
+
+
 @lru_cache(maxsize=4)
 def _plain(level: int) -> zstandard.ZstdCompressor:
     return _compressor(level)
 
 
 def find_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key: str = "doc_id", text: str = "text", how: Scanning = Scanning()) -> DataFrame:
-    """One row per confirmed block: (key, license, start, end, reduction, agreement, missing, added, wording).
+    """One row per confirmed notice: (key, license, start, end, reduction, agreement, missing, added, wording).
 
     start and end are code points in the text, end exclusive; missing and added
-    are the differing words in their order; wording is the block's text.
+    are the differing words in their order; wording is the notice's text.
     """
     listed = tuple(sorted(templates.items()))
     source = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
@@ -161,9 +194,7 @@ def find_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, key
             for k, a, b in blocks(Words(texts[first:last], lower=True, words="alnum"), known, how):
                 data = texts[first + k]
                 block, before = data[a:b].decode("utf-8", "replace"), len(data[:a].decode("utf-8", "replace"))
-                best = compare(block, ready, how)
-                if best:
-                    name, reduction, agreement, missing, added, start, end = best
+                for name, reduction, agreement, missing, added, start, end in compare_all(block, ready, how):
                     rows.append(first + k)
                     found.append((name, before + start, before + end, reduction, agreement, missing, added, block[start:end]))
         ids = batch.column("_id").take(pa.array(rows, pa.int64()))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from starloom.llm import mixing, scoring
+from starloom.llm import licenses, mixing, scoring
 from starloom.llm.textscan import Words
 
 
@@ -87,3 +87,21 @@ def test_any_number_of_sources_is_mixed(spark):
     found = mixing.mix(docs, mixing.natural_weights(docs, "source")).collect()
     assert sorted(r.doc_id for r in found) == list(range(6_000))
     assert len({r.source for r in found}) == len({r.slot for r in found}) == 2_500
+
+
+def test_every_notice_of_a_block_is_found(spark):
+    apache, mit, by = (licenses.TEMPLATES[n] for n in ("Apache-2.0", "MIT", "CC-BY-4.0"))
+    gpl, lgpl, mpl = (licenses.TEMPLATES[n] for n in ("GPL-3.0", "LGPL-3.0", "MPL-2.0"))
+    texts = {
+        f"{apache} {mit}": ["Apache-2.0", "MIT"],
+        f"see {mit}\n{mit} thanks": ["MIT", "MIT"],
+        f"{apache} {gpl} {mit} {by} {lgpl} {mpl} {mit}": ["Apache-2.0", "GPL-3.0", "MIT", "CC-BY-4.0", "LGPL-3.0", "MPL-2.0", "MIT"],
+        "hounds run under the mit bridge": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = licenses.find_licenses(docs).orderBy("doc_id", "start").collect()
+    for k, (text, want) in enumerate(texts.items()):
+        own = [r for r in rows if r.doc_id == k]
+        assert [r.license for r in own] == want
+        assert all(text[r.start : r.end] == r.wording for r in own)
+        assert all(a.end <= b.start for a, b in zip(own, own[1:]))
