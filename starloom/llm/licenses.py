@@ -1,7 +1,7 @@
 """License notices found by conditional compression.
 
-Candidate blocks are stretches of text whose three-word runs occur in a license
-template. Each block is compressed alone and with each template as a raw
+Candidate blocks are stretches of text whose two-word runs occur in a license
+template, and that hold enough of a template's words. Each block is compressed alone and with each template as a raw
 Zstandard dictionary; the template that makes it smallest, relative to its size
 alone, is the likeliest source. The winner is confirmed by the exact wording: a
 word-by-word alignment gives the words of the template that are missing and
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import lru_cache
@@ -35,6 +36,7 @@ from starloom.llm.textscan import Words, chunks
 
 # Usual wordings of notices.
 TEMPLATES = {
+    "All-rights-reserved": "All rights reserved.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
@@ -44,14 +46,23 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met:"
     ),
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available "
+        "at https://www.eclipse.org/legal/epl-2.0"
+    ),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "ISC-notice": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies."
+    ),
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "MIT": "Released under the MIT License.",
     "MIT-notice": (
@@ -59,8 +70,9 @@ TEMPLATES = {
         "(the \"Software\"), to deal in the Software without restriction"
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
-RUN = 3
+RUN = 2
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -76,7 +88,7 @@ class Scanning:
 
 @lru_cache(maxsize=4)
 def prepared(templates: tuple[tuple[str, str], ...], level: int) -> tuple[np.ndarray, list]:
-    """(sorted hashes of all three-word runs, (name, words, compressor) by name)."""
+    """(sorted hashes of all two-word runs, (name, words, compressor) by name)."""
     scan = Words([text.encode() for _, text in templates], lower=True, words="alnum")
     ready = []
     for name, text in sorted(templates):
@@ -143,12 +155,15 @@ def compare(block: str, ready: list, how: Scanning) -> tuple | None:
 
 def closest(block: str, ready: list, how: Scanning) -> tuple | None:
     """The winner of the block or, where other notices beside it hide its reduction, of a stretch that holds a wording."""
-    best = compare(block, ready, how)
-    if best:
-        return best
     found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(block.lower())]
     own = [word for word, _, _ in found]
-    for _, words, _ in ready:
+    # An alignment cannot have more words than both texts hold, in any order.
+    held = Counter(own)
+    near = [t for t in ready if (held & Counter(t[1])).total() >= how.least_agreement * len(t[1])]
+    best = compare(block, ready, how) if near else None
+    if best:
+        return best
+    for _, words, _ in near:
         steps = [s for s in difflib.SequenceMatcher(None, words, own, autojunk=False).get_matching_blocks() if s.size]
         if not steps or sum(s.size for s in steps) < how.least_agreement * len(words):
             continue

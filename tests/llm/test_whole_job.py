@@ -105,3 +105,10 @@ def test_every_notice_of_a_block_is_found(spark):
         assert [r.license for r in own] == want
         assert all(text[r.start : r.end] == r.wording for r in own)
         assert all(a.end <= b.start for a, b in zip(own, own[1:]))
+
+
+def test_reserved_rights_and_changed_words_are_found(spark):
+    texts = ["x\nAll rights reserved.\ny", "Released under an MIT license", "of the rights all reserved", licenses.TEMPLATES["ISC-notice"]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.license) for r in licenses.find_licenses(docs).collect()}
+    assert found == {(0, "All-rights-reserved"), (1, "MIT"), (3, "ISC-notice")}
