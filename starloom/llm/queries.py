@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import fingerprints, jaccard, licenses, mixing, pieces, pii, rules, scoring, toxicity, warc
+from starloom.llm import conversations, fingerprints, jaccard, licenses, mixing, pieces, pii, rules, runs, scoring, toxicity, warc, wrappers
 from starloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,24 @@ def op10_sentencepiece(spark, folder):
     return pieces.encoding_digests(table(spark, folder, "documents"), tokenizer_path(spark))
 
 
+@_query
+def op11_periodic_runs(spark, folder):
+    """Runs of words that repeat at least four times, in every document, a tenth of them with a periodic tail."""
+    return runs.run_digests(table(spark, folder, "documents"), rewrite=runs.repeat_tail)
+
+
+@_query
+def op12_html_extraction(spark, folder):
+    """The main text of every page, by the templates of all pages of its host."""
+    return wrappers.extract(table(spark, folder, "pages"))
+
+
+@_query
+def op13_conversation_repair(spark, folder):
+    """Faults of every damaged conversation, the cheapest edits that repair it, and a digest of the repaired one."""
+    return conversations.audit(conversations.damage(table(spark, folder, "conversations")))
+
+
 ORACLES["op9_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d, strlen(coalesce(html, '')) AS n FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first_id FROM p)
