@@ -16,10 +16,15 @@ choose_bands picks rows and bands for a target recall at the threshold.
 Signatures only discard pairs estimated more than margin below the threshold.
 A pair in different candidate components shares no band, or was discarded.
 
+Texts are told apart by their sets alone; ids only name classes and choose the row that
+stays. A row is found again by a digest of its id and text.
+
 Edge cases: a text of fewer than size words, but at least one, has one n-gram:
 all its words. A null or blank text has none, is linked to nothing and is its
-own class. Rows with a null id are classified like others, under the class of
-their text. Repeated rows count as copies.
+own class. Rows with a null id are linked and classified like others; a class has the
+smallest id that is not null (null if all are), and where ids repeat, two classes may have
+the same, so that class_key, the smallest key of its sets, tells classes apart. Different
+texts under one id are different texts. Repeated rows count as copies.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import components, keep_ids, map_batches, prepare, texts_of
@@ -103,19 +108,25 @@ def _sketch(batch: pa.RecordBatch, words: int, bands: int, rows: int) -> pa.Reco
     return pa.RecordBatch.from_arrays(
         [
             batch.column("_id"),
+            batch.column("_key"),
             pa.array(np.concatenate(amounts), pa.int64()),
             pa.array([raw[i : i + 16] for i in range(0, len(raw), 16)], pa.binary()),
             pa.array([packed[i : i + width] for i in range(0, len(packed), width)], pa.binary()),
         ],
-        ["_id", "n_ngrams", "set_key", "signature"],
+        ["_id", "_key", "n_ngrams", "set_key", "signature"],
     )
 
 
+def row_key(key: str, text: str) -> Column:
+    """A digest of a row's id and text."""
+    return F.unhex(F.sha2(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(text), F.lit(""))), 256))
+
+
 def sketch(docs: DataFrame, key: str, text: str, how: Similarity) -> DataFrame:
-    """(_id, n_ngrams, set_key, signature) per row; set_key is equal for equal n-gram sets."""
+    """(_id, _key, n_ngrams, set_key, signature) per row; set_key is equal for equal n-gram sets."""
     bands, rows = choose_bands(how.threshold, how.target_recall, how.max_hashes)
-    source = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
-    schema = "_id long, n_ngrams long, set_key binary, signature binary"
+    source = docs.select(F.col(key).cast("long").alias("_id"), row_key(key, text).alias("_key"), F.col(text).alias("_text"))
+    schema = "_id long, _key binary, n_ngrams long, set_key binary, signature binary"
     return map_batches(source, lambda batch: _sketch(batch, how.words, bands, rows), schema)
 
 
@@ -190,7 +201,7 @@ def _sets(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
     for first, last in chunks(texts):
         hashes, bounds = Words(texts[first:last]).shingles(words)
         sets += [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    return pa.RecordBatch.from_arrays([batch.column("_rep"), pa.array(sets, pa.binary())], ["_rep", "ngrams"])
+    return pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(sets, pa.binary())], ["_key", "ngrams"])
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -236,31 +247,29 @@ def _verified(batch: pa.RecordBatch, threshold: float) -> Iterator[tuple[int, in
             yield int(ids[i]), int(amounts[i]), int(min(label[i], smallest[i]))
 
 
-def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Similarity = Similarity()) -> DataFrame:
-    """One row per row of docs: (key, class_id, n_links, n_ngrams).
-
-    class_id is the smallest id of the connected class, n_links the number of
-    other rows whose n-gram sets have at least the threshold similarity; both
-    follow from exact comparison of the full sets of all candidates.
-    """
+def _classified(docs: DataFrame, key: str, text: str, how: Similarity) -> DataFrame:
+    """Every row's _id, _key, n_ngrams, class_id, class_key, n_links, and whether it is the one of its class that stays."""
     prepare(docs.sparkSession)
     rows = stage(sketch(docs, key, text, how), "sketch")
-    filled = rows.filter("n_ngrams > 0")
-    texts = filled.groupBy("set_key").agg(
-        F.min("_id").alias("_rep"), F.count("*").alias("copies"), F.first("n_ngrams").alias("n_ngrams"),
-        F.first("signature").alias("signature"),
+    place = F.struct(F.col("_id").isNull().alias("unnamed"), F.col("_id").alias("id"), F.col("_key").alias("key"))
+    texts = rows.filter("n_ngrams > 0").groupBy("set_key").agg(
+        F.min(place).alias("_first"), F.count("*").alias("copies"), F.first("n_ngrams").alias("n_ngrams"), F.first("signature").alias("signature"),
     )
-    texts = stage(texts, "class-texts")
-    links = candidate_links(texts.filter("_rep is not null"), how)
+    # Numbers that hold once they are written.
+    texts = stage(texts.withColumn("_rep", F.monotonically_increasing_id()), "class-texts")
+    links = candidate_links(texts, how)
     near = components(links, "a", "b")
-    members = stage(near.join(texts.drop("signature", "set_key"), near["node"] == texts["_rep"]).drop("node"), "members")
+    members = near.join(texts.drop("signature", "set_key"), near["node"] == texts["_rep"]).drop("node")
+    members = stage(members.withColumn("_key", F.col("_first.key")).drop("_first"), "members")
     sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_ngrams").alias("total"))
     blocks = F.expr(f"greatest(ceil(n / {how.block_texts}), ceil(total / {how.block_ngrams}))").alias("blocks")
     placed = members.join(sizes.select("component", blocks), "component")
-    full = keep_ids(docs.select(F.col(key).cast("long").alias("_rep"), F.col(text).alias("_text")), members, "_rep")
+    full = keep_ids(docs.select(row_key(key, text).alias("_key"), F.col(text).alias("_text")), members, "_key")
+    # Repeated rows have one key.
+    full = full.groupBy("_key").agg(F.first("_text").alias("_text"))
     words = how.words
-    full = map_batches(full, lambda batch: _sets(batch, words), "_rep long, ngrams binary")
-    units = _blocks(placed.join(full, "_rep"), "blocks").groupBy("component", "_i", "_j")
+    full = map_batches(full, lambda batch: _sets(batch, words), "_key binary, ngrams binary")
+    units = _blocks(placed.join(full, "_key"), "blocks").groupBy("component", "_i", "_j")
     units = units.agg(F.collect_list(F.struct("_rep", "copies", "_own", "ngrams")).alias("members"))
     threshold = how.threshold
 
@@ -270,31 +279,51 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Simil
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "links", "label"])
 
     verified = stage(map_batches(units.filter("size(members) > 1").select("_i", "_j", "members"), verify, "node long, links long, label long"), "verified")
-    classes = components(verified, "node", "label").withColumnRenamed("component", "class_id")
+    classes = components(verified, "node", "label").withColumnRenamed("component", "_class")
     summed = verified.groupBy("node").agg(F.sum("links").alias("links")).join(classes, "node", "left")
-    known = texts.select("set_key", "_rep", "copies").join(summed, F.col("_rep") == F.col("node"), "left").select(
-        "set_key", "copies", F.coalesce("class_id", "node", "_rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")
+    linked = texts.join(summed.withColumnRenamed("node", "_rep"), "_rep")
+    named = linked.groupBy("_class").agg(F.min("_first").alias("_head"), F.min("set_key").alias("class_key"))
+    linked = linked.select("set_key", "links", "_class").join(named, "_class").drop("_class")
+    known = texts.select("set_key", "copies", "_first").join(linked.withColumnRenamed("set_key", "_set"), F.col("set_key") == F.col("_set"), "left")
+    known = known.select(
+        "set_key",
+        F.coalesce("_head", "_first").alias("_head"),
+        F.coalesce("class_key", "set_key").alias("class_key"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     # A row without n-grams has no class text; a key of its own keeps such rows from meeting in one task.
-    lookup = F.when(F.col("n_ngrams") > 0, F.col("set_key")).otherwise(F.col("_id").cast("string").cast("binary"))
-    joined = rows.withColumn("set_key", lookup).join(known, "set_key", "left")
+    lookup = F.when(F.col("n_ngrams") > 0, F.col("set_key")).otherwise(F.col("_key"))
+    joined = rows.drop("signature").withColumn("set_key", lookup).join(known, "set_key", "left")
     return joined.select(
-        F.col("_id").alias(key),
-        F.coalesce("class_id", "_id").alias("class_id"),
-        F.coalesce(F.col("copies") - 1 + F.col("links"), F.lit(0)).alias("n_links"),
-        "n_ngrams",
+        "_id", "_key", "n_ngrams", F.coalesce("_head.id", F.when(F.col("_head").isNull(), F.col("_id"))).alias("class_id"),
+        F.hex("class_key").alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (F.col("_head").isNull() | (F.col("_head.key") == F.col("_key"))).alias("_stays"),
     )
 
 
+def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Similarity = Similarity()) -> DataFrame:
+    """One row per row of docs: (key, class_id, class_key, n_links, n_ngrams).
+
+    class_id is the smallest id of the connected class, n_links the number of
+    other rows whose n-gram sets have at least the threshold similarity; both
+    follow from exact comparison of the full sets of all candidates.
+    """
+    return _classified(docs, key, text, how).select(F.col("_id").alias(key), "class_id", "class_key", "n_links", "n_ngrams")
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", how: Similarity = Similarity()) -> DataFrame:
-    """The rows of docs that stand for their class: that with the smallest id. Columns are docs' own.
+    """One row of each class: that with the smallest id (those without one last). Columns are docs' own.
 
-    Of rows that repeat an id one stays. Rows without an id stay.
+    Of equal rows of a class one stays; rows without n-grams all stay.
     """
-    found = stage(similar(docs, key, text, how), "classes")
-    others = found.filter(F.col("class_id") != F.col(key)).select(key)
-    first = keep_ids(docs, others, key, keep=False)
-    repeated = stage(found.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(key).filter(F.col(key).isNotNull()), "repeated")
+    found = stage(_classified(docs, key, text, how).filter("n_links > 0").select("_key", "_stays"), "classes")
+    mark = "_key"
+    while mark in docs.columns:
+        mark += "_"
+    found = found.withColumnRenamed("_key", mark)
+    first = keep_ids(docs.withColumn(mark, row_key(key, text)), found.filter("not _stays"), mark, keep=False)
+    repeated = stage(found.filter("_stays").groupBy(mark).agg(F.count("*").alias("n")).filter("n > 1").select(mark), "repeated")
     if repeated.isEmpty():
-        return first
-    return keep_ids(first, repeated, key, keep=False).unionByName(keep_ids(first, repeated, key).dropDuplicates([key]))
+        return first.drop(mark)
+    once = keep_ids(first, repeated, mark).dropDuplicates([mark])
+    return keep_ids(first, repeated, mark, keep=False).unionByName(once).drop(mark)
