@@ -170,6 +170,25 @@ _CTES = {
     FROM raw_produits""",
     "segments": _segments(6000000, 2000000),
     "segments_bas": _segments(3000000, 1000000),
+    "segments_hauts": _segments(12000000, 4000000),
+    "etats_clients": " UNION ALL ".join(
+        f"""SELECT c.id_client AS cle, DATE '{day}' AS jour, coalesce(s.segment_client, 'Bronze') AS valeur, c.ville
+        FROM clients c LEFT JOIN {limits} s ON s.id_client = c.id_client WHERE {when}"""
+        for day, limits, when in (
+            ("2021-01-01", "segments", "c.date_inscription < DATE '2022-01-01'"),
+            ("2022-07-01", "segments_hauts", "true"),
+            ("2024-01-01", "segments_bas", "true"),
+        )
+    ),
+    "etats_produits": "SELECT id_produit AS cle, d.jour, categorie || CASE WHEN length(nom) % d.n = 0 THEN d.fin ELSE '' END AS valeur, '' AS ville "
+    "FROM produits, (VALUES (DATE '2021-01-01', 1, ''), (DATE '2022-07-01', 2, ' Ter'), (DATE '2024-01-01', 3, ' Bis')) d(jour, n, fin)",
+    **{
+        f"versions_{name}": f"""SELECT cle, valeur, ville, jour AS debut,
+          coalesce(lead(jour) OVER (PARTITION BY cle ORDER BY jour) - 1, DATE '9999-12-31') AS fin,
+          CASE WHEN row_number() OVER (PARTITION BY cle ORDER BY jour) = 1 THEN DATE '0001-01-01' ELSE jour END AS des
+        FROM (SELECT * FROM etats_{name} QUALIFY lag(valeur) OVER (PARTITION BY cle ORDER BY jour) IS DISTINCT FROM valeur)"""
+        for name in ("clients", "produits")
+    },
     "dim_temps": f"""SELECT {_key("j")} AS id_date, CAST(day(j) AS INTEGER) AS jour, CAST(month(j) AS INTEGER) AS mois,
       CAST(quarter(j) AS INTEGER) AS trimestre, CAST(year(j) AS INTEGER) AS annee, CAST(weekofyear(j) AS INTEGER) AS semaine,
       {_list(DAY_NAMES)}[isodow(j)] AS libelle_jour, {_list(MONTH_NAMES)}[month(j)] AS libelle_mois,
@@ -438,6 +457,14 @@ _BODIES = {
         coalesce(l.id_livreur, (SELECT id_livreur FROM dim_livreur WHERE id_livreur_nk = '-1')) AS id_livreur, l.id_livreur IS NULL AS non_resolu
       FROM commandes c LEFT JOIN dim_livreur l ON l.id_livreur_nk = c.id_livreur""",
     "fait_ventes": _FACT,
+    "fact_point_in_time": """SELECT c.id_commande, CAST(strftime(c.date_commande, '%Y%m%d') AS INTEGER) AS id_date,
+      k.cle AS id_client_nk, k.valeur AS segment_client, CAST(k.debut AS VARCHAR) AS date_debut_client, CAST(k.fin AS VARCHAR) AS date_fin_client,
+      p.cle AS id_produit_nk, p.valeur AS categorie, CAST(p.debut AS VARCHAR) AS date_debut_produit, CAST(p.fin AS VARCHAR) AS date_fin_produit
+    FROM commandes c
+    LEFT JOIN versions_clients k ON k.cle = c.id_client AND c.date_commande BETWEEN k.des AND k.fin
+    LEFT JOIN versions_produits p ON p.cle = c.id_produit AND c.date_commande BETWEEN p.des AND p.fin""",
+    "dim_client_history": """SELECT cle AS id_client_nk, valeur AS segment_client, ville, CAST(debut AS VARCHAR) AS date_debut,
+      CAST(fin AS VARCHAR) AS date_fin, fin = DATE '9999-12-31' AS est_actif FROM versions_clients""",
     "fact_summary": """SELECT statut_commande, count(*) AS nb_lignes, CAST(sum(montant_ttc) AS DOUBLE) AS montant_ttc
       FROM fait GROUP BY statut_commande""",
     "fact_assertions": " UNION ALL ".join(_AMOUNTS),

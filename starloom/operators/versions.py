@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.latest import keep_latest
@@ -39,46 +39,93 @@ def highest_key(current: DataFrame, sk: str) -> Column:
 
 
 def merge_versions(
-    current: DataFrame, incoming: DataFrame, sk: str, nk: str, tracked: Sequence[str], as_of: date
+    current: DataFrame,
+    incoming: DataFrame,
+    sk: str,
+    nk: str,
+    tracked: Sequence[str],
+    as_of: date,
+    next_run: date | None = None,
 ) -> DataFrame:
-    """The dimension after a run in which incoming holds the present state of each natural key.
+    """The dimension after a run in which incoming holds the state of each natural key on the day as_of.
+
+    Only changes of tracked columns open a version. The version that covers as_of ends the day before it, and
+    a new one starts on it; a version that starts on as_of itself is changed in place, so none ends before it
+    starts. New keys: a first version. Keys that are unchanged or missing stay. The other columns of incoming
+    are brought up to date in the open version, unless a later run has been stored. New versions are numbered
+    after the highest key, by natural key and start.
+
+    as_of may lie before what is stored (a back-dated run). What later runs saw then stays: the new version ends
+    before the next one, and if that has the same tracked values, it starts on as_of instead. A version that
+    covers as_of and next_run too, the day of the first run after as_of, holds again from that day on. Without
+    next_run it is the first start of a version after as_of; pass it where a run may have changed nothing.
 
-    Only changes of tracked columns open a version; the other columns of incoming
-    are brought up to date in the open version. Changed keys: the open version ends the day before as_of and a new version
-    starts on it. New keys: a first version. Unchanged, closed and missing keys
-    stay. New versions are numbered after the highest key, by natural key. A
-    version opened on as_of itself is changed in place, so none ends before it starts.
     incoming holds each natural key once, and none that is null (see one_per_key).
     """
-    carried = [c for c in incoming.columns if c in current.columns and c not in (sk, nk, "date_debut", "date_fin", "est_actif")]
-    state = incoming.select(nk, *[F.col(c).alias(f"_neuf_{c}") for c in carried], F.lit(True).alias("_present"))
-    open_versions = current.filter("est_actif")
-    matched = open_versions.join(state, nk, "full_outer")
-    is_new = F.col(sk).isNull()
+    columns = current.columns
+    carried = [c for c in incoming.columns if c in columns and c not in (sk, nk, "date_debut", "date_fin", "est_actif")]
+    state = incoming.select(F.col(nk).alias("_nk"), *[F.col(c).alias(f"_neuf_{c}") for c in carried], F.lit(True).alias("_present"))
+    day = F.lit(as_of)
+    if next_run is None:
+        # One value: the later runs' first day.
+        next_run = current.filter(F.col("date_debut") > day).agg(F.min("date_debut")).first()[0]
+    later = F.lit(next_run).cast("date")
+
     differs: Column = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_neuf_{c}"))
-    changed = ~is_new & F.col("_present").isNotNull() & differs
-    changed = changed & ~F.col("date_debut").eqNullSafe(F.lit(as_of))
-    judged = stage(matched.withColumn("_change", changed).withColumn("_nouveau", is_new), f"{sk}-merge")
+    timeline = Window.partitionBy(nk).orderBy("date_debut", sk)
+    whole = Window.partitionBy(nk)
+    starts = F.col("date_debut")
+    matched = current.filter(F.col(nk).isNotNull()).join(state, F.col(nk) == F.col("_nk"), "full_outer")
+    matched = matched.withColumn(nk, F.coalesce(nk, "_nk")).drop("_nk")
+
+    def at_key(condition: Column) -> Column:
+        """Whether the condition holds for any version of the key."""
+        return F.max(F.coalesce(condition, F.lit(False))).over(whole)
+
+    covers = (starts <= day) & (F.col("date_fin") >= day)
+    placed = matched.withColumns(
+        {
+            "_nouveau": F.col(sk).isNull(),
+            "_differe": differs & F.col("_present").isNotNull(),
+            "_couvre": F.coalesce(covers, F.lit(False)),
+            "_tient": F.coalesce(covers & (F.col("date_fin") >= later), F.lit(False)),
+            "_suit": F.coalesce((starts > day) & F.coalesce(F.lag("date_debut").over(timeline) <= day, F.lit(True)), F.lit(False)),
+        }
+    ).withColumns(
+        {
+            # Something else was valid on as_of than what is stored.
+            "_change": F.col("_present").isNotNull() & ~at_key(F.col("_couvre") & (~F.col("_differe") | (starts == day))),
+            "_reprend": at_key(F.col("_tient")),
+            "_avance": at_key(F.col("_suit") & ~F.col("_differe")) & ~at_key(F.col("_tient")),
+            "_suivante": F.min(F.when(F.col("_suit"), starts)).over(whole),
+        }
+    )
+    judged = stage(placed, f"{sk}-merge")
 
-    kept = judged.filter(~F.col("_nouveau")).withColumns(
+    ended = F.col("_change") & F.col("_couvre")
+    in_place = F.col("_couvre") & (starts == day) & F.col("_differe")
+    cut = in_place & F.col("_tient")
+    fresh = F.col("est_actif") & F.col("_present").isNotNull() & ~ended & later.isNull()
+    kept = judged.filter("not _nouveau").withColumns(
         {
-            "date_fin": F.when(F.col("_change"), F.date_sub(F.lit(as_of), 1)).otherwise(F.col("date_fin")),
-            "est_actif": ~F.col("_change"),
-            **{c: F.when(F.col("_present") & ~F.col("_change"), F.col(f"_neuf_{c}")).otherwise(F.col(c)) for c in carried},
+            "date_debut": F.when(F.col("_change") & F.col("_avance") & F.col("_suit"), day).otherwise(starts),
+            "date_fin": F.when(ended, F.date_sub(day, 1)).when(cut, F.date_sub(later, 1)).otherwise(F.col("date_fin")),
+            "est_actif": F.col("est_actif") & ~ended & ~cut,
+            **{c: F.when(fresh | in_place, F.col(f"_neuf_{c}")).otherwise(F.col(c)) for c in carried},
         }
     )
     # Several open versions of one key, stored by a first load, are followed by one.
-    followed = judged.filter(F.col("_nouveau") | F.col("_change")).dropDuplicates([nk])
+    followed = judged.filter("_nouveau or (_change and not _avance)").dropDuplicates([nk])
+    until = F.when(F.col("_reprend"), F.date_sub(later, 1)).otherwise(F.coalesce(F.date_sub("_suivante", 1), F.lit(OPEN_END)))
     opened = followed.select(
-        nk,
-        *[F.col(f"_neuf_{c}").alias(c) for c in carried],
-        F.lit(as_of).alias("date_debut"),
-        F.lit(OPEN_END).alias("date_fin"),
-        F.lit(True).alias("est_actif"),
+        nk, *[F.col(f"_neuf_{c}").alias(c) for c in carried], day.alias("date_debut"), until.alias("date_fin"),
+        (until == F.lit(OPEN_END)).alias("est_actif"),
     )
-    numbered = assign_keys(opened, [F.col(nk)], sk, after=highest_key(current, sk))
-    columns = current.columns
-    closed = current.filter("not est_actif").select(columns)
-    return closed.unionByName(kept.select(columns)).unionByName(numbered.select(columns))
+    resumed = judged.filter((F.col("_change") | in_place) & F.col("_tient")).dropDuplicates([nk])
+    resumed = resumed.select(nk, *carried, later.alias("date_debut"), "date_fin", "est_actif")
+    numbered = assign_keys(opened.unionByName(resumed), [F.col(nk), F.col("date_debut")], sk, after=highest_key(current, sk))
+    unnamed = current.filter(F.col(nk).isNull())
+    # Columns that incoming lacks are unknown in new versions.
+    return kept.select(columns).unionByName(unnamed).unionByName(numbered, allowMissingColumns=True).select(columns)

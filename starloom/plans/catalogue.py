@@ -24,10 +24,10 @@ from starloom.operators.cities import city_lookup
 from starloom.operators.products import clean_products
 from starloom.operators.segments import client_segments
 from starloom.operators.surrogate import assign_keys
-from starloom.operators.versions import merge_versions
+from starloom.operators.versions import merge_versions, one_per_key
 from starloom.plans import audit, dimensions, facts, integrity, questions, reports
-from starloom.plans.warehouse import Warehouse, check_load, run, stored_star
-from starloom.session import scratch_path
+from starloom.plans.warehouse import KEYS, TRACKED, Warehouse, check_load, run, stored_star, table_sizes
+from starloom.session import scratch_path, stage
 from starloom.settings import Settings
 from starloom.sinks.tables import publish_csv, replace_table, write_csv
 from starloom.sinks.upsert import LOADED, MONTH, read_stored, upsert_facts
@@ -300,6 +300,60 @@ def fait_ventes(spark, folder):
     return facts.sales_fact(w.orders, w.dimensions, w.rows, SETTINGS)
 
 
+# The days of two runs, and of a third, back-dated one.
+FIRST_RUN, BACK_DATED_RUN, LAST_RUN = date(2021, 1, 1), date(2022, 7, 1), date(2024, 1, 1)
+
+
+def _with_history(w: Warehouse) -> dict[str, DataFrame]:
+    """The dimensions after three runs, the last of them back-dated, under other limits and other categories."""
+
+    def clients_under(gold: str, silver: str, people: DataFrame) -> DataFrame:
+        segments = client_segments(w.orders, replace(SETTINGS, gold_from=Decimal(gold), silver_from=Decimal(silver)))
+        return dimensions.client_dimension(people, segments, w.regions, replace(SETTINGS, as_of=FIRST_RUN))
+
+    def products_named(nth: int, ending: str) -> DataFrame:
+        renamed = F.when(F.length("nom") % nth == 0, F.concat("categorie", F.lit(ending))).otherwise(F.col("categorie"))
+        return dimensions.product_dimension(w.products.withColumn("categorie", renamed), replace(SETTINGS, as_of=FIRST_RUN))
+
+    signed_up = w.clients.filter(F.col("date_inscription") < F.lit(date(2022, 1, 1)))
+    history = {
+        "dim_client": clients_under("6000000", "2000000", signed_up),
+        "dim_produit": products_named(1, ""),
+    }
+    runs = {
+        LAST_RUN: {"dim_client": clients_under("3000000", "1000000", w.clients), "dim_produit": products_named(3, " Bis")},
+        BACK_DATED_RUN: {"dim_client": clients_under("12000000", "4000000", w.clients), "dim_produit": products_named(2, " Ter")},
+    }
+    for day, incoming in runs.items():
+        for name, state in incoming.items():
+            sk, nk = f"{KEYS[name]}_sk", f"{KEYS[name]}_nk"
+            history[name] = merge_versions(history[name], one_per_key(state, sk, nk), sk, nk, TRACKED[name], day)
+    return {**w.dimensions, **{name: stage(df, name) for name, df in history.items()}}
+
+
+@_query
+def fact_point_in_time(spark, folder):
+    """Every sale with the client segment and the product category that were valid on its day, and their bounds."""
+    w = warehouse(spark, folder)
+    star = _with_history(w)
+    sales = facts.sales_fact(w.orders, star, table_sizes(spark, star), replace(SETTINGS, unresolved_sk=-1))
+    sales = sales.select("id_commande", "id_date", "id_client", "id_produit")
+    for name, attribute in (("dim_client", "segment_client"), ("dim_produit", "categorie")):
+        stem = KEYS[name]
+        bounds = [F.col(c).alias(f"{c}_{stem[3:]}") for c in ("date_debut", "date_fin")]
+        versions = star[name].select(F.col(f"{stem}_sk").alias(stem), f"{stem}_nk", attribute, *bounds)
+        sales = sales.join(versions, stem, "left").drop(stem)
+    return sales
+
+
+@_query
+def dim_client_history(spark, folder):
+    """All versions of every client after three runs, the last of them back-dated."""
+    return _with_history(warehouse(spark, folder))["dim_client"].select(
+        "id_client_nk", "segment_client", "ville", "date_debut", "date_fin", "est_actif"
+    )
+
+
 @_query
 def fact_summary(spark, folder):
     return audit.fact_summary(warehouse(spark, folder).fact)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key
+from starloom.operators.asof import attach_as_of
 from starloom.operators.lookup import attach_by_key, hot_keys
 from starloom.schemas import conform
 from starloom.settings import UNKNOWN_COURIER, Settings
@@ -41,16 +42,21 @@ def resolve_key(
 ) -> DataFrame:
     """Add _sk_<output>: the surrogate key, or null where the natural key is not known.
 
-    rows is the counted size of the dimension. Only current versions resolve; of
-    several rows with one natural key the last counts, so no order line doubles.
+    rows is the counted size of the dimension. In a dimension with history the version that was valid on
+    the order's day resolves, also for late orders; an order older than its key's first version gets that one. Of
+    several rows with one natural key (and start) the last counts, so no order line doubles.
     """
-    current = dimension.filter("est_actif") if "est_actif" in dimension.columns else dimension
-    lookup = current.groupBy(F.col(key.natural).alias(key.order_column)).agg(
-        F.max(key.surrogate).alias(f"_sk_{key.output}")
-    )
-    return attach_by_key(
-        orders, lookup, key.order_column, F.col("id_commande"), rows, settings.broadcast_rows, hot
-    )
+    surrogate = f"_sk_{key.output}"
+    dated = [c for c in ("date_debut",) if c in dimension.columns]
+    named = dimension.select(F.col(key.natural).alias(key.order_column), F.col(key.surrogate).alias(surrogate), *dated)
+    spread_by = F.col("id_commande")
+    if dated:
+        return attach_as_of(
+            orders, named, key.order_column, F.col("date_commande"), "date_debut", [surrogate], spread_by, rows,
+            settings.broadcast_rows, hot,
+        )
+    lookup = named.groupBy(key.order_column).agg(F.max(surrogate).alias(surrogate))
+    return attach_by_key(orders, lookup, key.order_column, spread_by, rows, settings.broadcast_rows, hot)
 
 
 def fallback_key(key: KeyMap, dimension: DataFrame, settings: Settings):

@@ -1,9 +1,11 @@
-from datetime import date
+import random
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators.asof import attach_as_of
 from starloom.operators.surrogate import assign_keys
 from starloom.operators.versions import merge_versions
 from starloom.plans import dimensions as dims
@@ -155,3 +157,80 @@ def test_untracked_columns_are_updated_in_place(frame):
     assert {(1, "a", "Gold", "Y", True), (3, "c", "Silver", "W", True)} <= rows
     # b opened on the same day: changed in place.
     assert {r for r in rows if r[1] == "b"} == {(2, "b", "Bronze", "Z", True)}
+
+
+SEEN = "sk int, nk string, seg string, ville string, date_debut date, date_fin date, est_actif boolean"
+END = date(9999, 12, 31)
+
+
+def day(month):
+    return date(2024, month, 1)
+
+
+def test_back_dated_runs(frame):
+    """Runs of months 4, 7 and 10 are stored; the run of month 5 comes late."""
+    current = frame(
+        SEEN,
+        (1, "changed since", "A", "x", day(4), date(2024, 6, 30), False), (2, "changed since", "B", "x", day(7), END, True),
+        (3, "as the next", "A", "x", day(4), date(2024, 6, 30), False), (4, "as the next", "B", "x", day(7), END, True),
+        (5, "open", "A", "x", day(4), END, True), (6, "equal", "A", "x", day(4), END, True),
+        (7, "younger", "B", "x", day(10), END, True), (8, "younger, equal", "A", "x", day(7), END, True),
+        (9, "missing", "A", "x", day(4), END, True), (10, None, "A", "x", day(4), END, True),
+    )
+    names = {"changed since": "C", "as the next": "B", "open": "C", "equal": "A", "younger": "A", "younger, equal": "A", "new": "A"}
+    incoming = frame("nk string, seg string, ville string", *[(n, s, "old") for n, s in names.items()])
+    merged = merge_versions(current, incoming, "sk", "nk", ["seg"], day(5))
+    assert merged.columns == current.columns
+    got = sorted((tuple(r) for r in merged.collect()), key=lambda r: (str(r[1]), r[4]))
+    may = date(2024, 4, 30)
+    assert got == [
+        (10, None, "A", "x", day(4), END, True),
+        (3, "as the next", "A", "x", day(4), may, False), (4, "as the next", "B", "x", day(5), END, True),
+        (1, "changed since", "A", "x", day(4), may, False), (11, "changed since", "C", "old", day(5), date(2024, 6, 30), False),
+        (2, "changed since", "B", "x", day(7), END, True),
+        (6, "equal", "A", "x", day(4), END, True), (9, "missing", "A", "x", day(4), END, True),
+        (12, "new", "A", "old", day(5), END, True),
+        (5, "open", "A", "x", day(4), may, False), (13, "open", "C", "old", day(5), date(2024, 6, 30), False),
+        (14, "open", "A", "x", day(7), END, True),
+        (15, "younger", "A", "old", day(5), date(2024, 9, 30), False), (7, "younger", "B", "x", day(10), END, True),
+        (8, "younger, equal", "A", "x", day(5), END, True),
+    ]
+
+
+def test_runs_in_any_order_tell_one_history(spark):
+    """Whatever the order of the runs, no version ends before it starts and each day has the state last seen before it."""
+    draw = random.Random(3)
+    for _ in range(4):
+        months = draw.sample(range(1, 13), 4)
+        states = {m: {n: draw.choice("AB") for n in "pqrstu" if draw.random() < 0.8} for m in months}
+        table, done = spark.createDataFrame([], SEEN), []
+        for m in months:
+            later = [day(k) for k in done if k > m]
+            done.append(m)
+            incoming = spark.createDataFrame([(n, s, "v") for n, s in states[m].items()], "nk string, seg string, ville string")
+            table = spark.createDataFrame(merge_versions(table, incoming, "sk", "nk", ["seg"], day(m), min(later, default=None)).collect(), SEEN)
+        rows = table.collect()
+        assert len({r.sk for r in rows}) == len(rows) and all(r.date_debut <= r.date_fin for r in rows)
+        assert all(r.est_actif == (r.date_fin == END) for r in rows)
+        for n in "pqrstu":
+            for m in months:
+                if n in states[m]:
+                    assert [r.seg for r in rows if r.nk == n and r.date_debut <= day(m) <= r.date_fin] == [states[m][n]]
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+@pytest.mark.parametrize("hot", [None, ["k0", "k1"], []])
+def test_versions_on_the_day(spark, limit, hot):
+    draw = random.Random(limit)
+    versions = [(f"k{k}", date(2024, 1, 1) + timedelta(draw.randrange(300)), k * 100 + j) for k in range(20) for j in range(draw.randrange(6))]
+    versions.append((None, date(2024, 1, 1), 7))
+    facts = [(draw.choice(["k0"] * 9 + [f"k{k}" for k in range(23)] + [None]), draw.choice([None, date(2024, 1, 1) + timedelta(draw.randrange(400))]), i) for i in range(800)]
+    table = spark.createDataFrame(versions, "nk string, debut date, sk int")
+    found = attach_as_of(spark.createDataFrame(facts, "nk string, jour date, i int"), table, "nk", F.col("jour"), "debut", ["sk"], F.col("i"), len(versions), limit, hot)
+    assert found.columns == ["nk", "jour", "i", "sk"]
+    want = []
+    for nk, jour, i in facts:
+        mine = sorted((d, sk) for n, d, sk in versions if n == nk and nk is not None)
+        begun = [v for v in mine if jour is not None and v[0] <= jour]
+        want.append((i, begun[-1][1] if begun else mine[0][1] if mine else None))
+    assert sorted((r.i, r.sk) for r in found.collect()) == sorted(want)
