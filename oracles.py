@@ -245,6 +245,10 @@ _CTES = {
     FROM fait""",
 }
 
+for _report in ("ca_mensuel", "top_produits", "taux_retour"):
+    _CTES[f"{_report}_lot"] = _CTES[_report].replace("FROM fait f", "FROM apres_lot f")
+_CTES["ca_mensuel_1"] = _CTES["ca_mensuel"].replace("WHERE", "WHERE id_date < 20250701 AND")
+
 
 def _statement(body: str) -> str:
     """body with the common table expressions it needs, in order."""
@@ -559,6 +563,23 @@ _BODIES["reports_refresh"] = " UNION ALL ".join(
         ("mv_taux_retour", "mv_return_rate", "nb_retournees"), ("mv_performance_livreurs", "mv_courier_performance", "nb_livraisons"),
     )
 )
+_SEEN = """SELECT {n} AS generation, count(*) AS nb_ventes, CAST(sum(quantite_vendue) AS BIGINT) AS quantite,
+  count(DISTINCT id_date // 100) AS nb_mois, (SELECT CAST(sum(volume_vendu) AS BIGINT) FROM {report}) AS volume_vendu FROM {sales}"""
+_BODIES["load_generations"] = " UNION ALL ".join((
+    _SEEN.format(n=1, report="ca_mensuel_1", sales="fait WHERE id_date < 20250701"),
+    _SEEN.format(n=2, report="ca_mensuel_lot", sales="apres_lot"),
+))
+_BODIES["reports_incremental"] = " UNION ALL ".join(
+    f"""SELECT '{stored}' AS table_name, CAST({period} AS INTEGER) AS periode, {label} AS libelle,
+    CAST({first} AS BIGINT) AS mesure_1, CAST({second} AS BIGINT) AS mesure_2 FROM {source}"""
+    for stored, period, label, first, second, source in (
+        ("mv_ca_mensuel", "annee * 100 + mois", "categorie", "volume_vendu", "nb_clients_actifs", "ca_mensuel_lot"),
+        ("mv_top_produits", "annee * 10 + trimestre", "nom_produit", "qte_totale", "rang_global", "top_produits_lot"),
+        ("mv_taux_retour", "annee * 10 + trimestre", "sous_categorie", "nb_livrees", "nb_retournees", "taux_retour_lot"),
+        ("mv_performance_livreurs", "annee * 100 + mois", "nom_livreur", "nb_livraisons", "nb_livraisons_retard",
+         f"({_BODIES['mv_courier_performance'].replace('FROM fait ', 'FROM apres_lot ')})"),
+    )
+)
 
 
 def statements() -> dict[str, str]:

@@ -26,11 +26,12 @@ from starloom.operators.segments import client_segments
 from starloom.operators.surrogate import assign_keys
 from starloom.operators.versions import merge_versions, one_per_key
 from starloom.plans import audit, dimensions, facts, integrity, questions, reports
-from starloom.plans.warehouse import KEYS, TRACKED, Warehouse, check_load, run, stored_star, table_sizes
+from starloom.plans.warehouse import KEYS, TRACKED, Warehouse, check_load, run, star_of, stored_report, stored_star, table_sizes, update_reports
 from starloom.session import scratch_path, stage
 from starloom.settings import Settings
+from starloom.sinks.generations import Load, generations, read_parts
 from starloom.sinks.tables import publish_csv, replace_table, write_csv
-from starloom.sinks.upsert import LOADED, MONTH, read_stored, upsert_facts
+from starloom.sinks.upsert import LOADED, MONTH, merge_facts, read_stored, upsert_facts
 from starloom.sources import files
 from starloom.sources.retail_tables import RetailTables
 from starloom.streaming.arrivals import load_arrivals, stream_facts
@@ -520,6 +521,56 @@ def fact_upsert_idempotent(spark, folder):
     return _loaded(spark, folder, times=2)
 
 
+def _two_loads(spark, folder) -> str:
+    """Two published loads of one root, reports included, and a third that ended before it was published."""
+    w = warehouse(spark, folder)
+    root = scratch_path(spark, "entrepot")
+    lost = w.fact.withColumn("id_date", F.lit(20250101))
+    for number, (batch, day) in enumerate(((_history(w.fact), FIRST_LOAD), (_corrections(w.fact), SECOND_LOAD), (lost, SECOND_LOAD))):
+        load = Load(spark, root)
+        for name, df in w.dimensions.items():
+            load.replace(name, df)
+        touched = merge_facts(load, batch, day, staged=True)
+        if number < 2:
+            update_reports(load, w.rows, touched, SETTINGS)
+            load.publish(day)
+    return root
+
+
+@_query
+def load_generations(spark, folder):
+    """Sales and reports as readers of each generation see them, after a load that was never published."""
+    root = _two_loads(spark, folder)
+    lines = []
+    for held in generations(spark, root, 2):
+        sales = star_of(spark, root, held)["fait_ventes"].agg(
+            F.lit(held.number).alias("generation"), F.count("*").alias("nb_ventes"), F.sum("quantite_vendue").alias("quantite"),
+            F.countDistinct(F.floor(F.col("id_date") / 100)).alias("nb_mois"),
+        )
+        report = read_parts(spark, root, held, "mv_ca_mensuel", reports.PART).agg(F.sum("volume_vendu").alias("volume_vendu"))
+        lines.append(sales.crossJoin(report))  # one row each
+    return reduce(DataFrame.unionByName, lines)
+
+
+@_query
+def reports_incremental(spark, folder):
+    """Every row of the four reports after a second load that wrote only the periods it touched, by its measures."""
+    root = _two_loads(spark, folder)
+    measures = {
+        "mv_ca_mensuel": ("categorie", "volume_vendu", "nb_clients_actifs"), "mv_top_produits": ("nom_produit", "qte_totale", "rang_global"),
+        "mv_taux_retour": ("sous_categorie", "nb_livrees", "nb_retournees"),
+        "mv_performance_livreurs": ("nom_livreur", "nb_livraisons", "nb_livraisons_retard"),
+    }
+    lines = [
+        stored_report(spark, root, name).select(
+            F.lit(name).alias("table_name"), reports.period_column(name).alias("periode"), F.col(label).alias("libelle"),
+            *[F.col(c).cast("long").alias(a) for c, a in ((first, "mesure_1"), (second, "mesure_2"))],
+        )
+        for name, (label, first, second) in measures.items()
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
 @_query
 def fact_upsert_stream(spark, folder):
     """History already loaded; the corrections arrive as files, and once more as new files."""
@@ -577,7 +628,7 @@ def reports_refresh(spark, folder):
         "mv_taux_retour": "nb_retournees", "mv_performance_livreurs": "nb_livraisons",
     }
     lines = [
-        spark.read.parquet(f"{target}/{name}").agg(
+        stored_report(spark, target, name).agg(
             F.lit(name).alias("table_name"), F.count("*").alias("nb_lignes"), F.sum(total).alias("total")
         )
         for name, total in totals.items()

@@ -160,3 +160,39 @@ REPORTS = {
     "mv_taux_retour": return_rate,
     "mv_performance_livreurs": courier_performance,
 }
+
+# The part of a stored report that a row belongs to, and the attributes of the dimensions that it shows.
+PART = "periode"
+BY_MONTH = ("mv_ca_mensuel", "mv_performance_livreurs")
+SHOWN = {
+    "mv_ca_mensuel": {
+        "dim_temps": ("id_date", "annee", "mois", "trimestre", "libelle_mois", "periode_ramadan"),
+        "dim_region": ("id_region", "region_admin", "zone_geo", "ville"),
+        "dim_produit": ("id_produit_sk", "categorie"),
+    },
+    "mv_top_produits": {
+        "dim_temps": ("id_date", "annee", "trimestre"),
+        "dim_region": ("id_region", "ville"),
+        "dim_produit": ("id_produit_sk", "nom_produit", "categorie", "marque"),
+    },
+    "mv_taux_retour": {
+        "dim_temps": ("id_date", "annee", "trimestre"),
+        "dim_produit": ("id_produit_sk", "categorie", "sous_categorie"),
+    },
+    "mv_performance_livreurs": {
+        "dim_temps": ("id_date", "annee", "mois"),
+        "dim_livreur": ("id_livreur", "id_livreur_nk", "nom_livreur", "zone_couverture"),
+    },
+}
+
+
+def period_column(name: str) -> Column:
+    """The part of a report's row: year and month as 202503, or year and quarter as 20251."""
+    if name in BY_MONTH:
+        return (F.col("annee") * 100 + F.col("mois")).cast("int")
+    return (F.col("annee") * 10 + F.col("trimestre")).cast("int")
+
+
+def period_of(name: str, month: int) -> int:
+    """The part of a report that a month of sales (202503) goes into."""
+    return month if name in BY_MONTH else month // 100 * 10 + (month % 100 + 2) // 3

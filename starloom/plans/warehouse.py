@@ -6,7 +6,6 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +20,10 @@ from starloom.operators.versions import extend_keys, merge_versions, one_per_key
 from starloom.plans import dimensions, facts, integrity, reports
 from starloom.session import scratch_path, side_by_side, stage
 from starloom.settings import Settings
-from starloom.sinks.journal import finish
-from starloom.sinks.tables import apply_swap, publish_csv, replace_table, swap_table
-from starloom.sinks.upsert import upsert_facts
-from starloom.sources.files import read_published, read_table
+from starloom.sinks.generations import Generation, Load, current, read_parts, read_whole
+from starloom.sinks.tables import publish_csv
+from starloom.sinks.upsert import FACT, merge_facts, read_facts
+from starloom.sources.files import read_published
 
 # Versioned dimensions: stem of the key columns, and the attributes whose change opens a version.
 KEYS = {"dim_produit": "id_produit", "dim_client": "id_client"}
@@ -148,40 +147,88 @@ class Warehouse:
         self.checks = quality.require(check_published(self.spark, folder))
         return paths
 
-    def load_tables(self, folder: str, loaded_at: datetime) -> dict[str, str]:
-        """Store the dimensions, upsert the fact, check the stored tables.
+    def load_tables(self, folder: str, loaded_at: datetime) -> Generation:
+        """Store the dimensions, merge the sales, check them, bring the reports up to date, and publish all at once.
 
-        A folder that holds dimensions takes only a warehouse built on them. Every
-        write can be repeated: after a crash, run again.
+        A folder that holds dimensions takes only a warehouse built on them. Readers see the generation before until the last
+        step; after a failure at any step, run again.
         """
-        root = folder.rstrip("/")
-        if not self.stored and stored_dimensions(self.spark, root):
-            raise ValueError(f"{root} holds dimensions: build the warehouse with stored=stored_dimensions(spark, folder)")
-        paths = side_by_side(
+        load = Load(self.spark, folder)
+        if not self.stored and load.base.tables:
+            raise ValueError(f"{folder} holds dimensions: build the warehouse with stored=stored_dimensions(spark, folder)")
+        side_by_side(self.spark, {n: lambda n=n, df=df: load.replace(n, df) for n, df in self.dimensions.items()})
+        touched = merge_facts(load, self.fact, loaded_at, staged=True)
+        star = star_of(self.spark, load.root, load.next)
+        done = side_by_side(
             self.spark,
-            {n: lambda n=n, df=df: swap_table(df, f"{root}/{n}") for n, df in self.dimensions.items()},
+            {
+                "checks": lambda: quality.require(quality.check_star(star, quality.WAREHOUSE_RULES, skip_empty=True)),
+                "reports": lambda: update_reports(load, self.rows, touched, self.settings),
+            },
         )
-        paths["fait_ventes"] = f"{root}/fait_ventes"
-        upsert_facts(self.fact, paths["fait_ventes"], loaded_at, staged=True)
-        self.checks = quality.require(check_stored(self.spark, root))
-        return paths
+        self.checks = done["checks"]
+        load.publish(loaded_at)
+        return load.next
+
+
+def update_reports(load: Load, rows: dict[str, int], touched: list[int] | None, settings: Settings = Settings()) -> None:
+    """The four reporting tables of a load, from its own star.
+
+    touched are the months whose sales the load has changed: only the periods that hold them are
+    aggregated and written again. A report is built whole where it is not stored yet, where touched is None, or
+    where an attribute it shows has changed in a stored row of a dimension.
+    """
+    star = star_of(load.spark, load.root, load.next)
+    shown = {(table, columns) for tables in reports.SHOWN.values() for table, columns in tables.items()}
+    work = {key: lambda key=key: _attributes_changed(load, *key) for key in sorted(shown)}
+    changed = side_by_side(load.spark, work) if touched is not None and load.base.tables else {}
+
+    def update(name: str) -> None:
+        whole = touched is None or name not in load.base.parts or any(changed.get(key, True) for key in reports.SHOWN[name].items())
+        if whole:
+            periods, sales = list(load.next.parts.get(name, {})), star[FACT]
+        else:
+            periods = sorted({reports.period_of(name, month) for month in touched})
+            months = [m for m in load.next.parts[FACT] if reports.period_of(name, m) in periods]
+            sales = read_facts(load.spark, load.root, load.next, months).select(*schemas.columns_of(FACT))
+        if whole or periods:
+            built = reports.REPORTS[name]({**star, FACT: sales}, rows, settings)
+            load.rewrite(name, built.withColumn(reports.PART, reports.period_column(name)), reports.PART, periods)
+
+    side_by_side(load.spark, {name: lambda name=name: update(name) for name in reports.REPORTS})
+
+
+def _attributes_changed(load: Load, table: str, columns: tuple[str, ...]) -> bool:
+    """Whether a stored row of a dimension shows other attributes in this load, or is gone. The first column is the key.
+
+    New days count, too: sales may be stored that lay outside the calendar.
+    """
+    old, new = (read_whole(load.spark, load.root, held, table) for held in (load.base, load.next))
+    if old is None or (table == "dim_temps" and old.count() != new.count()):
+        return True
+    named = new.select(*[F.col(c).alias(f"_{c}") for c in columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns[1:]]
+    key = F.col(columns[0]) == F.col(f"_{columns[0]}")
+    return not old.select(*columns).join(named, [key, *same], "left_anti").isEmpty()
+
 
-    def refresh_reports(self, folder: str) -> dict[str, str]:
-        return refresh_reports(self.spark, self.star, self.rows, folder, self.settings)
+def star_of(spark: SparkSession, root: str, held: Generation) -> dict[str, DataFrame]:
+    """The six tables of one generation."""
+    star = {name: read_whole(spark, root, held, name) for name in schemas.DIMENSIONS}
+    return {**star, FACT: read_facts(spark, root, held).select(*schemas.columns_of(FACT))}
 
 
 def stored_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The dimensions an earlier run left in a folder; a write it did not finish is finished first."""
-    found = {}
-    for name in schemas.DIMENSIONS:
-        path = f"{folder.rstrip('/')}/{name}"
-        finish(spark, path, apply_swap)
-        try:
-            found[name] = read_table(spark, path, name)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return found
+    """The dimensions an earlier run left in a folder."""
+    root = folder.rstrip("/")
+    held = current(spark, root)
+    return {name: read_whole(spark, root, held, name) for name in schemas.DIMENSIONS if name in held.tables}
+
+
+def stored_report(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A reporting table as it was published last."""
+    root = folder.rstrip("/")
+    return read_parts(spark, root, current(spark, root), name, reports.PART).drop(reports.PART)
 
 
 def table_sizes(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, int]:
@@ -189,16 +236,11 @@ def table_sizes(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str,
     return side_by_side(spark, {name: df.count for name, df in tables.items()})
 
 
-def refresh_reports(
-    spark: SparkSession, star: dict[str, DataFrame], rows: dict[str, int], folder: str, settings: Settings = Settings()
-) -> dict[str, str]:
-    """Recompute the four reporting tables from a star and overwrite them."""
-    root = folder.rstrip("/")
-    work = {
-        name: lambda n=name, build=build: replace_table(build(star, rows, settings), f"{root}/{n}")
-        for name, build in reports.REPORTS.items()
-    }
-    return side_by_side(spark, work)
+def refresh_reports(spark: SparkSession, folder: str, refreshed_at: datetime, settings: Settings = Settings()) -> None:
+    """Build the four reporting tables of a folder whole, from its stored star, and publish them."""
+    load = Load(spark, folder)
+    update_reports(load, table_sizes(spark, star_of(spark, load.root, load.next)), None, settings)
+    load.publish(refreshed_at)
 
 
 def check_published(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,11 +248,6 @@ def check_published(spark: SparkSession, folder: str) -> DataFrame:
     return quality.check_star(read_published(spark, folder), quality.LOAD_RULES)
 
 
-def check_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """The warehouse rules on the stored tables; empty ones are passed over."""
-    return quality.check_star(stored_star(spark, folder), quality.WAREHOUSE_RULES, skip_empty=True)
-
-
 def check_load(spark: SparkSession, folder: str) -> DataFrame:
     """Failures of every declared constraint and foreign key on the stored tables, one row each."""
     star = stored_star(spark, folder)
@@ -222,8 +259,9 @@ def check_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The six tables of a loaded warehouse."""
-    return {name: read_table(spark, f"{folder}/{name}", name) for name in schemas.TABLES}
+    """The six tables of a loaded warehouse, all of the generation published last."""
+    root = folder.rstrip("/")
+    return star_of(spark, root, current(spark, root))
 
 
 def run(
@@ -236,15 +274,13 @@ def run(
 ) -> Warehouse:
     """Build and load everything; folder defaults to a new scratch path.
 
-    Tables are added to those that earlier runs stored in the folder, and the
-    reporting tables are computed again from all stored sales.
+    Tables are added to those that earlier runs stored in the folder. They, the reporting tables of all stored
+    sales included, are published as one generation.
     """
     target = folder or scratch_path(spark, "entrepot")
     warehouse = Warehouse(spark, sources, settings, stored_dimensions(spark, target) if as_tables else None)
     if as_tables:
         warehouse.load_tables(target, loaded_at or datetime.now())
-        star = stored_star(spark, target)
-        refresh_reports(spark, star, table_sizes(spark, star), target, settings)
     else:
         warehouse.load_csv(target)
     return warehouse

@@ -62,6 +62,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder of any file system Spark reaches; none if it does not exist."""
+    system, place = _file_system(spark, path)
+    return sorted(status.getPath().getName() for status in system.listStatus(place)) if system.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged or retired files."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
 def side_by_side(spark: SparkSession, work: dict[str, Callable[[], Any]]) -> dict[str, Any]:
     """Run independent jobs at the same time, so that small ones share the executors."""
     with ThreadPoolExecutor(max_workers=max(1, len(work))) as pool:

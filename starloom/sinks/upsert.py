@@ -4,74 +4,107 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import quality
-from starloom.session import stage
-from starloom.sinks.journal import finish, write_through
+from starloom.session import side_by_side, stage
+from starloom.sinks.generations import Generation, Load, current, read_parts
+from starloom.sinks.key_index import add_lot, known_months, merge_lots
 
+FACT = "fait_ventes"
 KEY = "id_commande"
 MONTH = "annee_mois"
 LOADED = "date_chargement"
 # Columns a batch may leave out, with the value of a new line; known lines keep theirs.
 OPTIONAL = {"cout_livraison": None, "delai_livraison_jours": None, "remise_pct": 0, "statut_commande": None}
-STORED = f"{schemas.TABLES['fait_ventes']}, {LOADED} timestamp_ntz, {MONTH} int"
+STORED = f"{schemas.TABLES[FACT]}, {LOADED} timestamp_ntz"
+
+
+def read_facts(spark: SparkSession, root: str, held: Generation, months: list[int] | None = None) -> DataFrame | None:
+    """The sales of a generation with their partition and load-time columns, or None before the first load."""
+    return read_parts(spark, root, held, FACT, MONTH, months)
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored fact with its partition and load-time columns, or None before the first load."""
-    try:
-        return spark.read.schema(STORED).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """The sales last published below path."""
+    return read_facts(spark, path.rstrip("/"), current(spark, path.rstrip("/")))
 
 
 def upsert_facts(batch: DataFrame, path: str, loaded_at: datetime, staged: bool = False) -> None:
+    """Merge a batch into the sales below path and publish them."""
+    load = Load(batch.sparkSession, path)
+    if merge_facts(load, batch, loaded_at, staged):
+        load.publish(loaded_at)
+
+
+def merge_facts(load: Load, batch: DataFrame, loaded_at: datetime, staged: bool = False) -> list[int]:
     """Insert unseen order lines, overwrite known ones in all columns of the batch, keep the rest.
 
-    Only the month partitions that hold a batch key, before or after, are
-    rewritten. The merged rows are staged and noted in a journal first, so nothing
-    reads what is being written, and a run that died half way is finished by the
-    next one before it looks at the stored rows. A known line keeps its load time.
+    Only the month partitions that hold a batch key, before or after, are rewritten, into folders of this load;
+    they are returned. Where a key is stored is looked up in the key index, whose touched buckets alone are read. A
+    known line keeps its load time.
 
     A batch that breaks a declared constraint of the fact, such as a missing or
     repeated key, is refused whole. The batch is read several times: it is staged first, unless the caller says
     that it already comes from a staged table.
     """
     spark = batch.sparkSession
-    dated = schemas.conform(batch, "fait_ventes", OPTIONAL).withColumn(MONTH, F.floor(F.col("id_date") / 100).cast("int"))
+    dated = schemas.conform(batch, FACT, OPTIONAL).withColumn(MONTH, F.floor(F.col("id_date") / 100).cast("int"))
     incoming = dated if staged else stage(dated, "lot")
-    rules = [r for r in quality.CONSTRAINTS["fait_ventes"] if r.column in incoming.columns]
-    quality.require(quality.check_table(incoming, "fait_ventes", rules))
-    load_time = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
-
-    finish(spark, path, _apply)
-    stored = read_stored(spark, path)
-    if stored is None:
-        _write(incoming.withColumns({**_defaults(incoming), LOADED: load_time}), path)
-        return
-
-    left = stored.select(KEY, MONTH).join(incoming.select(KEY), KEY, "left_semi").select(MONTH)
-    months = left.union(incoming.select(MONTH)).distinct()
-    touched = sorted(r[0] for r in months.collect())  # one value per month partition
+    rules = [r for r in quality.CONSTRAINTS[FACT] if r.column in incoming.columns]
+    keys = incoming.select(KEY, MONTH)
+    # Nothing is visible before the load is published, so a batch may be checked while it is written.
+    written = side_by_side(
+        spark,
+        {
+            "check": lambda: quality.require(quality.check_table(incoming, FACT, rules)),
+            "write": lambda: (_extend if FACT in load.base.parts else _begin)(load, incoming, keys, loaded_at),
+        },
+    )
+    merge_lots(load, KEY, MONTH)
+    return written["write"]
+
+
+def _begin(load: Load, incoming: DataFrame, keys: DataFrame, loaded_at: datetime) -> list[int]:
+    """The first sales of a root."""
+    months = _months(keys)
+    rows = _stored_columns(incoming.withColumns({**_defaults(incoming), LOADED: _time(loaded_at)}))
+    work = {"sales": lambda: load.rewrite(FACT, rows, MONTH, months), "keys": lambda: add_lot(load, keys, KEY, MONTH)}
+    side_by_side(load.spark, work)
+    return months
+
+
+def _extend(load: Load, incoming: DataFrame, keys: DataFrame, loaded_at: datetime) -> list[int]:
+    """Merge into stored sales; returns the months before and after of all batch keys."""
+    known = keys.limit(0)
+    if load.base.lots:
+        known = stage(known_months(load.spark, load.root, load.base, keys, KEY, MONTH), "connues")
+    touched = _months(known.select(MONTH).union(keys.select(MONTH)))
     if not touched:
-        return
-    write_through(_merge(stored.filter(F.col(MONTH).isin(touched)), incoming, load_time), path, _apply, touched)
+        return []
+    merged = _merge(read_facts(load.spark, load.root, load.base, touched), incoming, _time(loaded_at))
+    changed = keys.join(known, [KEY, MONTH], "left_anti")
+    work = {
+        "sales": lambda: load.rewrite(FACT, _stored_columns(merged), MONTH, touched),
+        "keys": lambda: add_lot(load, changed, KEY, MONTH),
+    }
+    side_by_side(load.spark, work)
+    return touched
+
+
+def _time(loaded_at: datetime) -> Column:
+    return F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
+
 
+def _months(rows: DataFrame) -> list[int]:
+    return sorted(r[0] for r in rows.select(MONTH).distinct().collect())  # one value per month
 
-def _apply(spark: SparkSession, entry: Row, path: str) -> None:
-    """Write the staged months, then empty the touched months that all lines have left."""
-    merged = spark.read.parquet(entry.copie)
-    _write(merged, path)
-    filled = {r[0] for r in merged.select(MONTH).distinct().collect()}
-    for month in entry.mois:
-        if month not in filled:
-            merged.limit(0).drop(MONTH).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
+
+def _stored_columns(df: DataFrame) -> DataFrame:
+    fields = [field.split(maxsplit=1) for field in f"{STORED}, {MONTH} int".split(", ")]
+    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields])
 
 
 def _defaults(batch: DataFrame) -> dict[str, Column]:
@@ -86,16 +119,3 @@ def _merge(old: DataFrame, new: DataFrame, load_time: Column) -> DataFrame:
     given = [F.when(from_batch, F.col(f"_lot_{c}")).otherwise(F.col(c)).alias(c) for c in new.columns if c != KEY]
     left_out = [F.when(is_new, default).otherwise(F.col(c)).alias(c) for c, default in _defaults(new).items()]
     return joined.select(KEY, *given, *left_out, F.coalesce(LOADED, load_time).alias(LOADED))
-
-
-def _write(df: DataFrame, path: str) -> None:
-    """Write month partitions; the rebalance hint splits a month too large for one task."""
-    fields = [field.split(maxsplit=1) for field in STORED.split(", ")]
-    ordered = df.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields])
-    (
-        ordered.hint("rebalance", F.col(MONTH))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -10,8 +11,9 @@ from starloom.operators.cities import city_lookup
 from starloom.operators.orders import latest_orders
 from starloom.operators.quality import QualityError
 from starloom.plans.facts import KEY_MAPS
-from starloom.plans.warehouse import check_published, run, stored_star
+from starloom.plans.warehouse import check_published, refresh_reports, run, stored_report, stored_star
 from starloom.settings import Settings
+from starloom.sinks import generations, key_index
 from starloom.sinks.tables import publish_csv, replace_table
 from starloom.sinks.upsert import read_stored, upsert_facts
 from starloom.sources import files
@@ -212,8 +214,8 @@ def test_whole_run_from_files(spark, tmp_path, as_tables):
     assert people["C2"].id_client_sk == 1 and people["C2"].tranche_age == "<18"
     assert built.report("mv_ca_mensuel").first().ca_ttc == Decimal("361.20")
     if as_tables:
-        paths = built.refresh_reports(out)
-        assert spark.read.parquet(paths["mv_top_produits"]).first().rang_global == 1
+        refresh_reports(spark, out, T1)
+        assert stored_report(spark, out, "mv_top_produits").first().rang_global == 1
 
 
 def test_second_run_keeps_sales_with_their_clients(spark, tmp_path):
@@ -257,44 +259,135 @@ def test_second_run_keeps_sales_with_their_clients(spark, tmp_path):
     assert {r.id_client_nk: r["count"] for r in kept} == {"C1": 1, "C2": 1}
 
 
-@pytest.mark.parametrize("step", ["before the write", "after the write", "before closing"])
-def test_a_crashed_upsert_is_finished_by_the_next_one(spark, tmp_path, monkeypatch, step):
+@pytest.mark.parametrize("step, after", [("replace", True), ("rewrite", True), ("add_lot", False), ("update_reports", True), ("publish", False)])
+def test_readers_see_a_load_whole_or_not_at_all(spark, tmp_path, monkeypatch, step, after):
+    """A load that dies at any step leaves the generation before, and can be run again."""
+    from starloom.plans import warehouse as plans
     from starloom.sinks import upsert
 
-    path = str(tmp_path / "f")
-    upsert_facts(fact(spark, ("a", 20240105, 1, "livré"), ("b", 20240106, 2, "livré")), path, T0)
-    moved = fact(spark, ("a", 20240205, 1, "livré"), ("b", 20240206, 5, "livré"))
-    written, applied = upsert._write, upsert._apply
+    root, star = str(tmp_path / "w"), tiny_star(spark)
+    load_star(spark, root, star, fact(spark, ("a", 20240105, 1, "livré"), ("b", 20240106, 2, "livré")), T0)
+    places = {"add_lot": upsert, "update_reports": plans}
+    place = places.get(step, generations.Load)
+    whole = getattr(place, step)
 
     def crash(*args):
-        if step == "after the write":
-            written(*args)
-        if step == "before closing":
-            applied(*args)
+        if after:
+            whole(*args)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(upsert, "_apply" if step == "before closing" else "_write", crash)
+    moved = fact(spark, ("a", 20240205, 1, "livré"), ("c", 20240206, 5, "livré"))
+    monkeypatch.setattr(place, step, crash)
     with pytest.raises(RuntimeError, match="lost"):
-        upsert_facts(moved, path, T1)
+        load_star(spark, root, star, moved, T1)
     monkeypatch.undo()
-    upsert_facts(moved, path, T1)
-    got = sorted((r.id_commande, r.id_date, r.quantite_vendue) for r in read_stored(spark, path).collect())
-    assert got == [("a", 20240205, 1), ("b", 20240206, 5)]
-
-
-def test_a_crashed_replacement_is_finished(spark, tmp_path, monkeypatch):
-    from starloom.sinks import journal, tables
+    assert seen(spark, root) == ([("a", 20240105, 1), ("b", 20240106, 2)], {202401: 3})
+    load_star(spark, root, star, moved, T1)
+    assert seen(spark, root) == ([("a", 20240205, 1), ("b", 20240106, 2), ("c", 20240206, 5)], {202401: 2, 202402: 6})
+    before = generations.generations(spark, root, 2)[1]
+    assert plans.star_of(spark, root, before)["fait_ventes"].count() == 2
+    gone = generations.retire(spark, root, keep=1)
+    assert gone and seen(spark, root)[1] == {202401: 2, 202402: 6}
+    assert generations.retire(spark, root, keep=1) == []
+
+
+def tiny_star(spark):
+    days = "id_date int, jour int, mois int, trimestre int, annee int, semaine int, libelle_jour string, libelle_mois string, est_weekend boolean, est_ferie_maroc boolean, periode_ramadan boolean"
+    rows = [(20240000 + m * 100 + d, d, m, (m + 2) // 3, 2024, 1, "j", "m", False, False, False) for m in range(1, 6) for d in range(1, 29)]
+    end = date(9999, 12, 31)
+    return {
+        "dim_temps": spark.createDataFrame(rows, days),
+        "dim_produit": spark.createDataFrame([(1, "P", "p", "c", "s", "m", "f", Decimal(1), "o", T0.date(), end, True)], schemas.TABLES["dim_produit"]),
+        "dim_client": spark.createDataFrame([(1, "C", "n", "a", "m", "v", "r", "Gold", "w", T0.date(), end, True)], schemas.TABLES["dim_client"]),
+        "dim_region": spark.createDataFrame([(1, "v", "p", "r", "z", "Maroc")], schemas.TABLES["dim_region"]),
+        "dim_livreur": spark.createDataFrame([(1, "L", "l", "t", "z")], schemas.TABLES["dim_livreur"]),
+    }
 
-    path = str(tmp_path / "d")
-    replace_table(spark.range(5), path)
 
-    def crash(*args):
-        raise RuntimeError("lost")
+def load_star(spark, root, star, sales, day):
+    from starloom.plans import warehouse as plans
+    from starloom.sinks import upsert
 
-    monkeypatch.setattr(tables, "replace_table", crash)
-    with pytest.raises(RuntimeError, match="lost"):
-        tables.swap_table(spark.read.parquet(path).filter("id > 2"), path)
-    monkeypatch.undo()
-    journal.finish(spark, path, tables.apply_swap)
-    journal.finish(spark, path, tables.apply_swap)
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4]
+    load = generations.Load(spark, root)
+    for name, df in star.items():
+        load.replace(name, df)
+    touched = upsert.merge_facts(load, sales, day)
+    plans.update_reports(load, {name: 1 for name in star}, touched)
+    load.publish(day)
+    return load
+
+
+def seen(spark, root):
+    sales = sorted((r.id_commande, r.id_date, r.quantite_vendue) for r in stored_star(spark, root)["fait_ventes"].collect())
+    return sales, {r.annee * 100 + r.mois: r.volume_vendu for r in stored_report(spark, root, "mv_ca_mensuel").collect()}
+
+
+def test_untouched_periods_are_not_written_again(spark, tmp_path):
+    root, star = str(tmp_path / "w"), tiny_star(spark)
+    first = load_star(spark, root, star, fact(spark, ("a", 20240105, 1, "livré"), ("b", 20240406, 2, "livré")), T0)
+    second = load_star(spark, root, star, fact(spark, ("c", 20240205, 4, "livré")), T1)
+    assert second.next.parts["fait_ventes"] == {202401: first.token, 202404: first.token, 202402: second.token}
+    assert second.next.parts["mv_ca_mensuel"] == {202401: first.token, 202404: first.token, 202402: second.token}
+    # The first quarter is aggregated again from both of its months, the second stays.
+    assert second.next.parts["mv_top_produits"] == {20241: second.token, 20242: first.token}
+    assert {r.trimestre: r.qte_totale for r in stored_report(spark, root, "mv_top_produits").collect()} == {1: 5, 2: 2}
+    renamed = {**star, "dim_produit": star["dim_produit"].withColumn("nom_produit", F.lit("neu"))}
+    third = load_star(spark, root, renamed, fact(spark, ("d", 20240305, 1, "annulé")), T1)
+    # Only the report that shows the name is built whole.
+    assert set(third.next.parts["mv_top_produits"].values()) == {third.token}
+    assert {r.nom_produit for r in stored_report(spark, root, "mv_top_produits").collect()} == {"neu"}
+    assert third.next.parts["mv_ca_mensuel"] == second.next.parts["mv_ca_mensuel"]
+
+
+def test_of_two_loads_from_one_generation_the_second_is_refused(spark, tmp_path):
+    one, two = generations.Load(spark, str(tmp_path)), generations.Load(spark, str(tmp_path))
+    for load in (one, two):
+        load.replace("t", spark.range(3))
+    one.publish(T0)
+    with pytest.raises(RuntimeError, match="another load"):
+        two.publish(T0)
+    assert generations.current(spark, str(tmp_path)).tables == {"t": one.token}
+
+
+@pytest.fixture
+def indexed(spark, tmp_path, monkeypatch):
+    """100 keys in many small cells and buckets."""
+    monkeypatch.setattr(key_index, "CELL_KEYS", 5)
+    load = generations.Load(spark, str(tmp_path))
+    key_index.add_lot(load, spark.range(100).selectExpr("concat('k', id) as k", "cast(202401 + id % 3 as int) as m"), "k", "m")
+    return load
+
+
+def keys_of(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "k string")
+
+
+def test_the_index_reads_touched_buckets_only(spark, indexed):
+    asked = keys_of(spark, "k7", "k7x", "k12")
+    found = key_index.known_months(spark, indexed.root, indexed.next, asked, "k", "m")
+    assert sorted(tuple(r) for r in found.collect()) == [("k12", 202401), ("k7", 202402)]
+    touched = {r.paquet for r in key_index.candidates(spark, indexed.root, indexed.next, asked, "k").collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\n]*paquet", plan) and len(touched) < indexed.next.buckets
+    unseen = keys_of(spark, *[f"u{k}" for k in range(500)])
+    assert key_index.candidates(spark, indexed.root, indexed.next, unseen, "k").count() < 25
+    assert key_index.known_months(spark, indexed.root, indexed.next, unseen, "k", "m").count() == 0
+
+
+def test_a_false_positive_of_a_filter_changes_nothing(spark, indexed, monkeypatch):
+    monkeypatch.setattr(key_index, "_is_set", lambda bitmap, position: F.col(bitmap).isNotNull())
+    asked = keys_of(spark, "k3", *[f"u{k}" for k in range(50)])
+    assert key_index.candidates(spark, indexed.root, indexed.next, asked, "k").count() > 10
+    found = key_index.known_months(spark, indexed.root, indexed.next, asked, "k", "m")
+    assert [tuple(r) for r in found.collect()] == [("k3", 202401)]
+
+
+def test_the_newest_lot_is_right_and_lots_are_merged(spark, indexed, monkeypatch):
+    monkeypatch.setattr(key_index, "MOST_LOTS", 2)
+    for turn in range(4):
+        indexed.token = f"t{turn}"
+        key_index.add_lot(indexed, spark.createDataFrame([("k1", 202500 + turn), (f"n{turn}", 202601)], "k string, m int"), "k", "m")
+        key_index.merge_lots(indexed, "k", "m")
+        assert len(indexed.next.lots) <= 2
+    found = key_index.known_months(spark, indexed.root, indexed.next, keys_of(spark, "k1", "k2", "n0", "n3", "n4"), "k", "m")
+    assert sorted(tuple(r) for r in found.collect()) == [("k1", 202503), ("k2", 202403), ("n0", 202601), ("n3", 202601)]
