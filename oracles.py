@@ -164,6 +164,11 @@ _CTES = {
       naissance_valide AS date_naissance, {_SEX} AS sexe, coalesce(v.ville, 'Non renseignée') AS ville, telephone,
       date_inscription, canal_acquisition, email_norm, CAST(age AS DOUBLE) AS age, {_BAND} AS tranche_age
     FROM clients_ages c LEFT JOIN villes v ON v.variante = lower(trim(c.ville))""",
+    "clients_1": """SELECT id_client FROM (SELECT * FROM raw_clients WHERE length(id_client) % 2 = 0)
+    QUALIFY row_number() OVER (PARTITION BY lower(trim(email)) ORDER BY PLACEHOLDER DESC NULLS LAST, id_client DESC) = 1""".replace(
+        "PLACEHOLDER", _date("date_inscription")
+    ),
+    "clients_2": "SELECT id_client FROM clients_1 UNION SELECT id_client FROM clients",
     "produits": f"""SELECT id_produit, nom, {_title("trim(categorie)")} AS categorie, {_title("trim(sous_categorie)")} AS sous_categorie,
       trim(marque) AS marque, trim(fournisseur) AS fournisseur,
       coalesce(CAST(prix_catalogue AS DECIMAL(10,2)), -1) AS prix_catalogue, origine_pays, date_creation, actif, p_partkey
@@ -245,6 +250,12 @@ _CTES = {
     FROM fait""",
 }
 
+# The order rules over the lines of one batch of a stream; the first batch leaves couriers with even numbers out.
+for _batch, _when in ((1, "l_shipdate < DATE '1998-07-01'"), (2, "l_shipdate >= DATE '1998-07-01'")):
+    _CTES[f"dernieres_{_batch}"] = _CTES["dernieres"].replace("FROM raw_commandes", f"FROM raw_commandes WHERE {_when}")
+    _CTES[f"datees_{_batch}"] = _CTES["datees"].replace("FROM dernieres", f"FROM dernieres_{_batch}")
+    _CTES[f"chiffrees_{_batch}"] = _CTES["chiffrees"].replace("FROM datees", f"FROM datees_{_batch}")
+    _CTES[f"commandes_{_batch}"] = _CTES["commandes"].replace("FROM chiffrees", f"FROM chiffrees_{_batch}")
 for _report in ("ca_mensuel", "top_produits", "taux_retour"):
     _CTES[f"{_report}_lot"] = _CTES[_report].replace("FROM fait f", "FROM apres_lot f")
 _CTES["ca_mensuel_1"] = _CTES["ca_mensuel"].replace("WHERE", "WHERE id_date < 20250701 AND")
@@ -409,6 +420,15 @@ _CHANGED = " OR ".join(f"c.{t} IS DISTINCT FROM n.{t}" for t in _TRACKED)
 
 _BODIES = {
     "src_csv_text": f"SELECT {_RAW_ORDER} FROM raw_commandes",
+    "src_csv_clients": """SELECT id_client, nom, prenom, email, date_naissance, sexe, ville, telephone, date_inscription,
+      canal_acquisition FROM raw_clients""",
+    "src_csv_regions": """SELECT code_ville, nom_ville_standard, province, region_admin, zone_geo, '' AS population, '' AS code_postal
+    FROM raw_regions""",
+    "clients_by_period": " UNION ALL ".join(
+        f"""SELECT '{kind}' AS granularite, CAST({period} AS INTEGER) AS periode, ville, count(DISTINCT id_client) AS nb_clients
+        FROM fait JOIN dim_temps USING (id_date) JOIN dim_region USING (id_region) WHERE statut_commande = 'livré' GROUP BY ALL"""
+        for kind, period in (("mois", "annee * 100 + mois"), ("trimestre", "annee * 10 + trimestre"), ("annee", "annee"))
+    ),
     "src_json_explode": """SELECT id_produit, nom, categorie, sous_categorie, marque, fournisseur, prix_catalogue, origine_pays,
       date_creation, actif FROM raw_produits""",
     "city_lookup": "SELECT variante, ville FROM villes",
@@ -563,6 +583,19 @@ _BODIES["reports_refresh"] = " UNION ALL ".join(
         ("mv_taux_retour", "mv_return_rate", "nb_retournees"), ("mv_performance_livreurs", "mv_courier_performance", "nb_livraisons"),
     )
 )
+# A sale keeps the client and product that were known to its batch.
+_BODIES["orders_stream"] = " UNION ALL ".join(
+    f"""SELECT id_commande, {_key("date_commande")} AS id_date, CAST(trunc(quantite) AS INTEGER) AS quantite_vendue, statut AS statut_commande,
+      CASE WHEN ville_livraison <> 'Non renseignée' THEN ville_livraison END AS ville, {courier} AS id_livreur_nk,
+      (SELECT any_value(id_produit) FROM produits p WHERE p.id_produit = c.id_produit AND {product}) AS id_produit_nk,
+      (SELECT any_value(k.id_client) FROM clients_{batch} k WHERE k.id_client = c.id_client) AS id_client_nk
+    FROM commandes_{batch} c {rest}"""
+    for batch, courier, product, rest in (
+        (1, "CASE WHEN regexp_matches(id_livreur, '[02468]$') THEN '-1' ELSE id_livreur END", "p.actif",
+         "WHERE id_commande NOT IN (SELECT id_commande FROM commandes_2)"),
+        (2, "id_livreur", "true", ""),
+    )
+)
 _SEEN = """SELECT {n} AS generation, count(*) AS nb_ventes, CAST(sum(quantite_vendue) AS BIGINT) AS quantite,
   count(DISTINCT id_date // 100) AS nb_mois, (SELECT CAST(sum(volume_vendu) AS BIGINT) FROM {report}) AS volume_vendu FROM {sales}"""
 _BODIES["load_generations"] = " UNION ALL ".join((

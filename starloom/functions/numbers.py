@@ -9,8 +9,16 @@ MONEY = "decimal(18,2)"
 
 
 def to_number(text: Column) -> Column:
-    """Number from text; null where it is none, or has more than 20 digits before the point. Ten decimals are kept."""
-    return F.trim(text.cast("string")).try_cast("decimal(30,10)")
+    """Number from text; null where it is none. 20 digits before the point and ten decimals are kept.
+
+    A number that needs more digits before the point, or is not 0 but has none within ten decimals, stops
+    the job: as null or 0 it would let a rule drop its row unseen.
+    """
+    written = F.trim(text.cast("string"))
+    number, rough = written.try_cast("decimal(30,10)"), written.try_cast("double")
+    finite = rough.between(F.lit(-1.7976931348623157e308), F.lit(1.7976931348623157e308))
+    lost = finite & (number.isNull() | ((number == 0) & (rough != 0)))
+    return F.when(lost, F.raise_error(F.concat(F.lit("number out of range: "), written)).cast("decimal(30,10)")).otherwise(number)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

@@ -172,7 +172,7 @@ class Warehouse:
 
 
 def update_reports(load: Load, rows: dict[str, int], touched: list[int] | None, settings: Settings = Settings()) -> None:
-    """The four reporting tables of a load, from its own star.
+    """The reporting tables of a load, from its own star.
 
     touched are the months whose sales the load has changed: only the periods that hold them are
     aggregated and written again. A report is built whole where it is not stored yet, where touched is None, or
@@ -237,7 +237,7 @@ def table_sizes(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str,
 
 
 def refresh_reports(spark: SparkSession, folder: str, refreshed_at: datetime, settings: Settings = Settings()) -> None:
-    """Build the four reporting tables of a folder whole, from its stored star, and publish them."""
+    """Build the reporting tables of a folder whole, from its stored star, and publish them."""
     load = Load(spark, folder)
     update_reports(load, table_sizes(spark, star_of(spark, load.root, load.next)), None, settings)
     load.publish(refreshed_at)

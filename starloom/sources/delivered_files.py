@@ -16,7 +16,8 @@ class DeliveredFiles:
     clients_csv: str
     products_json: str
     regions_csv: str
-    multi_line: bool = False
+    multi_line: bool = False  # CSV cells may hold line breaks
+    one_product_document: bool = True  # False: one {"produits": [...]} document per line, which Spark can split
 
     def orders(self) -> DataFrame:
         return files.read_orders(self.spark, self.orders_csv, multi_line=self.multi_line)
@@ -25,7 +26,7 @@ class DeliveredFiles:
         return files.read_clients(self.spark, self.clients_csv, multi_line=self.multi_line)
 
     def products(self) -> DataFrame:
-        return files.read_products(self.spark, self.products_json)
+        return files.read_products(self.spark, self.products_json, multi_line=self.one_product_document)
 
     def regions(self) -> DataFrame:
         return files.read_regions(self.spark, self.regions_csv)

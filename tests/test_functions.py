@@ -71,3 +71,14 @@ def test_to_number(frame, text, expected):
 def test_percent(frame, part, whole, digits, expected):
     value = frame("a bigint, b bigint", (part, whole)).select(percent(F.col("a"), F.col("b"), digits)).first()[0]
     assert (None if value is None else float(value)) == expected
+
+
+@pytest.mark.parametrize("text", ["123456789012345678901", "1e25", "0.00000000001", "-1e-30"])
+def test_a_number_that_would_be_lost_stops_the_job(frame, text):
+    with pytest.raises(Exception, match="out of range"):
+        frame("t string", (text,)).select(to_number(F.col("t"))).collect()
+
+
+@pytest.mark.parametrize("text", ["NaN", "Infinity", "1e999", "0.0", "-0"])
+def test_what_is_no_finite_number_or_zero(frame, text):
+    assert frame("t string", (text,)).select(to_number(F.col("t"))).first()[0] in (None, 0)
