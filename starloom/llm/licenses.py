@@ -126,12 +126,17 @@ def blocks(scan: Words, known: np.ndarray, how: Scanning) -> list[tuple[int, int
     return out
 
 
+# ASCII letters alone, as in the scan: other letters may change their number of characters.
+_FOLD = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
+
+
 def compare(block: str, ready: list, how: Scanning) -> tuple | None:
     """(license, reduction, agreement, missing, added, first, last word of the wording) of the winner, or None."""
-    data = block.lower().encode()
+    folded = block.translate(_FOLD)
+    data = folded.encode("utf-8", "surrogatepass")
     alone = len(_plain(how.level).compress(data))
     ranked = sorted(((1 - len(packer.compress(data)) / alone, name, words) for name, words, packer in ready), key=lambda r: (-r[0], r[1]))
-    found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(block.lower())]
+    found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(folded)]
     own = [word for word, _, _ in found]
     # Reductions of nested wordings are close: all templates near the best are confirmed, and the best wording wins.
     best = None
@@ -155,7 +160,7 @@ def compare(block: str, ready: list, how: Scanning) -> tuple | None:
 
 def closest(block: str, ready: list, how: Scanning) -> tuple | None:
     """The winner of the block or, where other notices beside it hide its reduction, of a stretch that holds a wording."""
-    found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(block.lower())]
+    found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(block.translate(_FOLD))]
     own = [word for word, _, _ in found]
     # An alignment cannot have more words than both texts hold, in any order.
     held = Counter(own)
