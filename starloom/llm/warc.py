@@ -23,7 +23,8 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import zstandard
@@ -44,6 +45,12 @@ class Bundling:
     frame_bytes: int = 1 << 20
     least_revisit: int = 100
     level: int = 3
+    # WARC-Date of all records; empty: the time at which the bundles are written.
+    date: str = ""
+
+
+# A task reads about so many bytes of records back.
+READ_BYTES = 128 << 20
 
 
 class SeekableWriter:
@@ -86,12 +93,16 @@ class SeekableReader:
         return zstandard.ZstdDecompressor().decompress(self.file.read(packed), max_output_size=max(plain, 1))
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None, digest_order: int = 0) -> bytes:
+def record(
+    page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None, digest_order: int = 0,
+    date: str = "1970-01-01T00:00:00Z",
+) -> bytes:
     """One WARC/1.1 record; a revisit, with refers_to, holds no payload but its digest and size."""
     kind = "response" if refers_to is None else "revisit"
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
+        f"WARC-Date: {date}",
         f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest_order}/{digest}')}>",
         f"WARC-Page-ID: {'' if page_id is None else page_id}",
         "WARC-Target-URI: " + (url or "").replace("\r", "%0D").replace("\n", "%0A"),
@@ -149,6 +160,7 @@ def write_bundles(pages: DataFrame, folder: str, key: str = "page_id", url: str
     dealt = rows.withColumn("_bundle", spread).repartition(int(bundles), "_bundle")
     ordered = dealt.sortWithinPartitions("_bundle", "_id", F.col("_first").isNull(), F.xxhash64("_payload"))
     schema = "page_id long, bundle string, frame int, offset long, length long"
+    how = replace(how, date=how.date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"))
     return stage(ordered.mapInArrow(lambda batches: _write(batches, folder, how), schema), "warc-index")
 
 
@@ -162,18 +174,24 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def _write(batches: Iterator[pa.RecordBatch], folder: str, how: Bundling) -> Iterator[pa.RecordBatch]:
     files, root = fs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
-    bundle, marked, writer, held, index = None, None, None, [], []
+    bundle, marked, writer, held, held_bytes, index = None, None, None, [], 0, []
 
     def flush():
+        nonlocal held_bytes
         if held:
             writer.frame(b"".join(held))
             held.clear()
+            held_bytes = 0
 
     def close():
         flush()
         writer.finish()
         writer.out.close()
-        files.move(f"{root}/{temporary}", f"{root}/bundle-{bundle:06d}.warc.zst")
+        target = f"{root}/bundle-{bundle:06d}.warc.zst"
+        # A task that runs again replaces the file of its first attempt, also where a move may not.
+        if files.get_file_info(target).type != fs.FileType.NotFound:
+            files.delete_file(target)
+        files.move(f"{root}/{temporary}", target)
         names = ["page_id", "bundle", "frame", "offset", "length"]
         kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64())
         columns = [pa.array(c, kind) for c, kind in zip(zip(*index, strict=True), kinds, strict=True)]
@@ -195,11 +213,12 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, how: Bundling) -> Ite
             order = 0
         order += 1
         digest = hashlib.sha256(payload).hexdigest()
-        made = record(page, url, payload, digest, len(payload), marks.get((page, digest)), order)
-        if held and sum(map(len, held)) + len(made) > how.frame_bytes:
+        made = record(page, url, payload, digest, len(payload), marks.get((page, digest)), order, how.date)
+        if held and held_bytes + len(made) > how.frame_bytes:
             flush()
-        index.append((page, f"bundle-{number:06d}.warc.zst", len(writer.frames), sum(map(len, held)), len(made)))
+        index.append((page, f"bundle-{number:06d}.warc.zst", len(writer.frames), held_bytes, len(made)))
         held.append(made)
+        held_bytes += len(made)
     if writer:
         yield close()
 
@@ -213,6 +232,9 @@ def read_bundles(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
     """
     prepare(spark)
     frames = index.select("bundle", "frame").distinct()
+    # The index is small, what it stands for is not: tasks are cut by the bytes of the bundles.
+    size = index.agg(F.count_distinct("bundle"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(1, min(size[0], max(2 * spark.sparkContext.defaultParallelism, -(-size[1] // READ_BYTES))))
     names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]
     kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
 
@@ -229,7 +251,7 @@ def read_bundles(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
-    return frames.repartition("bundle").sortWithinPartitions("bundle", "frame").mapInArrow(read, schema)
+    return frames.repartition(int(tasks), "bundle").sortWithinPartitions("bundle", "frame").mapInArrow(read, schema)
 
 
 def _result(head: dict[str, str], body: bytes) -> tuple:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from starloom.llm import licenses, mixing, scoring
+from starloom.llm import licenses, mixing, scoring, warc
 from starloom.llm.textscan import Words
 
 
@@ -112,3 +112,29 @@ def test_reserved_rights_and_changed_words_are_found(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {(r.doc_id, r.license) for r in licenses.find_licenses(docs).collect()}
     assert found == {(0, "All-rights-reserved"), (1, "MIT"), (3, "ISC-notice")}
+
+
+def test_offsets_of_notices_behind_letters_that_grow_in_lower_case():
+    text = "\u0130\u0130\u0130 Released under the MIT License. ok"
+    _, ready = licenses.prepared(tuple(sorted(licenses.TEMPLATES.items())), 3)
+    found = licenses.compare_all(text, ready, licenses.Scanning())
+    assert [text[f[5] : f[6]] for f in found] == ["Released under the MIT License"]
+
+
+def test_bundles_are_read_back_by_several_tasks(spark, tmp_path):
+    rows = [(k, f"http://a.example/{k}", f"<p>{k}</p>" * 300) for k in range(400)]
+    pages = spark.createDataFrame([(*row, "x", 1) for row in rows], "page_id long, url string, html string, bundle string, frame int")
+    folder = f"file://{tmp_path}/w"
+    how = warc.Bundling(bundle_bytes=200_000, frame_bytes=20_000)
+    index = warc.write_bundles(pages, folder, how=how)
+    bundles = index.select("bundle").distinct().count()
+    back = warc.read_bundles(spark, folder, index)
+    assert bundles >= 4 and back.rdd.getNumPartitions() >= 4
+    assert len({r.task for r in back.selectExpr("spark_partition_id() as task").distinct().collect()}) > 1
+    assert sorted((r.page_id, r.payload.decode()) for r in back.collect()) == [(k, h) for k, _, h in rows]
+    # A second run into the same folder replaces the files.
+    again = warc.read_bundles(spark, folder, warc.write_bundles(pages, folder, how=how))
+    assert again.count() == 400
+    entry = index.filter("page_id = 7").first()
+    head, body = warc.read_record(folder, entry.bundle, entry.frame, entry.offset, entry.length)
+    assert head["WARC-Date"].endswith("Z") and body.decode() == rows[7][2]
