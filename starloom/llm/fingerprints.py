@@ -1,21 +1,25 @@
 """Homomorphic multiset fingerprints of documents.
 
-A paragraph (a line with at least one word) is hashed to a wide vector of 16-bit
-lanes, and a document's fingerprint is the sum of its paragraphs' vectors modulo
-2**16. The sum does not depend on their order, and a paragraph is inserted or
+A paragraph (a line with at least one word) is hashed to a wide vector, and a
+document's fingerprint is the sum of its paragraphs' vectors modulo powers of
+two. The sum does not depend on their order, and a paragraph is inserted or
 deleted by adding or subtracting its vector. The lanes come in two groups:
 
-* digest lanes, uniform values from an extendable-output hash of the paragraph.
-  Equal multisets agree, different ones disagree but with probability 2**-1024.
-* sign lanes, the sums over the paragraph's runs of three words of +1 or -1 from
-  the run's hash. Read as signed numbers they are a random projection of the
-  multiset of runs, so likeness, 2ab / (aa + bb), can be estimated from two
-  fingerprints alone, with an error of about 0.1.
+* 16 digest lanes modulo 2**64, uniform values from an extendable-output hash of
+  the paragraph. Equal multisets agree. A difference of one paragraph's count by
+  k is missed with probability 2**(16 z - 1024), z being the number of times two
+  divides k: never in practice below 2**64 copies.
+* 128 sign lanes modulo 2**16, the sums over the paragraph's runs of three words
+  of +1 or -1 from the run's hash. Read as signed numbers they are a random
+  projection of the multiset of runs, so likeness, 2ab / (aa + bb), can be
+  estimated from two fingerprints alone, with an error of about 0.1.
+
+A fingerprint is stored as 192 words of 16 bits, four to a digest lane.
 
 Edge cases: a null text is empty, and an empty or blank text has the zero
 fingerprint; two zero fingerprints have likeness 1. A sign lane holds sums up to
-32,767 in size, far above the root of any real text's length; larger sums wrap,
-which can only blur the likeness.
+32,767 in size, far above the root of most texts' length. One run repeated more
+often wraps, which blurs the likeness of such a text, but not equality.
 """
 
 from __future__ import annotations
@@ -32,20 +36,21 @@ from pyspark.sql import functions as F
 from starloom.llm.frames import prepare
 from starloom.llm.textscan import Words, chunks, mix
 
-DIGEST_LANES, SIGN_LANES = 64, 128
+DIGEST_WORDS, SIGN_LANES = 64, 128
 RUN = 3
 
 
 def fingerprints(texts: list[bytes]) -> np.ndarray:
-    """uint16 [texts, DIGEST_LANES + SIGN_LANES]: the fingerprint of each UTF-8 text."""
-    out = np.zeros((len(texts), DIGEST_LANES + SIGN_LANES), np.uint16)
+    """uint16 [texts, DIGEST_WORDS + SIGN_LANES]: the fingerprint of each UTF-8 text."""
+    out = np.zeros((len(texts), DIGEST_WORDS + SIGN_LANES), np.uint16)
     for first, last in chunks(texts, 1 << 19):
         for k in range(first, last):
             parts = [line for line in texts[k].split(b"\n") if line.strip(b" \t\x0b\x0c\r")]
             if parts:
-                raw = b"".join([hashlib.shake_128(line).digest(2 * DIGEST_LANES) for line in parts])
-                out[k, :DIGEST_LANES] = np.frombuffer(raw, "<u2").reshape(-1, DIGEST_LANES).sum(0, dtype=np.uint16)
-        out[first:last, DIGEST_LANES:] = _signs(texts[first:last])
+                raw = b"".join([hashlib.shake_128(line).digest(2 * DIGEST_WORDS) for line in parts])
+                lanes = np.frombuffer(raw, "<u8").reshape(len(parts), -1).sum(0, dtype="<u8")
+                out[k, :DIGEST_WORDS] = lanes.view("<u2")
+        out[first:last, DIGEST_WORDS:] = _signs(texts[first:last])
     return out
 
 
@@ -67,57 +72,95 @@ def _signs(texts: list[bytes]) -> np.ndarray:
 
 def insert(fingerprint: np.ndarray, paragraph: str) -> np.ndarray:
     """The fingerprint with one more paragraph."""
-    return fingerprint + fingerprints([paragraph.encode()])[0]
+    return _combine(np.add, fingerprint, paragraph)
 
 
 def delete(fingerprint: np.ndarray, paragraph: str) -> np.ndarray:
     """The fingerprint with one paragraph less."""
-    return fingerprint - fingerprints([paragraph.encode()])[0]
+    return _combine(np.subtract, fingerprint, paragraph)
+
+
+def _combine(change: np.ufunc, fingerprint: np.ndarray, paragraph: str) -> np.ndarray:
+    """Each lane changed by the paragraph's, digest lanes in 64 bits, sign lanes in 16."""
+    own = fingerprints([paragraph.encode()])[0]
+    digest = change(fingerprint[:DIGEST_WORDS].view("<u8"), own[:DIGEST_WORDS].view("<u8"))
+    return np.concatenate((digest.view("<u2"), change(fingerprint[DIGEST_WORDS:], own[DIGEST_WORDS:])))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated share of common word runs, 0 to 1, for rows of two arrays; 1 exactly if the fingerprints are equal."""
-    x = a[:, DIGEST_LANES:].view(np.int16).astype(np.float64)
-    y = b[:, DIGEST_LANES:].view(np.int16).astype(np.float64)
+    x = a[:, DIGEST_WORDS:].view(np.int16).astype(np.float64)
+    y = b[:, DIGEST_WORDS:].view(np.int16).astype(np.float64)
     whole = (x * x + y * y).sum(1)
     near = np.divide(2 * (x * y).sum(1), whole, out=np.zeros(len(x)), where=whole > 0)
     return np.where((a == b).all(1), 1.0, np.clip(near, 0, 1))
 
 
+def _hot_keys(base: DataFrame, doubled: np.ndarray, limit: int) -> dict[int, int]:
+    """Rows of each key above the limit. Only keys whose quantile repeats can be; quantiles are rounded to doubles."""
+    if not len(doubled):
+        return {}
+    near = base.filter(F.col("_id").cast("double").isin([float(cut) for cut in doubled]))
+    counted = near.groupBy("_id").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    return {r["_id"]: r["n"] for r in counted.collect()}
+
+
 def with_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(_part, _tail, _id, _text), sorted by descending _id inside each task, each _part whole in one task.
 
     The rows are dealt to ranges of the key, four to a shuffle partition. The
     first row of a range is sent along to the range before it as a tail row, so
     that every row's successor (the first range's first row after the last one)
-    follows it in the same task. Only keys are read to find the ranges, and the
-    driver holds one key per range. Rows with equal keys are ordered by text;
-    rows without a key come last.
+    follows it in the same task. The driver holds few keys per range. Rows with
+    equal keys are ordered by text; rows without a key come last.
+
+    A key that fills more than one range, and rows without a key, are cut into
+    ranges of the text's hash; texts are read to find the ranges only then.
+    Fully equal rows stay in one range.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(key).cast("long").alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = base.agg(F.percentile_approx("_id", [k / ranges for k in range(1, ranges)], 10_000)).first()[0]
-    cuts = np.array(sorted(set(cuts or [])), np.int64)
-
-    @F.pandas_udf("int")
-    def place(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        out = np.full(len(ids), len(cuts) + 1, np.int32)
-        out[known] = len(cuts) - np.searchsorted(cuts, ids[known].to_numpy(np.int64), "right")
-        return pd.Series(out)
-
-    placed = base.withColumn("_part", place("_id"))
-    firsts = {r["_part"]: r["first"] for r in placed.groupBy("_part").agg(F.max("_id").alias("first")).collect()}
+    quantiles = F.percentile_approx("_id", [k / ranges for k in range(1, ranges)], 10_000)
+    found, rows, keyed = base.agg(quantiles, F.count("*"), F.count("_id")).first()
+    cuts, copies = np.unique(np.array(found or [], np.int64), return_counts=True)
+    hot = _hot_keys(base, cuts[copies > 1], rows // ranges)
+    cuts = np.union1d(cuts, np.array(sorted(hot), np.int64))
+    # Ranges of the text's hash per cut; the last entry is for rows without a key.
+    share = [hot.get(int(cut), 0) for cut in cuts] + [rows - keyed]
+    pieces = np.array([-(-ranges * count // rows) if rows else 0 for count in share], np.int64)
+    spread = F.lit(0).cast("long")
+    if pieces.any():
+        spread = F.when(F.col("_id").isNull() | F.col("_id").isin([int(k) for k in hot]), F.xxhash64("_text")).otherwise(0)
+
+    @F.pandas_udf("long")
+    def place(ids: pd.Series, known: pd.Series, hashes: pd.Series) -> pd.Series:
+        values, known = ids.to_numpy(np.int64), known.to_numpy(bool)
+        below = np.searchsorted(cuts, values, "right")
+        at_cut = known & (below > 0)
+        at_cut[at_cut] = cuts[below[at_cut] - 1] == values[at_cut]
+        count = np.where(known, 0, pieces[-1])
+        count[at_cut] = pieces[below[at_cut] - 1]
+        piece = np.floor((hashes.to_numpy(np.float64) / 2.0**64 + 0.5) * count).clip(0, np.maximum(count - 1, 0))
+        order = np.where(known, len(cuts) - below, len(cuts) + 1)
+        return pd.Series(order * (ranges + 2) + np.where(count > 0, piece.astype(np.int64) + 1, 0))
+
+    where = place(F.coalesce("_id", F.lit(0)), F.col("_id").isNotNull(), "_hash")
+    placed = base.withColumn("_hash", spread).withColumn("_part", where)
+    heads = placed.groupBy("_part").agg(F.max("_id").alias("first"), F.min("_hash").alias("hash")).collect()
+    firsts = {r["_part"]: (r["first"], r["hash"]) for r in heads}
     parts = sorted(firsts)
     before = {part: parts[k - 1] for k, part in enumerate(parts)}
     if not parts:
         return placed.withColumn("_tail", F.lit(False)).select("_part", "_tail", "_id", "_text")
-    lookup = spark.createDataFrame([(p, firsts[p], before[p]) for p in parts], "_part int, _first long, _before int")
+    lookup = spark.createDataFrame(
+        [(p, *firsts[p], before[p]) for p in parts], "_part long, _first long, _first_hash long, _before long"
+    )
     joined = placed.join(F.broadcast(lookup), "_part")
     homes = F.array(F.struct(F.col("_part").alias("part"), F.lit(False).alias("tail")))
     tail = F.array(F.struct(F.col("_before").alias("part"), F.lit(True).alias("tail")))
-    both = F.when(F.col("_id").eqNullSafe(F.col("_first")), F.concat(homes, tail)).otherwise(homes)
+    is_first = F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_hash") == F.col("_first_hash"))
+    both = F.when(is_first, F.concat(homes, tail)).otherwise(homes)
     sent = joined.select(F.explode(both).alias("home"), "_id", "_text").select("home.part", "home.tail", "_id", "_text")
     sent = sent.toDF("_part", "_tail", "_id", "_text").repartition(ranges // 4, "_part")
     return sent.sortWithinPartitions("_part", "_tail", F.col("_id").desc_nulls_last(), F.xxhash64("_text"), "_text")
