@@ -429,6 +429,10 @@ _BODIES = {
         FROM fait JOIN dim_temps USING (id_date) JOIN dim_region USING (id_region) WHERE statut_commande = 'livré' GROUP BY ALL"""
         for kind, period in (("mois", "annee * 100 + mois"), ("trimestre", "annee * 10 + trimestre"), ("annee", "annee"))
     ),
+    "src_csv_quoted": """SELECT id_client, concat(nom, chr(10), '"dit, ', chr(10), chr(10), prenom, '"', chr(10)) AS nom, prenom,
+      email, date_naissance, sexe, ville, telephone, date_inscription, canal_acquisition FROM raw_clients""",
+    "src_json_array": """SELECT id_produit, concat(nom, ' }{ "\\ ]} ', id_produit) AS nom, categorie, sous_categorie, marque,
+      fournisseur, prix_catalogue, origine_pays, date_creation, actif FROM raw_produits""",
     "src_json_explode": """SELECT id_produit, nom, categorie, sous_categorie, marque, fournisseur, prix_catalogue, origine_pays,
       date_creation, actif FROM raw_produits""",
     "city_lookup": "SELECT variante, ville FROM villes",

@@ -13,6 +13,7 @@ from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, ShortType
@@ -110,7 +111,38 @@ def src_json_explode(spark, folder):
     documents = raw.groupBy(F.floor(F.col(schemas.ARRIVAL) / 1000)).agg(F.collect_list(items).alias("produits"))
     path = scratch_path(spark, "json")
     documents.select("produits").write.option("ignoreNullFields", False).json(path)
-    return files.read_products(spark, path, multi_line=False).drop(schemas.ARRIVAL)
+    return files.read_products(spark, path).drop(schemas.ARRIVAL)
+
+
+def _array_documents(batches):
+    """One {"produits": [...]} document a task, of any length, an item a line."""
+    yield pd.DataFrame({"value": ['{"produits": [']})
+    separator = " "
+    for batch in batches:
+        lines = [separator, *[", "] * (len(batch) - 1)] if len(batch) else []
+        yield pd.DataFrame({"value": [a + b for a, b in zip(lines, batch["value"], strict=True)]})
+        separator = ", " if len(batch) else separator
+    yield pd.DataFrame({"value": ["]}"]})
+
+
+@_query
+def src_json_array(spark, folder):
+    """Products as few long arrays, names with braces, quotes and backslashes, cut at items and read by many tasks."""
+    odd = F.concat("nom", F.lit(' }{ "\\ ]} '), "id_produit")
+    raw = RetailTables(spark, folder).products().withColumn("nom", odd)
+    items = F.to_json(F.struct(*schemas.PRODUCT_COLUMNS), {"ignoreNullFields": "false"})
+    path = scratch_path(spark, "json")
+    raw.select(items.alias("value")).mapInPandas(_array_documents, "value string").write.text(path)
+    return files.read_products(spark, path).drop(schemas.ARRIVAL)
+
+
+@_query
+def src_csv_quoted(spark, folder):
+    """Clients whose names hold line breaks, quotes and separators, written as CSV and read back by many tasks."""
+    odd = F.concat("nom", F.lit('\n"dit, \n\n'), "prenom", F.lit('"\n'))
+    raw = RetailTables(spark, folder).clients().withColumn("nom", odd).drop(schemas.ARRIVAL)
+    path = write_csv(raw, "clients", scratch_path(spark, "csv"))
+    return files.read_clients(spark, path, multi_line=True).drop(schemas.ARRIVAL)
 
 
 # Order rules -----------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.sources.blocks import CsvRecords, JsonItems, read_records
 
 # Every file's header is held against the columns read: files of another column order stop the read instead of mixing up cells.
 _CSV_TEXT = {"header": True, "encoding": "UTF-8", "escape": '"', "enforceSchema": False}
@@ -22,16 +23,39 @@ def read_text_csv(
 
     Words such as NULL or NA stay text. Header names are trimmed. The arrival
     column orders rows by file, block and row. Quoted line breaks need
-    multi_line, at the price of unsplittable files.
+    multi_line; files are still read by many tasks (see blocks).
     """
-    cells = spark.read.options(**_CSV_TEXT, multiLine=multi_line).csv(path)
-    named = with_arrival(cells.selectExpr(*[f"`{c}` as `{c.strip()}`" for c in cells.columns], *_FILE_PLACE))
+    cells = spark.read.options(**_CSV_TEXT).csv(path)
+    if multi_line:
+        named = _quoted_text_csv(spark, path, cells.columns)
+    else:
+        named = with_arrival(cells.selectExpr(*[f"`{c}` as `{c.strip()}`" for c in cells.columns], *_FILE_PLACE))
     missing = [c for c in required if c not in named.columns]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
     return named
 
 
+def _quoted_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Cells of files whose quoted cells may hold line breaks; blank lines go, header lines are checked."""
+    schema = ", ".join(f"_c{k} string" for k in range(len(columns)))
+    options = {"escape": '"', "multiLine": "true"}
+    records = read_records(spark, path, CsvRecords())
+    row = records.withColumn("_cellules", F.from_csv(F.regexp_replace("_texte", r"\r$", ""), schema, options))
+    cells = [F.coalesce(F.col(f"_cellules._c{k}"), F.lit("")) for k in range(len(columns))]
+    header = F.array(*[F.trim(F.translate(cell, "\ufeff", "")) for cell in cells])
+    expected = F.array(*[F.lit(c.replace("\ufeff", "").strip()) for c in columns])
+    is_header = (F.col("_bloc") == 0) & (F.col("_ligne") == 0)
+    wrong = F.raise_error(F.concat(F.lit("header differs in "), F.col("_fichier"))).cast("boolean")
+    blank = F.trim(F.translate("_texte", "\t\r\n", "")) == ""
+    rows = row.filter(F.when(is_header & (header != expected), wrong).otherwise(~is_header & ~blank))
+    arrival = F.struct("_fichier", "_bloc", "_ligne")
+    return rows.select(
+        *[cell.alias(c.replace("\ufeff", "").strip()) for cell, c in zip(cells, columns, strict=True)],
+        arrival.alias(schemas.ARRIVAL),
+    )
+
+
 def stream_text_csv(
     spark: SparkSession, folder: str, columns: Sequence[str], files_per_batch: int = 1000
 ) -> DataFrame:
@@ -66,18 +90,16 @@ def read_regions(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_text_csv(spark, path, schemas.REGION_COLUMNS, **options)
 
 
-def read_products(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_products(spark: SparkSession, path: str) -> DataFrame:
     """Products from documents of the form {"produits": [...]}, one row per item.
 
-    multi_line=False reads one document per line, which Spark can split.
+    A document may be of any length and layout: it is cut at its items and read
+    by many tasks. A cell of another type is null, as in any JSON read.
     """
-    documents = spark.read.schema(schemas.PRODUCT_JSON).option("multiLine", multi_line).json(path)
-    return documents.select(
-        F.col("_metadata.file_path").alias("fichier"),
-        F.col("_metadata.file_block_start").alias("bloc"),
-        F.monotonically_increasing_id().alias("document"),
-        F.posexplode("produits").alias("rang", "p"),
-    ).select("p.*", F.struct("fichier", "bloc", "document", "rang").alias(schemas.ARRIVAL))
+    item = spark.createDataFrame([], schemas.PRODUCT_JSON).schema["produits"].dataType.elementType
+    items = read_records(spark, path, JsonItems("produits"))
+    products = items.withColumn("p", F.from_json("_texte", item))
+    return products.select("p.*", F.struct("_fichier", "_bloc", "_ligne").alias(schemas.ARRIVAL))
 
 
 def read_published_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
