@@ -7,13 +7,17 @@ windows around labelled spans of a bounded sample of documents, some of them
 rewritten in other usual forms, and around other digits, which are labelled
 outside. It is then applied to all texts.
 
-Every span of these kinds holds a digit or an @. So windows are laid over every
-stretch of text that comes near such a character, and the rest of a text, where
-nothing could be tagged, is not decoded. Windows overlap by half. Spans that
-touch a cut are left to the window that sees them whole, and the spans of all
-windows of a text are reconciled at once: of overlapping ones the set of highest
-total score is kept (weighted interval scheduling). An exact check follows: an
-added card number needs a valid check digit, an address small parts, and so on.
+Every span of these kinds holds a digit of some script, an at sign, or the word
+"at" in brackets or before a spelled "dot". So windows are laid over every
+stretch of whole words that comes near such a place, and the rest of a text,
+where nothing could be tagged, is not decoded. Windows overlap by half. Spans
+that touch a cut inside a stretch are left to the window that sees them whole,
+and the spans of all windows of a text are reconciled at once: of overlapping
+ones the set of highest total score is kept (weighted interval scheduling). An
+exact check follows, wider than the patterns: digits of any script and any
+separators, spelled at and dot, letters of any script; but an added card number
+needs a valid check digit, an address four small parts, a phone number a plus
+sign or groups.
 
 Edge cases: a null text is empty; without labelled spans in the sample the
 tagger learns from generated ones alone; equal texts have equal spans.
@@ -38,13 +42,21 @@ from starloom.llm.frames import map_batches, texts_of
 from starloom.llm.tagger import PAD, Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
+OTHER_ZEROS = (0x0660, 0x0966, 0xFF10)  # Arabic-Indic, Devanagari and full-width digits
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # A match always takes whole digit runs, so starting only at their first digit and never giving one back changes nothing.
 ADDRESS = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-HINT = re.compile(r"[0-9@]")
+HINT = re.compile(r"\d|[@\uff20]|[\[({<]\s?at\s?[\])}>]|\sat\s(?=\S+(?:\s\S+)?\sdot\s)", re.IGNORECASE)
+AT = r"(?:\s?[\[({<]\s?at\s?[\])}>]\s?|\sat\s|\s?[@\uff20]\s?)"
+DOT = r"(?:\s?[\[({<]\s?(?:dot|\.)\s?[\])}>]\s?|\sdot\s|[.\uff0e\u3002])"
+NAME = r"[^\W_](?:[\w%+-]*[^\W_])?"
+ANY_EMAIL = re.compile(rf"{NAME}(?:{DOT}{NAME})*{AT}{NAME}(?:{DOT}{NAME})+", re.IGNORECASE)
+ANY_ADDRESS = re.compile(rf"(\d+){DOT}(\d+){DOT}(\d+){DOT}(\d+)", re.IGNORECASE)
+ANY_PHONE = re.compile(r"\+?[(]?\d+(?:[^\w\n,;:]{1,3}\d+)*")
+DAY = re.compile(r"\d{4}(\D)\d\d?\1\d\d?|\d\d?(\D)\d\d?\2\d{4}")
 
 Span = tuple[str, int, int]
 
@@ -54,12 +66,13 @@ class Training:
     """The bounds of what the tagger learns from."""
 
     sample_documents: int = 1_500
-    windows: int = 1_200
+    sample_chars: int = 4_000  # of one document
+    windows: int = 2_400
     epochs: int = 8
     window: int = 96
     reach: int = 24
     # An added span needs at least this probability at its least sure character.
-    sure: float = 0.9
+    sure: float = 0.5
     seed: int = 11
 
 
@@ -104,20 +117,30 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def windows_of(text: str, size: int, reach: int) -> list[tuple[int, int]]:
-    """Overlapping windows over every stretch within reach of a digit or an @."""
+def windows_of(text: str, size: int, reach: int) -> list[tuple[int, int, bool, bool]]:
+    """Overlapping windows over every stretch within reach of a hint, and whether they begin and end the stretch.
+
+    A stretch is widened to whole words, by at most its reach again.
+    """
     stretches: list[list[int]] = []
     for m in HINT.finditer(text):
-        if stretches and m.start() - reach <= stretches[-1][1]:
-            stretches[-1][1] = m.end() + reach
+        start, end = max(0, m.start() - reach), min(len(text), m.end() + reach)
+        if stretches and start <= stretches[-1][1] + reach:
+            stretches[-1][1] = end
         else:
-            stretches.append([max(0, m.start() - reach), m.end() + reach])
+            stretches.append([start, end])
     found = []
     for start, end in stretches:
-        end = min(end, len(text))
-        found.append((start, min(start + size, end)))
-        while found[-1][1] < end:
-            found.append((found[-1][0] + size // 2, min(found[-1][0] + size // 2 + size, end)))
+        least, most = max(0, start - reach), min(len(text), end + reach)
+        while start > least and not text[start - 1].isspace():
+            start -= 1
+        while end < most and not text[end].isspace():
+            end += 1
+        at = start
+        while at + size < end:
+            found.append((at, at + size, at == start, False))
+            at += size // 2
+        found.append((at, end, at == start, True))
     return found
 
 
@@ -148,25 +171,27 @@ def reconcile(spans: dict[Span, float]) -> list[Span]:
 
 def plausible(kind: str, text: str) -> bool:
     """The exact check of a tagged span: what no model of characters can count."""
-    digits = "".join(re.findall("[0-9]", text))
+    digits = "".join(str(int(c)) for c in text if c.isdecimal())
     if kind == "email":
-        return "@" in text
+        return ANY_EMAIL.fullmatch(text) is not None
     if kind == "ip":
-        return ADDRESS.fullmatch(text) is not None and small_parts(text)
+        parts = ANY_ADDRESS.fullmatch(text)
+        return parts is not None and all(len(part) <= 3 and int(part) <= 255 for part in parts.groups())
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
-    return 7 <= len(digits) <= 15
+    grouped = text.startswith("+") or len(digits) < len(text)
+    return 7 <= len(digits) <= 15 and grouped and ANY_PHONE.fullmatch(text) is not None and not DAY.fullmatch(text)
 
 
 def model_spans(tagger: Tagger, texts: list[str], how: Training) -> list[list[Span]]:
     """The tagger's spans of each text, reconciled over all its windows."""
-    places = [(k, a, b) for k, text in enumerate(texts) for a, b in windows_of(text, how.window, how.reach)]
+    places = [(k, *place) for k, text in enumerate(texts) for place in windows_of(text, how.window, how.reach)]
     found: list[dict[Span, float]] = [{} for _ in texts]
     for first in range(0, len(places), 512):
         some = places[first : first + 512]
-        codes = pad([symbols(texts[k][a:b]) for k, a, b in some], how.window, PAD)
+        codes = pad([symbols(texts[k][a:b]) for k, a, b, _, _ in some], how.window, PAD)
         path, chance = tagger.decode(codes, codes != PAD)
-        for row, (k, a, b) in enumerate(some):
+        for row, (k, a, b, begins, closes) in enumerate(some):
             if not path[row].any():
                 continue
             tags, at = path[row, : b - a], 0
@@ -177,7 +202,7 @@ def model_spans(tagger: Tagger, texts: list[str], how: Training) -> list[list[Sp
                 end = at + 1
                 while end < len(tags) and tags[end] == tags[at] + 1 and tags[at] % 2 == 1:
                     end += 1
-                whole = (at > 0 or a == 0) and (end < len(tags) or b == len(texts[k]))
+                whole = (at > 0 or begins) and (end < len(tags) or closes)
                 text, least = texts[k][a + at : a + end], float(chance[row, at:end].min())
                 kind = KINDS[(int(tags[at]) - 1) // 2]
                 if whole and least >= how.sure and plausible(kind, text):
@@ -209,22 +234,51 @@ def _digits(draw: random.Random, n: int) -> str:
     return "".join(draw.choices("0123456789", k=n))
 
 
-def _other_form(draw: random.Random, kind: str, shown: str) -> str:
-    """The span as found, or a generated one in another usual form."""
-    if draw.random() < 0.5:
-        return shown
+def other_forms(draw: random.Random, kind: str) -> list[str]:
+    """Values of a kind in usual forms that the tagger learns from."""
     if kind == "email":
-        word = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9)))
-        name = draw.choice((word, word + _digits(draw, 2), _digits(draw, 2) + word, f"{word[:3]}.{word}", f"{word}_{_digits(draw, 1)}"))
-        return f"{name}@{word}{draw.choice(('', '5', '-a'))}.{draw.choice(('com', 'org', 'example.com', 'co.uk', 'net'))}"
+        word, own, third = ("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 10))) for _ in range(3))
+        name = draw.choice((word, word + _digits(draw, 2), _digits(draw, 2) + word, f"{word}.{third}", f"{word}_{_digits(draw, 1)}"))
+        accent = draw.choice(("", "", "ä", "ö", "ü", "é", "ñ")) if draw.random() < 0.6 else ""
+        host = draw.choice((own, own + accent, own + accent + third, f"{own}5", f"{own}-{third}"))
+        end = draw.choice(("com", "org", "net", "de", "info"))
+        lower = draw.choice((str.lower, str.upper))
+        at, dot = lower("at"), lower("dot")
+        return [
+            f"{name}@{host}.{end}", f"{name}@{host}.co.uk", f"{name} ({at}) {host}.{end}", f"{name}[{at}]{host}.{end}",
+            f"{name} [{at}] {host} [{dot}] {end}", f"{name} {at} {host} {dot} {end}", f"{name}({at}){host}({dot}){end}", f"{name} @ {host}.{end}",
+        ]
     if kind == "ip":
-        return ".".join(str(draw.randint(0, 255)) for _ in range(4))
+        parts = [str(draw.randint(0, 255)) for _ in range(4)]
+        return [".".join(parts), "[.]".join(parts), f"{'.'.join(parts[:3])}[.]{parts[3]}", " dot ".join(parts)]
     if kind == "card":
-        blank = draw.choice(("", " ", "-"))
-        return blank.join(_digits(draw, 4) for _ in range(4))
-    area, near, far = _digits(draw, 3), _digits(draw, 3), _digits(draw, 4)
+        groups = [_digits(draw, 4) for _ in range(4)]
+        return ["".join(groups), " ".join(groups), "-".join(groups), ".".join(groups), f"{groups[0]} {groups[1]}{groups[2][:2]} {groups[2][2:]}{groups[3][:3]}"]
+    area, near, far, two = _digits(draw, 3), _digits(draw, 3), _digits(draw, 4), _digits(draw, 2)
+    return [
+        f"+1 ({area}) {near}-{far}", f"+1 {area} {near} {far}", f"({area}) {near}-{far}", f"{area}-{near}-{far}", f"{area}.{near}.{far}",
+        f"+{two} {two} {near} {far}", f"+{two}.{area}.{near}.{far}", f"0{two} {far} {far}", f"{near}-{far}",
+    ]
+
+
+def _other_form(draw: random.Random, kind: str, shown: str) -> str:
+    """The span as found, or a generated one in another usual form, some in digits of another script."""
+    if shown and draw.random() < 0.3:
+        return shown
+    value = draw.choice(other_forms(draw, kind))
+    if draw.random() < 0.08:
+        zero = draw.choice(OTHER_ZEROS)
+        value = "".join(chr(zero + int(c)) if "0" <= c <= "9" else c for c in value)
+    return value
+
+
+def _no_span(draw: random.Random) -> str:
+    """Digits, dates, times, amounts and words around at, in which nothing is personal."""
+    d = lambda n: _digits(draw, n)
     return draw.choice((
-        f"+1 ({area}) {near}-{far}", f"+1 {area} {near} {far}", f"({area}) {near}-{far}", f"{area}-{near}-{far}", f"+{_digits(draw, 2)} {_digits(draw, 2)} {near} {far}",
+        d(draw.randint(1, 5)), f"{d(1)}.{d(1)}", f"{d(2)}:{d(2)}", hashlib.sha1(d(6).encode()).hexdigest(), f"20{d(2)}-0{d(1)}-1{d(1)}",
+        f"1{d(1)}/0{d(1)}/20{d(2)}", f"20{d(2)}-0{d(1)}-1{d(1)}T{d(2)}:{d(2)}:{d(2)}", f"19{d(2)}-20{d(2)}", f"${d(2)},{d(3)}.{d(2)}", f"{d(1)}.{d(1)}.{d(2)}",
+        d(draw.randint(6, 12)), f"978-0-{d(3)}-{d(5)}-{d(1)}", f"{d(2)}%", f"{d(3)} {d(3)} people", f"({d(2)})", "meet at noon", f"at {d(1)} pm", "look at the dot on",
     ))
 
 
@@ -238,7 +292,7 @@ def _examples(texts: list[str], how: Training) -> list[tuple[str, list[Span]]]:
             before, after = text[max(0, a - how.reach) : a], text[b : b + how.reach]
             if not HINT.search(before + after):
                 found.append((kind, before, text[a:b], after))
-        for a, b in windows_of(text, how.window, how.reach):
+        for a, b, _, _ in windows_of(text, how.window, how.reach):
             piece = text[a:b]
             if not any(s < b and e > a for _, s, e in base) and not CARD.search(piece) and not ADDRESS.search(piece):
                 others.append(piece)
@@ -251,18 +305,15 @@ def _examples(texts: list[str], how: Training) -> list[tuple[str, list[Span]]]:
             made.append((others[k % len(others)][: how.window], []))
             continue
         if k % 5 == 3:
-            plain = draw.choice((_digits(draw, draw.randint(1, 5)), f"{_digits(draw, 1)}.{_digits(draw, 1)}", f"{_digits(draw, 2)}:{_digits(draw, 2)}", hashlib.sha1(str(k).encode()).hexdigest()))
-            made.append((f"{draw.choice(words)[:20]} {plain} {draw.choice(words)[:20]}"[: how.window], []))
+            made.append((f"{draw.choice(words)[:20]} {_no_span(draw)} {draw.choice(words)[:20]}"[: how.window], []))
             continue
-        kind = KINDS[k % len(KINDS)]
+        kind = draw.choice((*KINDS, "email"))  # addresses vary most
         own = [f for f in found[k % 7 :: 7] if f[0] == kind] or [f for f in found if f[0] == kind]
         if own:
             _, before, shown, after = own[draw.randrange(len(own))]
         else:
             before, shown, after = f"{draw.choice(words)[:20]} ", "", f" {draw.choice(words)[:20]}"
         value = _other_form(draw, kind, shown)
-        while not value:
-            value = _other_form(draw, kind, "")
         before = before[-draw.randint(0, how.reach) :] if draw.random() < 0.3 else before
         piece = (before + value + after)[: how.window]
         if len(before) + len(value) <= len(piece):
@@ -293,7 +344,7 @@ def sample_texts(docs: DataFrame, key: str, text: str, how: Training) -> list[st
     placed = near.withColumn("_at", F.regexp_instr("_text", F.lit("[0-9@]"))).filter("_at > 0")
     share = how.sample_documents / max(1, placed.count())
     # Of a long text, what lies around its first digit or @.
-    around = F.expr("substring(_text, greatest(_at - 2000, 1), 4000)").alias("_around")
+    around = F.expr(f"substring(_text, greatest(_at - {how.sample_chars // 2}, 1), {how.sample_chars})").alias("_around")
     chosen = placed.filter(F.col("_draw") < share).select(around).limit(2 * how.sample_documents).collect()
     return sorted(r["_around"] for r in chosen)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 
@@ -12,14 +14,24 @@ SYMBOLS = 132
 
 
 def symbols(text: str) -> np.ndarray:
-    """One class per character: ASCII as itself, others as letter, digit or rest."""
+    """One class per character: ASCII as itself, its wide forms and other scripts' decimal digits alike, others as letter, digit or rest."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     for k in np.flatnonzero(codes >= ASCII):
-        char = chr(codes[k])
-        codes[k] = OTHER_LETTER if char.isalpha() else OTHER_DIGIT if char.isdigit() else OTHER
+        codes[k] = _symbol(int(codes[k]))
     return codes
 
 
+@lru_cache(maxsize=4096)
+def _symbol(code: int) -> int:
+    char = chr(code)
+    if char.isdecimal():
+        return ord("0") + int(char)
+    plain = unicodedata.normalize("NFKC", char)
+    if len(plain) == 1 and ord(plain) < ASCII:
+        return ord(plain)
+    return OTHER_LETTER if char.isalpha() else OTHER_DIGIT if char.isdigit() else OTHER
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
