@@ -13,12 +13,17 @@ from starloom.schemas import ARRIVAL
 from starloom.settings import AGE_BANDS, EMAIL_PATTERN, SEX_CODES, UNKNOWN_SEX, Settings
 
 
+def by_email(df: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Clients with readable sign-up dates and normalized e-mails, and what the newest of them has most of."""
+    dated = df.withColumn("date_inscription", parse_date(F.col("date_inscription")))
+    newest = [F.col(c) for c in ("date_inscription", "id_client", ARRIVAL) if c in df.columns]
+    return dated.withColumn("email_norm", match_key(F.col("email"))), newest
+
+
 def latest_by_email(df: DataFrame) -> DataFrame:
     """Rule 1: one client per normalized e-mail, the most recent sign-up; unreadable dates lose."""
-    dated = df.withColumn("date_inscription", parse_date(F.col("date_inscription")))
-    newest = [F.desc_nulls_last("date_inscription"), F.desc("id_client")]
-    newest += [F.desc(ARRIVAL)] if ARRIVAL in df.columns else []
-    return keep_latest(dated.withColumn("email_norm", match_key(F.col("email"))), ["email_norm"], newest)
+    normalized, newest = by_email(df)
+    return keep_latest(normalized, ["email_norm"], [column.desc_nulls_last() for column in newest])
 
 
 def standardize_sex(df: DataFrame) -> DataFrame:

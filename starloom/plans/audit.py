@@ -9,8 +9,9 @@ from starloom.functions.dates import parse_date
 from starloom.functions.numbers import to_number
 from starloom.functions.text import match_key
 from starloom.operators import clients as client_rules
+from starloom.operators.latest import latest_with_copies
 from starloom.operators.lookup import checked_broadcast
-from starloom.operators.orders import latest_orders
+from starloom.schemas import ARRIVAL
 from starloom.settings import STATUS_CODES, UNKNOWN_CITY, UNKNOWN_SEX, Settings
 
 
@@ -33,19 +34,19 @@ def _line(source: str, rule: str, before: str, after: str, detail: str | None =
     )
 
 
-def _raw_count(raw: DataFrame) -> DataFrame:
-    return F.broadcast(raw.agg(F.count("*").alias("n0")))  # one row
+def _raw_count() -> Column:
+    return F.coalesce(F.sum("_copies"), F.lit(0)).alias("n0")
 
 
 def order_rule_audit(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     """Counts per order rule.
 
     The rules only drop rows on their own columns, so one pass over the latest
-    lines counts them all; the raw count is one more, over no columns.
+    lines, each with the number of its copies, counts them all.
     """
     spellings = checked_broadcast(lookup.select(F.col("variante").alias("_cle"), F.lit(True).alias("_ville")))
     latest = (
-        raw.transform(latest_orders)
+        latest_with_copies(raw, ["id_commande"], [F.col(ARRIVAL)], "_copies")
         .withColumn("_cle", match_key(F.col("ville_livraison")))
         .join(spellings, "_cle", "left")
     )
@@ -53,6 +54,7 @@ def order_rule_audit(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     counted = to_number(F.col("quantite")) > 0
     priced = to_number(F.col("prix_unitaire")) > 0
     flags = latest.select(
+        "_copies",
         dated.alias("d"),
         F.coalesce(dated & counted, F.lit(False)).alias("q"),
         F.coalesce(dated & counted & priced, F.lit(False)).alias("p"),
@@ -61,6 +63,7 @@ def order_rule_audit(raw: DataFrame, lookup: DataFrame) -> DataFrame:
         F.coalesce(F.trim("id_livreur") == "", F.lit(True)).alias("livreur"),
     )
     totals = flags.agg(
+        _raw_count(),
         F.count("*").alias("n1"),
         F.count_if("d").alias("n2"),
         F.count_if("q").alias("n5"),
@@ -69,7 +72,7 @@ def order_rule_audit(raw: DataFrame, lookup: DataFrame) -> DataFrame:
         F.count_if(F.col("d") & F.col("statut")).alias("statuts"),
         F.count_if(F.col("p") & F.col("livreur")).alias("livreurs"),
         F.count_if(~F.col("d")).alias("dates"),
-    ).crossJoin(_raw_count(raw))
+    )
     source = "commandes"
     lines = F.array(
         _line(source, "R1", "n0", "n1"),
@@ -86,7 +89,8 @@ def order_rule_audit(raw: DataFrame, lookup: DataFrame) -> DataFrame:
 def client_rule_audit(raw: DataFrame, lookup: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The same for the client rules, on the cleaned clients."""
     born = parse_date(F.col("date_naissance")).isNotNull()
-    kept = raw.transform(client_rules.latest_by_email).withColumn("_ne", born)
+    normalized, newest = client_rules.by_email(raw)
+    kept = latest_with_copies(normalized, ["email_norm"], newest, "_copies").withColumn("_ne", born)
     cleaned = (
         kept.transform(client_rules.standardize_sex)
         .transform(client_rules.validate_birth_date, settings)
@@ -94,12 +98,13 @@ def client_rule_audit(raw: DataFrame, lookup: DataFrame, settings: Settings = Se
         .transform(client_rules.standardize_home_city, lookup)
     )
     totals = cleaned.agg(
+        _raw_count(),
         F.count("*").alias("n1"),
         F.count_if(F.col("sexe") == UNKNOWN_SEX).alias("sexes"),
         F.count_if(F.col("_ne") & F.col("date_naissance").isNull()).alias("ages"),
         F.count_if(F.col("email").isNull()).alias("emails"),
         F.count_if(F.col("ville") == UNKNOWN_CITY).alias("villes"),
-    ).crossJoin(_raw_count(raw))
+    )
     source = "clients"
     lines = F.array(
         _line(source, "R1", "n0", "n1"),
