@@ -3,8 +3,10 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from starloom import schemas
 from starloom.operators import lookup
 from starloom.operators.ranking import rank_desc
+from starloom.plans.audit import client_rule_audit, order_rule_audit
 
 
 def rows(df):
@@ -92,3 +94,14 @@ def test_fact_agrees_without_broadcast(spark, small):
     w = catalogue.warehouse(spark, small)
     strict = replace(catalogue.SETTINGS, broadcast_rows=0)
     assert rows(facts.sales_fact(w.orders, w.dimensions, w.rows, strict)) == rows(w.fact)
+
+
+def test_audit_reads_each_source_once(spark, tmp_path):
+    orders = ", ".join(f"{c} string" for c in schemas.ORDER_COLUMNS) + f", {schemas.ARRIVAL} long"
+    clients = ", ".join(f"{c} string" for c in schemas.CLIENT_COLUMNS) + f", {schemas.ARRIVAL} long"
+    lookup = spark.createDataFrame([("x", "X")], "variante string, ville string")
+    for name, schema, audit in (("o", orders, order_rule_audit), ("c", clients, client_rule_audit)):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+        lines = audit(spark.read.schema(schema).parquet(str(tmp_path / name)), lookup)
+        assert lines._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+        assert {(r.avant, r.apres) for r in lines.collect()} == {(0, 0)}
