@@ -1,4 +1,8 @@
-"""What the tagger adds to the patterns, in forms it has not learned from."""
+"""What the tagger adds to the patterns, in forms the patterns miss.
+
+The tagger's training forms and cutoff were chosen with these values in view, and accented hosts are among its training
+forms: a guard against loss, not a clean held-out measure.
+"""
 
 import random
 
@@ -13,8 +17,8 @@ def _card(draw, length=16):
     return next(body + d for d in "0123456789" if pii.luhn(body + d))
 
 
-def held_out_forms(draw):
-    """(kind, value): forms that neither the patterns nor the training forms contain."""
+def missed_forms(draw):
+    """(kind, value): forms that the patterns miss; all but the accented host differ from the training forms."""
     d = lambda n: "".join(draw.choices("0123456789", k=n))
     word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(4, 8)))
     card, part = _card(draw), lambda: str(draw.randint(0, 255))
@@ -39,18 +43,18 @@ def tagger(texts):
     return pii.train(sorted(t[:4000] for t in texts[:half]))
 
 
-def test_held_out_forms_are_found(tagger, texts):
+def test_forms_beyond_the_patterns_are_found(tagger, texts):
     draw = random.Random(4)
     words = " ".join(texts[-50:]).split()
     cases, shown = [], []
     for _ in range(40):
-        for kind, value in held_out_forms(draw):
+        for kind, value in missed_forms(draw):
             before = " ".join(draw.choices(words, k=6)) + " "
             cases.append((kind, len(before), len(before) + len(value)))
             shown.append(before + value + " " + " ".join(draw.choices(words, k=6)))
     found = pii.model_spans(tagger, shown, pii.Training())
     hits = {}
-    forms = len(held_out_forms(draw))
+    forms = len(missed_forms(draw))
     for k, (case, spans, text) in enumerate(zip(cases, found, shown, strict=True)):
         all_spans = pii.join_spans(pii.base_spans(text), spans)
         hits.setdefault((k % forms, case[0]), []).append(case in all_spans)
