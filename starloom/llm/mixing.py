@@ -7,10 +7,9 @@ deadline goes next. Every source then stays less than one block away from its
 fluid share, at every moment.
 
 Release times and deadlines are computed in whole numbers from the exact weights,
-never from rounded shares, so the deviation does not grow with the input. The
-driver schedules the blocks that the sources hold, from their counts alone, and
-writes the slots to a table portion by portion; slots in which nothing is
-released are passed over. A source's documents are put into a fixed random order
+never from rounded shares, so the deviation does not grow with the input. Blocks
+are scheduled from the sources' counts alone, by tasks that take a stretch of the
+slots each (pfair.py); slots in which nothing is released are passed over. A source's documents are put into a fixed random order
 (a hash of the id), numbered in parallel, and cut into blocks, which are joined
 with their slots.
 
@@ -20,22 +19,24 @@ stay empty.
 
 Edge cases: null is a source of its own; a source without a weight gets the
 smallest positive weight given; weights of sources that do not occur take part
-in the shares, their slots stay empty; repeated rows are further documents.
+in the shares, their slots stay empty; repeated rows are further documents, next to
+each other in their source's order, and so are rows without an id.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from fractions import Fraction
 from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import BROADCAST_ROWS
-from starloom.session import scratch_path, stage
+from starloom.llm.frames import BROADCAST_ROWS, prepare
+from starloom.llm.pfair import Plan
+from starloom.session import stage
 
 
 NO_SOURCE = "\0null"
@@ -44,7 +45,7 @@ NO_SOURCE = "\0null"
 @dataclass(frozen=True)
 class Mixing:
     block_rows: int = 16
-    # Slots of so many blocks of a source are one row of the schedule; so many slots are written at once.
+    # Slots of so many blocks of a source are one row of the schedule; one task schedules about so many blocks.
     run_blocks: int = 1_024
     portion: int = 1_000_000
     # Documents of a source are numbered in this many parts, or as many as there are shuffle partitions.
@@ -74,29 +75,21 @@ def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
     return {s: int(w * scale) for s, w in exact.items()}
 
 
+def plan_of(whole: Mapping[str, int], blocks: Mapping[str, int]) -> tuple[list[str], Plan]:
+    """The sources in their order, and their blocks' release times and deadlines."""
+    names = sorted(whole)
+    return names, Plan([whole[s] for s in names], [blocks.get(s, 0) for s in names], sum(whole.values()))
+
+
 def slots_of(whole: Mapping[str, int], blocks: Mapping[str, int]) -> Iterator[tuple[int, str, int]]:
     """(slot, source, block) by slot, for so many blocks of each source: earliest deadline first among released blocks.
 
     whole are exact weights. Leaving out the blocks that a source does not hold
     only frees slots, so all others keep within their release times and deadlines.
     """
-    total = sum(whole.values())
-    waiting = [(0, s, 0) for s in sorted(whole) if whole[s] and blocks.get(s, 0)]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    slot = 0
-    while waiting or ready:
-        if not ready:
-            slot = max(slot, waiting[0][0])
-        while waiting and waiting[0][0] <= slot:
-            _, source, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(k + 1) * total // whole[source]), source, k))
-        deadline, source, k = heapq.heappop(ready)
-        assert slot < deadline
-        yield slot, source, k
-        if k + 1 < blocks[source]:
-            heapq.heappush(waiting, ((k + 1) * total // whole[source], source, k + 1))
-        slot += 1
+    names, plan = plan_of(whole, blocks)
+    for slot, s, k in plan.slots(0, None, ()):
+        yield slot, names[s], k
 
 
 def schedule(whole: Mapping[str, int]) -> dict[str, list[int]]:
@@ -108,46 +101,66 @@ def schedule(whole: Mapping[str, int]) -> dict[str, list[int]]:
 
 
 def schedule_table(spark: SparkSession, whole: Mapping[str, int], blocks: Mapping[str, int], how: Mixing) -> DataFrame:
-    """(_source, _run, _slots): the slots of each source's blocks, run_blocks a row; the driver holds one portion at a time."""
-    schema, path = "_source string, _run long, _slots array<long>", scratch_path(spark, "slots")
-    rows: list[tuple[str, int, list[int]]] = []
-    open_runs: dict[str, list[int]] = {}
-    held = 0
-
-    def write() -> None:
-        spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
-        rows.clear()
-
-    for slot, source, k in slots_of(whole, blocks):
-        run = open_runs.setdefault(source, [])
-        run.append(slot)
-        held += 1
-        if len(run) == how.run_blocks or k + 1 == blocks[source]:
-            rows.append((source, k // how.run_blocks, open_runs.pop(source)))
-            if held >= how.portion:
-                write()
-                held = sum(map(len, open_runs.values()))
-    write()
-    return spark.read.schema(schema).parquet(path)
+    """(_source, _run, _slots): the slots of each source's blocks, run_blocks a row, the same as in one sequential schedule.
+
+    One task schedules a stretch of about portion blocks. The driver passes over the stretches once, for what
+    waits at each cut: one number for each source and stretch, at most a sixteenth as many as there are blocks.
+    """
+    names, plan = plan_of(whole, blocks)
+    cuts = plan.cuts(max(how.portion, 16 * len(names)))
+    stretches = list(zip(cuts, cuts[1:], strict=False))
+    prepare(spark)
+
+    def crowding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for j in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_pydict({"j": [j], "most": pa.array([plan.crowding(*stretches[j])], pa.list_(pa.int64()))})
+
+    waiting: list[list[int]] = [[] for _ in stretches]
+    if len(stretches) > 1:
+        inner = spark.range(0, len(stretches) - 1, 1, len(stretches) - 1)
+        found = inner.mapInArrow(crowding, "j long, most array<long>").toArrow().sort_by("j").column("most")
+        for j, most in enumerate(found):
+            waiting[j + 1] = plan.waiting_at(*stretches[j], waiting[j], most.as_py())
+
+    def scheduled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for j, left in zip(batch.column("j").to_pylist(), batch.column("left").to_pylist(), strict=True):
+                runs: dict[tuple[int, int], tuple[int, list[int]]] = {}
+                for slot, s, k in plan.slots(*stretches[j], left):
+                    runs.setdefault((s, k // how.run_blocks), (k, []))[1].append(slot)
+                if runs:
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "_source": [names[s] for s, _ in runs],
+                            "_run": [run for _, run in runs],
+                            "_first": [first for first, _ in runs.values()],
+                            "_part": pa.array([slots for _, slots in runs.values()], pa.list_(pa.int64())),
+                        }
+                    )
+
+    rows = spark.createDataFrame(list(enumerate(waiting)), "j long, left array<long>").repartitionByRange(max(1, len(stretches)), "j")
+    parts = rows.mapInArrow(scheduled, "_source string, _run long, _first long, _part array<long>")
+    # A run that a cut divides comes in parts, at most run_blocks slots together.
+    parts = parts.groupBy("_source", "_run").agg(F.sort_array(F.collect_list(F.struct("_first", "_part"))).alias("_parts"))
+    return stage(parts.select("_source", "_run", F.flatten(F.col("_parts._part")).alias("_slots")), "slots")
 
 
 def numbered(docs: DataFrame, source: str, key: str, parts: int) -> DataFrame:
-    """(_source, _id, _rank): places 0, 1, ... inside each source, in the order of a hash of the id.
+    """(_source, _id, _rank, _n): the first of _n neighbouring places for the rows of an id, 0, 1, ... inside each source.
 
-    Each source is cut into parts by the hash, so that no task numbers a whole source.
+    Sources are in the order of a hash of the id, and cut into parts by it, so that no task numbers a whole source.
+    Rows without an id, or with the same id, are one row with their number, however many they are.
     """
-    base = docs.select(
-        F.coalesce(F.col(source).cast("string"), F.lit(NO_SOURCE)).alias("_source"), F.col(key).alias("_id"),
-        F.xxhash64(F.col(key), F.lit(5)).alias("_draw"),
-    )
-    # Rows without an id, or with the same id, share a hash; a row number inside the task's part keeps them apart.
+    base = docs.groupBy(F.coalesce(F.col(source).cast("string"), F.lit(NO_SOURCE)).alias("_source"), F.col(key).alias("_id"))
+    base = base.agg(F.count("*").alias("_n")).withColumn("_draw", F.xxhash64("_id", F.lit(5)))
     base = base.withColumn("_part", F.floor((F.col("_draw") / 2.0**64 + 0.5) * parts).cast("int"))
-    sizes = base.groupBy("_source", "_part").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("_source").orderBy("_part")) - F.col("_n")
+    sizes = base.groupBy("_source", "_part").agg(F.sum("_n").alias("_rows"))
+    before = F.sum("_rows").over(Window.partitionBy("_source").orderBy("_part")) - F.col("_rows")
     offsets = sizes.select("_source", "_part", before.alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_source", "_part").orderBy("_draw", "_id")) - 1
-    ranked = base.withColumn("_inside", inside)
-    return ranked.join(offsets, ["_source", "_part"]).select("_source", "_id", (F.col("_before") + F.col("_inside")).alias("_rank"))
+    order = Window.partitionBy("_source", "_part").orderBy("_draw", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = base.withColumn("_inside", F.sum("_n").over(order) - F.col("_n"))
+    return ranked.join(offsets, ["_source", "_part"]).select("_source", "_id", (F.col("_before") + F.col("_inside")).alias("_rank"), "_n")
 
 
 def source_counts(docs: DataFrame, source: str) -> dict[str, int]:
@@ -180,14 +193,19 @@ def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", k
             F.col("_id").alias(key), F.col("_source").alias(source), F.lit(0).cast("long").alias("block"),
             F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("position"), F.lit(0.0).alias("share"),
         )
+    run_rows = how.run_blocks * how.block_rows
     whole, blocks = whole_weights(given), {s: -(-n // how.block_rows) for s, n in counts.items()}
     total = sum(whole.values())
     slots = schedule_table(spark, whole, blocks, how)
     weight = spark.createDataFrame([(s, whole[s] / total) for s in blocks], "_source string, share double")
     pattern = slots.join(weight, "_source")
-    # Rows of a run, run_blocks * block_rows at most, share a key, so that no source is a hot one.
-    placed = ranked.withColumn("block", F.floor(F.col("_rank") / how.block_rows)).withColumn("_run", F.floor(F.col("block") / how.run_blocks))
+    # Rows of a run, run_blocks * block_rows at most, share a key, so that no source is a hot one. The rows of an id
+    # are cut into runs before the join and told apart after it.
+    last = F.col("_rank") + F.col("_n") - 1
+    placed = ranked.withColumn("_last", last).withColumn("_run", F.explode(F.sequence(F.floor(F.col("_rank") / run_rows), F.floor(last / run_rows))))
     placed = placed.join(pattern, ["_source", "_run"])
+    own = F.sequence(F.greatest("_rank", F.col("_run") * run_rows), F.least("_last", (F.col("_run") + 1) * run_rows - 1))
+    placed = placed.withColumn("_rank", F.explode(own)).withColumn("block", F.floor(F.col("_rank") / how.block_rows))
     placed = placed.withColumn("slot", F.element_at("_slots", (F.col("block") % how.run_blocks + 1).cast("int")))
     return placed.select(
         F.col("_id").alias(key),
