@@ -619,5 +619,25 @@ _BODIES["reports_incremental"] = " UNION ALL ".join(
 )
 
 
+def _by_month(rule: str, column: str, broken: str) -> str:
+    judged = "count(*)" if rule == "not_null" else f"count({column})"
+    return f"""SELECT CAST(id_date // 100 AS INTEGER) AS annee_mois, '{rule}' AS regle, '{column}' AS colonne, {judged} AS evalues,
+      count(*) FILTER (WHERE {broken}) AS echecs FROM apres_lot GROUP BY 1"""
+
+
+_BODIES["checks_incremental"] = " UNION ALL ".join(
+    [
+        *(_by_month("not_null", c, f"{c} IS NULL") for c in (
+            "id_commande", "id_date", "id_produit", "id_client", "id_region", "quantite_vendue", "montant_ht", "montant_ttc")),
+        *(_by_month("between", c, f"{c} {broken}") for c, broken in (
+            ("montant_ht", "< 0"), ("montant_ttc", "< 0"), ("quantite_vendue", "< 1"), ("delai_livraison_jours", "> 5"))),
+        _by_month("in_set", "statut_commande", "statut_commande NOT IN ('livré', 'annulé', 'en_cours', 'retourné', 'inconnu')"),
+        _by_month("max_length", "id_commande", "length(id_commande) > 30"),
+        _by_month("max_length", "statut_commande", "length(statut_commande) > 20"),
+        _by_month("unique", "id_commande", "id_commande IN (SELECT id_commande FROM apres_lot GROUP BY 1 HAVING count(*) > 1)"),
+    ]
+)
+
+
 def statements() -> dict[str, str]:
     return {name: _statement(body) for name, body in _BODIES.items()}

@@ -26,11 +26,11 @@ from starloom.operators.products import clean_products
 from starloom.operators.segments import client_segments
 from starloom.operators.surrogate import assign_keys
 from starloom.operators.versions import merge_versions, one_per_key
-from starloom.plans import audit, dimensions, facts, integrity, questions, reports
+from starloom.plans import audit, dimensions, facts, integrity, month_checks, questions, reports
 from starloom.plans.warehouse import KEYS, TRACKED, Warehouse, check_load, run, star_of, stored_report, stored_star, table_sizes, update_reports
 from starloom.session import scratch_path, stage
 from starloom.settings import Settings
-from starloom.sinks.generations import Load, generations, read_parts
+from starloom.sinks.generations import Load, current, generations, read_parts
 from starloom.sinks.tables import publish_csv, replace_table, write_csv
 from starloom.sinks.upsert import LOADED, MONTH, merge_facts, read_stored, upsert_facts
 from starloom.sources import files
@@ -574,7 +574,7 @@ def fact_upsert_idempotent(spark, folder):
     return _loaded(spark, folder, times=2)
 
 
-def _two_loads(spark, folder) -> str:
+def _two_loads(spark, folder, complete=lambda load, w, touched: update_reports(load, w.rows, touched, SETTINGS)) -> str:
     """Two published loads of one root, reports included, and a third that ended before it was published."""
     w = warehouse(spark, folder)
     root = scratch_path(spark, "entrepot")
@@ -585,7 +585,7 @@ def _two_loads(spark, folder) -> str:
             load.replace(name, df)
         touched = merge_facts(load, batch, day, staged=True)
         if number < 2:
-            update_reports(load, w.rows, touched, SETTINGS)
+            complete(load, w, touched)
             load.publish(day)
     return root
 
@@ -624,6 +624,14 @@ def reports_incremental(spark, folder):
     return reduce(DataFrame.unionByName, lines)
 
 
+@_query
+def checks_incremental(spark, folder):
+    """Results of every rule on the sales by month, and of one that late sales break, after a second load that checked only its months."""
+    rules = (*month_checks.RULES, quality.between("delai_livraison_jours", high=5))
+    root = _two_loads(spark, folder, lambda load, w, touched: month_checks.update_checks(load, rules))
+    return month_checks.results_by_month(spark, root, current(spark, root)).drop("cle")
+
+
 @_query
 def fact_upsert_stream(spark, folder):
     """History already loaded; the corrections arrive as files, and once more as new files."""

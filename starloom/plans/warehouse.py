@@ -18,6 +18,7 @@ from starloom.operators.products import clean_products
 from starloom.operators.segments import client_segments
 from starloom.operators.versions import extend_keys, merge_versions, one_per_key
 from starloom.plans import dimensions, facts, integrity, reports
+from starloom.plans.month_checks import sales_report, update_checks
 from starloom.session import scratch_path, side_by_side, stage
 from starloom.settings import Settings
 from starloom.sinks.generations import Generation, Load, current, read_parts, read_whole
@@ -162,7 +163,7 @@ class Warehouse:
         done = side_by_side(
             self.spark,
             {
-                "checks": lambda: quality.require(quality.check_star(star, quality.WAREHOUSE_RULES, skip_empty=True)),
+                "checks": lambda: _check(load, {name: star[name] for name in schemas.DIMENSIONS}),
                 "reports": lambda: update_reports(load, self.rows, touched, self.settings),
             },
         )
@@ -171,6 +172,13 @@ class Warehouse:
         return load.next
 
 
+def _check(load: Load, loaded: dict[str, DataFrame]) -> list[Row]:
+    """The rules of a load on its dimensions, and on its sales by the results stored for each month."""
+    update_checks(load)
+    sales = sales_report(load.spark, load.root, load.next, quality.WAREHOUSE_RULES[FACT])
+    return quality.require(quality.check_star(loaded, quality.WAREHOUSE_RULES, skip_empty=True).unionByName(sales))
+
+
 def update_reports(load: Load, rows: dict[str, int], touched: list[int] | None, settings: Settings = Settings()) -> None:
     """The reporting tables of a load, from its own star.
 
