@@ -41,3 +41,30 @@ def test_quality_counts(spark, small):
         assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), len(again))
         assert r.base_failed == (len(words) < 50 or 100 * len(again) > 50 * len(words))
         assert not (r.base_failed and r.kept)
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+    return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+
+BASE = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(part) <= 255 for part in m.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(re.sub("[^0-9]", "", m)) <= 19 and luhn(re.sub("[^0-9]", "", m))),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(re.sub("[^0-9]", "", m)) <= 15),
+}
+
+
+def test_personal_data_of_the_patterns(spark, small):
+    found = {r.doc_id: r for r in QUERIES["op2_personal_data"](spark, small).collect()}
+    total = Counter()
+    for doc_id, text in rows(spark, small):
+        spans = {kind: [m.span() for m in re.finditer(pattern, text) if right(m[0])] for kind, (pattern, right) in BASE.items()}
+        named = [f"{kind}:{start}:{end}" for kind, own in spans.items() for start, end in own]
+        r = found[doc_id]
+        assert {kind: r[f"n_{kind}"] for kind in BASE} == {kind: len(own) for kind, own in spans.items()}
+        assert r.base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+        assert set(named) <= set(r.spans.split(","))
+        total.update({kind: len(own) for kind, own in spans.items()})
+    assert total["email"] and total["ip"]
