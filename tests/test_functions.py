@@ -82,3 +82,11 @@ def test_a_number_that_would_be_lost_stops_the_job(frame, text):
 @pytest.mark.parametrize("text", ["NaN", "Infinity", "1e999", "0.0", "-0"])
 def test_what_is_no_finite_number_or_zero(frame, text):
     assert frame("t string", (text,)).select(to_number(F.col("t"))).first()[0] in (None, 0)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["2024-01-1T", "2024-01-1\t", "\t024-01-01", "+999-01-01", "2024-01- 1", "1T/01/2024", "1\t/01/2024", "anF 15 2024", "Jan 5  2024", "jan 15 2024", "2024-01-1\u0661"],
+)
+def test_dates_cut_by_place_are_as_strict_as_the_patterns(frame, text):
+    assert frame("t string", (text,)).select(parse_date(F.col("t"))).first()[0] is None

@@ -105,3 +105,24 @@ def test_audit_reads_each_source_once(spark, tmp_path):
         lines = audit(spark.read.schema(schema).parquet(str(tmp_path / name)), lookup)
         assert lines._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
         assert {(r.avant, r.apres) for r in lines.collect()} == {(0, 0)}
+
+
+def test_shuffles_start_with_more_partitions_for_more_rows(spark):
+    from starloom.session import ADVISORY, FIRST_PARTITIONS, HUGE_METHOD, fit_to_rows
+
+    before = {k: spark.conf.get(k, None) for k in (ADVISORY, FIRST_PARTITIONS, HUGE_METHOD)}
+    try:
+        for key in before:
+            spark.conf.unset(key)
+        fit_to_rows(spark, 60_000)
+        assert spark.conf.get(FIRST_PARTITIONS, None) is None and spark.conf.get(HUGE_METHOD) == "8000"
+        fit_to_rows(spark, 216_000_000)
+        assert spark.conf.get(FIRST_PARTITIONS) == "864"
+        fit_to_rows(spark, 36_000_000)
+        assert spark.conf.get(FIRST_PARTITIONS) == "864"
+        spark.conf.set(ADVISORY, "8m")
+        fit_to_rows(spark, 36_000_000)
+        assert spark.conf.get(ADVISORY) == "8m"
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
