@@ -500,7 +500,7 @@ def status_distribution(spark, folder):
 
 @_query
 def scd2_active_uniqueness(spark, folder):
-    return integrity.active_version_conflicts(warehouse(spark, folder).star)
+    return integrity.active_version_conflicts(warehouse(spark, folder).dimensions)
 
 
 @_query

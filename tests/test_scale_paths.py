@@ -126,3 +126,20 @@ def test_shuffles_start_with_more_partitions_for_more_rows(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _tables_built(spark, folder, monkeypatch, query):
+    """The names of the tables that a query stages on a warehouse of its own."""
+    from starloom.plans import catalogue, dimensions, facts
+
+    built = []
+    for module, name in ((dimensions, "product_dimension"), (dimensions, "client_dimension"), (facts, "sales_fact")):
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, plain=plain, name=name, **b: built.append(name) or plain(*a, **b))
+    monkeypatch.setattr(catalogue, "_warehouses", {})
+    assert catalogue.QUERIES[query](spark, folder).count() > 0
+    return built
+
+
+def test_queries_on_dimensions_alone_build_no_sales(spark, small, monkeypatch):
+    assert "sales_fact" not in _tables_built(spark, small, monkeypatch, "scd2_active_uniqueness")
