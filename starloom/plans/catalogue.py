@@ -365,8 +365,8 @@ def fait_ventes(spark, folder):
 FIRST_RUN, BACK_DATED_RUN, LAST_RUN = date(2021, 1, 1), date(2022, 7, 1), date(2024, 1, 1)
 
 
-def _with_history(w: Warehouse) -> dict[str, DataFrame]:
-    """The dimensions after three runs, the last of them back-dated, under other limits and other categories."""
+def _with_history(w: Warehouse, names: tuple[str, ...] = tuple(KEYS)) -> dict[str, DataFrame]:
+    """The dimensions, those named after three runs, the last of them back-dated, under other limits and other categories."""
 
     def clients_under(gold: str, silver: str, people: DataFrame) -> DataFrame:
         segments = client_segments(w.orders, replace(SETTINGS, gold_from=Decimal(gold), silver_from=Decimal(silver)))
@@ -376,20 +376,26 @@ def _with_history(w: Warehouse) -> dict[str, DataFrame]:
         renamed = F.when(F.length("nom") % nth == 0, F.concat("categorie", F.lit(ending))).otherwise(F.col("categorie"))
         return dimensions.product_dimension(w.products.withColumn("categorie", renamed), replace(SETTINGS, as_of=FIRST_RUN))
 
-    signed_up = w.clients.filter(F.col("date_inscription") < F.lit(date(2022, 1, 1)))
-    history = {
-        "dim_client": clients_under("6000000", "2000000", signed_up),
-        "dim_produit": products_named(1, ""),
-    }
-    runs = {
-        LAST_RUN: {"dim_client": clients_under("3000000", "1000000", w.clients), "dim_produit": products_named(3, " Bis")},
-        BACK_DATED_RUN: {"dim_client": clients_under("12000000", "4000000", w.clients), "dim_produit": products_named(2, " Ter")},
-    }
-    for day, incoming in runs.items():
-        for name, state in incoming.items():
-            sk, nk = f"{KEYS[name]}_sk", f"{KEYS[name]}_nk"
-            history[name] = merge_versions(history[name], one_per_key(state, sk, nk), sk, nk, TRACKED[name], day)
-    return {**w.dimensions, **{name: stage(df, name) for name, df in history.items()}}
+    def client_states():
+        signed_up = w.clients.filter(F.col("date_inscription") < F.lit(date(2022, 1, 1)))
+        yield None, clients_under("6000000", "2000000", signed_up)
+        yield LAST_RUN, clients_under("3000000", "1000000", w.clients)
+        yield BACK_DATED_RUN, clients_under("12000000", "4000000", w.clients)
+
+    def product_states():
+        yield None, products_named(1, "")
+        yield LAST_RUN, products_named(3, " Bis")
+        yield BACK_DATED_RUN, products_named(2, " Ter")
+
+    def history(name: str, states) -> DataFrame:
+        sk, nk = f"{KEYS[name]}_sk", f"{KEYS[name]}_nk"
+        merged = None
+        for day, state in states:
+            merged = state if day is None else merge_versions(merged, one_per_key(state, sk, nk), sk, nk, TRACKED[name], day)
+        return stage(merged, name)
+
+    states = {"dim_client": client_states, "dim_produit": product_states}
+    return {**w.dimensions, **{name: history(name, states[name]()) for name in names}}
 
 
 @_query
@@ -410,7 +416,7 @@ def fact_point_in_time(spark, folder):
 @_query
 def dim_client_history(spark, folder):
     """All versions of every client after three runs, the last of them back-dated."""
-    return _with_history(warehouse(spark, folder))["dim_client"].select(
+    return _with_history(warehouse(spark, folder), ("dim_client",))["dim_client"].select(
         "id_client_nk", "segment_client", "ville", "date_debut", "date_fin", "est_actif"
     )
 

@@ -143,3 +143,8 @@ def _tables_built(spark, folder, monkeypatch, query):
 
 def test_queries_on_dimensions_alone_build_no_sales(spark, small, monkeypatch):
     assert "sales_fact" not in _tables_built(spark, small, monkeypatch, "scd2_active_uniqueness")
+
+
+def test_client_history_merges_no_products(spark, small, monkeypatch):
+    built = _tables_built(spark, small, monkeypatch, "dim_client_history")
+    assert built.count("product_dimension") == 1 and built.count("client_dimension") == 4
