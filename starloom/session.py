@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
 # The JVM never compiles a method above 8000 bytes: a stage whose generated code is longer is cut into smaller methods instead.
@@ -18,6 +18,9 @@ FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 # A task that sorts so many wide rows, or what so many shuffled bytes unpack to, keeps them in memory.
 ROWS_PER_TASK, SHUFFLED_PER_TASK = 250_000, "16m"
+CODEC, STORED_CODEC = "spark.sql.parquet.compression.codec", "zstd"
+# Hardly a value of it repeats: a writer would fill a dictionary first and then give it up.
+_DISTINCT = "id_commande"
 
 
 def get_session(app: str = "starloom", master: str | None = None, **conf) -> SparkSession:
@@ -73,6 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
 
 
+def parquet_writer(df: DataFrame) -> DataFrameWriter:
+    """A writer of staged and stored tables: Zstandard, unless the session names a codec."""
+    writer = df.write.option(f"parquet.enable.dictionary#{_DISTINCT}", "false")
+    return writer if df.sparkSession.conf.get(CODEC, None) else writer.option("compression", STORED_CODEC)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df once as Parquet and return the written table.
 
@@ -81,7 +90,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    parquet_writer(df).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

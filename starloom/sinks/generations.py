@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from starloom.session import children, remove
+from starloom.session import children, parquet_writer, remove
 
 TOKEN = "generation"
 _MANIFEST = "manifestes"
@@ -117,7 +117,7 @@ class Load:
     def replace(self, name: str, df: DataFrame) -> str:
         """A whole table anew. df may read from the stored one."""
         path = f"{self.root}/{name}/{TOKEN}={self.token}"
-        df.write.parquet(path)
+        parquet_writer(df).parquet(path)
         self.next.tables[name], self.next.schemas[name] = self.token, df.schema.json()
         return path
 
@@ -131,7 +131,7 @@ class Load:
         for value in touched:
             live.pop(value, None)
         self.next.schemas[name] = df.drop(part).schema.json()
-        df.hint("rebalance", F.col(part)).write.partitionBy(part).parquet(path)
+        parquet_writer(df.hint("rebalance", F.col(part))).partitionBy(part).parquet(path)
         prefix = f"{part}="
         live.update((int(child.removeprefix(prefix)), self.token) for child in children(self.spark, path) if child.startswith(prefix))
 

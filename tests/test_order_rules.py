@@ -105,3 +105,16 @@ def test_dedup_prunes_copies_before_the_shuffle(frame):
     df = frame("id_commande int, valeur string, _arrivee int", (1, "a", 1))
     plan = rules.latest_orders(df)._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan[plan.index("Exchange") :] and "WindowGroupLimit" in plan
+
+
+def test_dates_are_read_once_before_older_copies_go(spark, lookup):
+    columns = "id_commande id_client id_produit date_commande quantite prix_unitaire statut ville_livraison mode_paiement id_livreur date_livraison"
+    schema = ", ".join(f"{c} string" for c in columns.split()) + ", _arrivee int"
+    line = lambda key, day, arrival: (key, "C", "P", day, "2", "10", "livre", "tanger", "m", "L", "", arrival)
+    raw = spark.createDataFrame([line("a", "2024-01-15", 1), line("a", "pas-une-date", 2), line("b", "pas-une-date", 1), line("b", "15/01/2024", 2)], schema)
+    cleaned = rules.clean_orders(raw, lookup)
+    # The last line counts, also where its date is not readable.
+    assert [(r.id_commande, r.date_commande) for r in cleaned.collect()] == [("b", date(2024, 1, 15))]
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Window [", 1)
+    assert "date_commande" in above and "as date" not in above and "as date" in below
