@@ -148,3 +148,31 @@ def test_queries_on_dimensions_alone_build_no_sales(spark, small, monkeypatch):
 def test_client_history_merges_no_products(spark, small, monkeypatch):
     built = _tables_built(spark, small, monkeypatch, "dim_client_history")
     assert built.count("product_dimension") == 1 and built.count("client_dimension") == 4
+
+
+def test_lines_are_shuffled_with_the_keys_of_small_dimensions(spark, small):
+    from dataclasses import replace
+
+    from starloom.plans import catalogue, facts
+
+    w = catalogue.warehouse(spark, small)
+    sizes = {name: 10 if name != "dim_produit" else 1000 for name in w.rows}
+    built = facts.sales_fact(w.orders, w.dimensions, sizes, replace(catalogue.SETTINGS, broadcast_rows=500))
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    # Below the window over products lie the joins to the small dimensions; their names go before it.
+    above, below = plan.split("Window [last(", 1)
+    assert "ville_livraison" not in above and "ville_livraison" in below
+    union = below.split("Union", 1)[1].split("Project [", 1)[1].split("\n", 1)[0]
+    assert "_sk_id_region" in union and "quantite_vendue" in union and "ville_livraison" not in union
+    assert rows(built) == rows(w.fact)
+
+
+def test_staged_tables_are_compressed_as_the_session_says(spark):
+    from starloom.session import CODEC, stage
+
+    assert all(".zstd." in path for path in stage(spark.range(3), "t").inputFiles())
+    spark.conf.set(CODEC, "snappy")
+    try:
+        assert all(".snappy." in path for path in stage(spark.range(3), "t").inputFiles())
+    finally:
+        spark.conf.unset(CODEC)
