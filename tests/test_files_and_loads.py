@@ -391,3 +391,18 @@ def test_the_newest_lot_is_right_and_lots_are_merged(spark, indexed, monkeypatch
         assert len(indexed.next.lots) <= 2
     found = key_index.known_months(spark, indexed.root, indexed.next, keys_of(spark, "k1", "k2", "n0", "n3", "n4"), "k", "m")
     assert sorted(tuple(r) for r in found.collect()) == [("k1", 202503), ("k2", 202403), ("n0", 202601), ("n3", 202601)]
+
+
+def test_few_keys_are_tried_where_they_touch_every_bucket(spark, indexed, monkeypatch):
+    monkeypatch.setattr(key_index, "FEW", 2)
+    tried, plain = [], key_index.candidates
+    monkeypatch.setattr(key_index, "candidates", lambda s, r, h, keys, key: tried.append(keys.count()) or plain(s, r, h, keys, key))
+    everything = spark.range(100).selectExpr("concat('k', id) as k")
+    touched = {(r[0], r[1]) for r in key_index.touched_buckets(spark, indexed.root, indexed.next, everything, "k")}
+    assert len(touched) == indexed.next.buckets and len(tried) == 1 and tried[0] < 80
+    assert key_index.known_months(spark, indexed.root, indexed.next, everything, "k", "m").count() == 100
+    # One key is not tried in vain if it is not among the few.
+    for k in range(8):
+        tried.clear()
+        assert key_index.known_months(spark, indexed.root, indexed.next, keys_of(spark, f"k{k}"), "k", "m").count() == 1
+        assert tried[-1] == 1 and len(tried) == 2

@@ -87,3 +87,15 @@ def test_no_sales(spark, tmp_path):
     new, checked = load(spark, str(tmp_path))
     assert checked == [] and month_checks.sales_report(spark, str(tmp_path), new.next).isEmpty()
     assert month_checks.results_by_month(spark, str(tmp_path), new.next).filter(F.lit(True)).isEmpty()
+
+
+def test_months_of_values_are_looked_up_only_where_some_repeat(spark, monkeypatch):
+    staged, plain = [], month_checks.stage
+    monkeypatch.setattr(month_checks, "stage", lambda df, name: staged.append(plain(df, name)) or staged[-1])
+    keyed = lambda *rows: spark.createDataFrame(rows, f"id_commande string, {MONTH} int")
+    apart = month_checks._repeated(keyed(("a", 202401), ("b", 202402), (None, 202402), (None, 202402)), "id_commande", "e0")
+    assert "Aggregate" not in apart._jdf.queryExecution().optimizedPlan().toString() and apart.count() == 0
+    twice = keyed(("a", 202401), ("a", 202402), ("a", 202402), ("b", 202402), ("c", 202403), (None, 202403), (None, 202403))
+    found = month_checks._repeated(twice, "id_commande", "e0")
+    assert sorted(tuple(r) for r in found.collect()) == [(202401, 1), (202402, 2)]
+    assert [df.count() for df in staged] == [0, 1]
