@@ -30,6 +30,11 @@ CLIENT = KeyMap("dim_client", "id_client", "id_client_nk", "id_client_sk", "id_c
 REGION = KeyMap("dim_region", "ville_livraison", "ville", "id_region", "id_region")
 COURIER = KeyMap("dim_livreur", "id_livreur", "id_livreur_nk", "id_livreur", "id_livreur")
 KEY_MAPS = (PRODUCT, CLIENT, REGION, COURIER)
+# What the star reads of a cleaned order line.
+ORDER_COLUMNS = (
+    "id_commande", "date_commande", "id_produit", "id_client", "ville_livraison", "id_livreur", "quantite", "montant_ht", "montant_ttc",
+    "delai_livraison_jours", "statut",
+)
 
 
 def resolve_key(
@@ -81,10 +86,7 @@ def sales_fact(
     """
     large = [k.order_column for k in KEY_MAPS if rows[k.dimension] > settings.broadcast_rows]
     hot = hot_keys(orders, large)
-    resolved = orders.select(
-        "id_commande", "date_commande", "id_produit", "id_client", "ville_livraison", "id_livreur",
-        F.col("quantite").cast("int").alias("quantite_vendue"), "montant_ht", "montant_ttc", "delai_livraison_jours", "statut",
-    )
+    resolved = orders.select(*[F.col(c).cast("int").alias("quantite_vendue") if c == "quantite" else c for c in ORDER_COLUMNS])
     for key in sorted(KEY_MAPS, key=lambda k: rows[k.dimension] > settings.broadcast_rows):
         resolved = resolve_key(resolved, dimensions[key.dimension], key, rows[key.dimension], settings, hot.get(key.order_column))
     keys = {

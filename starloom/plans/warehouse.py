@@ -61,8 +61,8 @@ class Warehouse:
 
     @cached_property
     def orders(self) -> DataFrame:
-        """Cleaned orders: read by the segments, the courier dimension and the fact."""
-        return stage(clean_orders(self.sources.orders(), self.cities, self.settings).drop(schemas.ARRIVAL), "commandes")
+        """Cleaned orders, what the segments, the courier dimension and the fact read of them: the rest is neither shuffled nor written."""
+        return stage(clean_orders(self.sources.orders(), self.cities, self.settings).select(*facts.ORDER_COLUMNS), "commandes")
 
     @cached_property
     def clients(self) -> DataFrame:
