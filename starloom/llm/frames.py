@@ -45,13 +45,17 @@ def prepare(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply work to each Arrow batch of df; the batches of a partition follow each other in one worker."""
+    """Apply work to each Arrow batch of df; the batches of a partition follow each other in one worker.
+
+    After its last batch the worker, which waits for the next task, gives the memory of the batches back.
+    """
     prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield work(batch)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -139,7 +139,9 @@ def schedule_table(spark: SparkSession, whole: Mapping[str, int], blocks: Mappin
                         }
                     )
 
-    rows = spark.createDataFrame(list(enumerate(waiting)), "j long, left array<long>").repartitionByRange(max(1, len(stretches)), "j")
+    # As an Arrow table, which needs no Python worker beside those of the operators.
+    given = pa.table({"j": pa.array(range(len(waiting)), pa.int64()), "left": pa.array(waiting, pa.list_(pa.int64()))})
+    rows = spark.createDataFrame(given).repartitionByRange(max(1, len(stretches)), "j")
     parts = rows.mapInArrow(scheduled, "_source string, _run long, _first long, _part array<long>")
     # A run that a cut divides comes in parts, at most run_blocks slots together.
     parts = parts.groupBy("_source", "_run").agg(F.sort_array(F.collect_list(F.struct("_first", "_part"))).alias("_parts"))
@@ -197,7 +199,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float], source: str = "source", k
     whole, blocks = whole_weights(given), {s: -(-n // how.block_rows) for s, n in counts.items()}
     total = sum(whole.values())
     slots = schedule_table(spark, whole, blocks, how)
-    weight = spark.createDataFrame([(s, whole[s] / total) for s in blocks], "_source string, share double")
+    shares = pa.array([whole[s] / total for s in blocks], pa.float64())
+    weight = spark.createDataFrame(pa.table({"_source": pa.array(list(blocks), pa.string()), "share": shares}))
     pattern = slots.join(weight, "_source")
     # Rows of a run, run_blocks * block_rows at most, share a key, so that no source is a hot one. The rows of an id
     # are cut into runs before the join and told apart after it.

@@ -10,8 +10,9 @@ record projects it to a span of the original UTF-8 text.
 
 Where no piece of the vocabulary holds anything before a space mark, or a line
 end, a text can be cut there without changing its pieces. Cut texts repeat their
-parts very often, so a worker encodes each part once (a bounded memory of
-parts). The library itself merges the pieces; exactness is that of the library.
+parts very often, so a worker encodes each part once (a memory bounded in parts
+and bytes, flat, so that a part costs little beyond its own bytes). The library
+itself merges the pieces; exactness is that of the library.
 
 Edge cases: a null text is empty and has no pieces; a text of blanks follows the
 model's settings; characters outside the vocabulary become byte pieces, or the
@@ -21,9 +22,10 @@ unknown piece; equal texts have equal results; repeated rows stay.
 from __future__ import annotations
 
 import hashlib
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ from starloom.llm.frames import map_batches, texts_of
 from starloom.llm.textscan import Spans, gather
 
 SPACE = "▁".encode()
-REMEMBERED_PARTS = 100_000
+# A worker forgets all parts when it holds more, of either.
+REMEMBERED_PARTS, REMEMBERED_BYTES = 100_000, 8 << 20
 
 
 class CharMap:
@@ -135,12 +138,47 @@ class Normaliser:
 
 @dataclass
 class Encoded:
-    """Per text: ids, the ids in decimal joined by commas, source bytes per piece, decoded text in UTF-8."""
+    """Per text: ids, source bytes per piece, decoded text in UTF-8. decimal holds every id in decimal, and where each starts."""
 
     ids: list[np.ndarray]
-    numbers: list[bytes]
     widths: list[np.ndarray]
     decoded: list[bytes]
+    decimal: tuple[np.ndarray, np.ndarray]
+
+    @property
+    def numbers(self) -> Iterator[bytes]:
+        """Per text the ids in decimal, joined by commas."""
+        digits, starts = self.decimal
+        for own in self.ids:
+            yield gather(digits, starts[own], starts[own + 1] - starts[own])[:-1].tobytes()
+
+
+class Remembered:
+    """Parts with their ids and decoded texts, which lie one after the other in two arrays."""
+
+    def __init__(self):
+        self.places: dict[bytes, int] = {}
+        self.ids, self.id_ends = array("i"), array("q", [0])
+        self.texts, self.text_ends = bytearray(), array("q", [0])
+
+    def full(self) -> bool:
+        return len(self.places) > REMEMBERED_PARTS or len(self.texts) > REMEMBERED_BYTES
+
+    def add(self, part: bytes, ids: list[int], text: str) -> None:
+        self.places[part] = len(self.places)
+        self.ids.extend(ids)
+        self.id_ends.append(len(self.ids))
+        self.texts += text.encode()
+        self.text_ends.append(len(self.texts))
+
+    def found(self, places: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and decoded bytes of the parts at these places, and where those from each of the bounds on start."""
+        made = []
+        for held, ends, kind in ((self.ids, self.id_ends, np.intc), (self.texts, self.text_ends, np.uint8)):
+            edges = np.frombuffer(ends, np.int64)
+            lengths = edges[places + 1] - edges[places]
+            made += [gather(np.frombuffer(held, kind), edges[places], lengths), np.concatenate(([0], np.cumsum(lengths)))[bounds]]
+        return tuple(made)
 
 
 class Pieces:
@@ -157,7 +195,8 @@ class Pieces:
         names = [library.id_to_piece(i) for i in range(library.get_piece_size())]
         single = [library.is_byte(i) for i in range(len(names))]
         mark = SPACE.decode()
-        self.numbers = [f"{i}," for i in range(len(names))]
+        numbers = [f"{i},".encode() for i in range(len(names))]
+        self.decimal = np.frombuffer(b"".join(numbers), np.uint8), np.cumsum([0, *map(len, numbers)])
         self.lengths = np.array([1 if b else len(n.encode()) for n, b in zip(names, single, strict=True)])
         self.marks = np.array([0 if b else n.count(mark) for n, b in zip(names, single, strict=True)])
         user_defined, bpe = 4, 2
@@ -171,7 +210,7 @@ class Pieces:
         if self.cuttable:
             proto.normalizer_spec.add_dummy_prefix = False
             self.parts = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        self.known: dict[bytes, tuple[bytes, bytes, bytes, bytes]] = {}
+        self.known = Remembered()
 
     def encode(self, texts: list[str]) -> Encoded:
         """The pieces of all texts."""
@@ -186,24 +225,17 @@ class Pieces:
         hashes = Spans(np.frombuffer(raw, np.uint8)).hash_spans(starts, ends)
         _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         parts = [raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        if len(self.known) > REMEMBERED_PARTS:
-            self.known.clear()
-        self._remember([part for part in parts if part not in self.known])
-        entries = [self.known[part] for part in parts]
-        bounds = np.searchsorted(starts, offsets)
-        joined = []
-        for k in range(4):
-            blobs = [entry[k] for entry in entries]
-            lengths = np.fromiter(map(len, blobs), np.int64, len(blobs))
-            own = np.concatenate(([0], np.cumsum(lengths)))
-            taken = gather(np.frombuffer(b"".join(blobs), np.uint8), own[place], lengths[place])
-            edges = np.concatenate(([0], np.cumsum(lengths[place])))[bounds]
-            joined.append([taken[i:j] for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)])
-        ids, widths = ([own.view("<i4") for own in joined[k]] for k in (0, 2))
-        for own in widths:
-            if len(own) and lead:
-                own[0] -= 1  # the dummy prefix is no part of the text
-        return Encoded(ids, [own[:-1].tobytes() for own in joined[1]], widths, [own[len(lead) :].tobytes() for own in joined[3]])
+        if self.known.full():
+            self.known = Remembered()
+        self._remember([part for part in parts if part not in self.known.places])
+        places = np.fromiter(map(self.known.places.__getitem__, parts), np.int64, len(parts))
+        ids, id_edges, decoded, edges = self.known.found(places[place], np.searchsorted(starts, offsets))
+        widths = (self.lengths[ids] - (len(SPACE) - 1) * self.marks[ids]).astype("<i4")
+        cut = list(zip(id_edges[:-1].tolist(), id_edges[1:].tolist(), strict=True))
+        if lead:
+            widths[[i for i, j in cut if i < j]] -= 1  # the dummy prefix is no part of the text
+        texts_out = [decoded[i + len(lead) : j].tobytes() for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        return Encoded([ids[i:j] for i, j in cut], [widths[i:j] for i, j in cut], texts_out, self.decimal)
 
     @staticmethod
     def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -216,26 +248,22 @@ class Pieces:
         return np.flatnonzero(starts)
 
     def _remember(self, parts: list[bytes]) -> None:
-        """Encode parts and keep, of each: ids, ids in decimal, source bytes per piece, decoded text."""
-        encoded = self.parts.encode([part.decode() for part in parts], num_threads=1)
-        decoded = self.parts.decode(encoded, num_threads=1)
-        ids = np.fromiter(chain.from_iterable(encoded), np.int32)
-        widths = (self.lengths[ids] - (len(SPACE) - 1) * self.marks[ids]).astype("<i4").tobytes()
-        data, numbers, at = ids.astype("<i4").tobytes(), self.numbers, 0
-        for part, own, text in zip(parts, encoded, decoded, strict=True):
-            end = at + 4 * len(own)
-            joined = "".join([numbers[i] for i in own])
-            self.known[part] = (data[at:end], joined.encode(), widths[at:end], text.encode())
-            at = end
+        """Encode parts and keep their ids and decoded texts."""
+        for first in range(0, len(parts), 1000):
+            some = parts[first : first + 1000]
+            encoded = self.parts.encode([part.decode() for part in some], num_threads=1)
+            decoded = self.parts.decode(encoded, num_threads=1)
+            for part, ids, text in zip(some, encoded, decoded, strict=True):
+                self.known.add(part, ids, text)
 
     def _encode_whole(self, texts: list[str]) -> Encoded:
         ids = self.library.encode(texts, num_threads=1)
         ends = [self.spans(text, own)[:, 1] for text, own in zip(texts, ids, strict=True)]
         return Encoded(
             [np.array(own, "<i4") for own in ids],
-            [",".join(map(str, own)).encode() for own in ids],
             [np.diff(own, prepend=0).astype("<i4") for own in ends],
             [own.encode() for own in self.library.decode(ids, num_threads=1)],
+            self.decimal,
         )
 
     def spans(self, text: str, ids: list[int]) -> np.ndarray:
