@@ -20,6 +20,15 @@ def checked_broadcast(df: DataFrame, limit: int = Settings.broadcast_rows, rows:
     return F.broadcast(df) if size <= limit else df
 
 
+def sized(df: DataFrame, rows: int, limit: int = Settings.broadcast_rows) -> DataFrame:
+    """Mark df for broadcast if its counted rows prove it small, and for a shuffle if they do not.
+
+    Left alone, Spark goes by the bytes of the files: columns that compress well, such as dense keys and repeated
+    names, would pass through the driver however many rows they have.
+    """
+    return F.broadcast(df) if rows <= limit else df.hint("merge")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[str, list]:
     """For each key column, all values above the given share of rows, and maybe a few below it.
 
@@ -59,6 +68,6 @@ def attach_by_key(
     aside = F.col(key).isNull() | is_hot
     salt = F.when(aside, F.pmod(F.hash(spread_by), F.lit(SPREAD)) + 1).otherwise(0)
     routed = facts.join(F.broadcast(few), key, "left").withColumn("_sel", salt)
-    joined = routed.join(cold, [key, "_sel"], "left")
+    joined = routed.join(sized(cold, lookup_rows, limit), [key, "_sel"], "left")
     found = [F.coalesce(F.col(f"_chaud_{c}"), F.col(c)).alias(c) for c in values]
     return joined.select(*facts.columns, *found)

@@ -40,7 +40,7 @@ def orphan_keys(star: dict[str, DataFrame]) -> DataFrame:
     """Fact rows without a partner in each dimension.
 
     One pass turns every fact row into its five keys and counts them per key
-    before anything is shuffled; the dimensions then meet distinct keys only.
+    before anything is shuffled; the dimensions then meet distinct keys only. Both sides grow with the data.
     """
     pairs = F.array(*[F.struct(F.lit(fk).alias("cle"), F.col(fk).cast("long").alias("valeur")) for fk in FOREIGN_KEYS])
     used = star["fait_ventes"].select(F.inline(pairs)).groupBy("cle", "valeur").agg(F.count("*").alias("n"))
@@ -54,7 +54,7 @@ def orphan_keys(star: dict[str, DataFrame]) -> DataFrame:
     label = F.concat(F.lit("fait -> "), F.element_at(F.create_map(
         *[F.lit(x) for fk, (dim, _) in FOREIGN_KEYS.items() for x in (fk, dim)]), F.col("cle")))
     return (
-        used.join(known, ["cle", "valeur"], "left")
+        used.join(known.hint("merge"), ["cle", "valeur"], "left")
         .groupBy("cle")
         .agg(F.sum(missing).alias("nb_orphelines"))
         .select(label.alias("check_name"), "nb_orphelines")

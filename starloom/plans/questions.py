@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.numbers import mean, percent
-from starloom.operators.lookup import attach_by_key
+from starloom.operators.lookup import sized
 from starloom.settings import DELIVERED, Settings
 
 
@@ -52,7 +52,7 @@ def basket_by_segment(star: dict[str, DataFrame], rows: dict[str, int], settings
     )
     active = star["dim_client"].filter("est_actif").select(F.col("id_client_sk").alias("id_client"), "segment_client")
     segments = (
-        per_client.join(active, "id_client")
+        per_client.join(sized(active, rows["dim_client"], settings.broadcast_rows), "id_client")
         .groupBy("segment_client")
         .agg(
             F.count("*").alias("nb_clients"),

@@ -45,9 +45,10 @@ def monthly_revenue(star: Star, rows: Rows, settings: Settings = Settings()) ->
     facts = star["fait_ventes"].filter(F.col("statut_commande") == DELIVERED).select(
         "id_date", "id_region", "id_produit", "id_client", "quantite_vendue", "montant_ht", "montant_ttc"
     )
-    joined = _with_days(facts, star, rows, ["annee", "mois", "trimestre", "libelle_mois", "periode_ramadan"])
+    # Products first: where they are too many to broadcast, the sales are shuffled for them without the names of days and cities.
+    joined = _with_product(facts, star, rows, ["categorie"], settings)
+    joined = _with_days(joined, star, rows, ["annee", "mois", "trimestre", "libelle_mois", "periode_ramadan"])
     joined = _with_regions(joined, star, rows, ["region_admin", "zone_geo", "ville"])
-    joined = _with_product(joined, star, rows, ["categorie"], settings)
     grouped = joined.groupBy(
         "annee", "mois", "trimestre", "libelle_mois", "periode_ramadan", "region_admin", "zone_geo", "ville", "categorie"
     ).agg(
@@ -69,20 +70,23 @@ def top_products(star: Star, rows: Rows, settings: Settings = Settings()) -> Dat
     )
     joined = _with_days(facts, star, rows, ["annee", "trimestre"])
     joined = _with_regions(joined, star, rows, ["ville"])
-    totals = joined.groupBy("annee", "trimestre", "ville", "id_produit").agg(
+    place = ["annee", "trimestre", "ville", "id_produit"]
+    # Shuffled by group, not by group and client: else the distinct count is shuffled a second time, with hardly fewer rows.
+    totals = joined.repartition(*place).groupBy(*place).agg(
         F.sum("quantite_vendue").alias("qte_totale"),
         F.sum("montant_ttc").alias("ca_total"),
         F.countDistinct("id_client").alias("nb_clients_distincts"),
     )
     # Names join the totals, not the sales; a (quarter, city) group holds at most one row per product.
     named = _with_product(totals, star, rows, ["nom_produit", "categorie", "marque"], settings)
+    # The larger groups first: the rows then lie right for the smaller ones, too.
     bound = rows["dim_produit"]
     ranked = rank_desc(
-        named, ["annee", "trimestre", "ville", "categorie"], "ca_total", "rang_dans_categorie", bound,
-        settings.rank_group_rows,
+        named, ["annee", "trimestre", "ville"], "ca_total", "rang_global", bound, settings.rank_group_rows
     )
     ranked = rank_desc(
-        ranked, ["annee", "trimestre", "ville"], "ca_total", "rang_global", bound, settings.rank_group_rows
+        ranked, ["annee", "trimestre", "ville", "categorie"], "ca_total", "rang_dans_categorie", bound,
+        settings.rank_group_rows,
     )
     return ranked.select(
         "annee", "trimestre", "ville", F.col("id_produit").alias("id_produit_sk"), "nom_produit", "categorie", "marque",

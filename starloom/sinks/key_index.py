@@ -52,8 +52,9 @@ def add_lot(load: Load, keys: DataFrame, key: str, month: str) -> None:
     rows = _placed(keys, key, load.next)
     target = f"{TOKEN}={load.token}"
     stored = f"{load.root}/{KEYS}/{target}"
-    # Shuffled by cell before it is aggregated: a bitmap a cell and task would be far larger than the keys.
-    spread = rows.select(key, "cellule", "paquet").repartition("cellule", "paquet").select("cellule", "paquet", F.explode(F.array(*_positions(key))).alias("bit"))
+    # Shuffled before it is aggregated: a bitmap a cell and task would be far larger than the keys. By bucket, as the keys: dealt
+    # by cell, every task would write a file into nearly every bucket, and their number would grow with the square of the keys.
+    spread = rows.select(key, "cellule", "paquet").repartition("paquet").select("cellule", "paquet", F.explode(F.array(*_positions(key))).alias("bit"))
     cells = spread.groupBy("cellule", "paquet").agg(F.bitmap_construct_agg("bit").alias("bits"))
     side_by_side(
         load.spark,

@@ -406,3 +406,18 @@ def test_few_keys_are_tried_where_they_touch_every_bucket(spark, indexed, monkey
         tried.clear()
         assert key_index.known_months(spark, indexed.root, indexed.next, keys_of(spark, f"k{k}"), "k", "m").count() == 1
         assert tried[-1] == 1 and len(tried) == 2
+
+
+def test_filters_are_one_file_a_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(key_index, "CELL_KEYS", 5)
+    monkeypatch.setattr(key_index, "BUCKET_KEYS", 250)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        load = generations.Load(spark, str(tmp_path))
+        key_index.add_lot(load, spark.range(2500).selectExpr("concat('k', id) as k", "202401 as m"), "k", "m")
+    finally:
+        spark.conf.set(coalesce, before)
+    assert load.next.buckets == 10 and len(list(tmp_path.glob("filtres/*/paquet=*/*.parquet"))) == 10
+    assert key_index.known_months(spark, load.root, load.next, keys_of(spark, "k7", "k2600"), "k", "m").collect() == [("k7", 202401)]

@@ -57,6 +57,24 @@ def test_no_task_gets_much_more_than_its_share(spark):
     assert sum(loads) == 60000 and max(loads) < 1.5 * 60000 / 16
 
 
+def test_a_large_lookup_is_shuffled_however_small_its_files(spark, tmp_path):
+    spark.range(50000).select("id", F.lit("always the same name").alias("nom")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    facts = spark.range(200000).select((F.col("id") % 50000).alias("id"), F.col("id").alias("ligne"))
+    joined = lookup.attach_by_key(facts, table, "id", F.col("ligne"), lookup_rows=50000, limit=1000, hot=[3])
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.filter("nom is not null").count() == 200000
+
+
+def test_products_per_quarter_and_city_are_shuffled_twice(spark, small):
+    from starloom.plans import catalogue, reports
+
+    w = catalogue.warehouse(spark, small)
+    plan = reports.top_products(w.star, w.rows, catalogue.SETTINGS)._jdf.queryExecution().executedPlan().toString()
+    # Once for the totals and once for both ranks; products, days and cities are broadcast.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_rank_in_bands_equals_rank(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 50 != 1, "b").alias("g"),
