@@ -13,6 +13,7 @@ from starloom import schemas
 from starloom.operators import quality
 from starloom.operators.cities import city_lookup
 from starloom.operators.clients import clean_clients
+from starloom.operators.lookup import sized
 from starloom.operators.orders import clean_orders
 from starloom.operators.products import clean_products
 from starloom.operators.segments import client_segments
@@ -188,7 +189,7 @@ def update_reports(load: Load, rows: dict[str, int], touched: list[int] | None,
     """
     star = star_of(load.spark, load.root, load.next)
     shown = {(table, columns) for tables in reports.SHOWN.values() for table, columns in tables.items()}
-    work = {key: lambda key=key: _attributes_changed(load, *key) for key in sorted(shown)}
+    work = {key: lambda key=key: _attributes_changed(load, *key, rows[key[0]], settings) for key in sorted(shown)}
     changed = side_by_side(load.spark, work) if touched is not None and load.base.tables else {}
 
     def update(name: str) -> None:
@@ -206,8 +207,8 @@ def update_reports(load: Load, rows: dict[str, int], touched: list[int] | None,
     side_by_side(load.spark, {name: lambda name=name: update(name) for name in reports.REPORTS})
 
 
-def _attributes_changed(load: Load, table: str, columns: tuple[str, ...]) -> bool:
-    """Whether a stored row of a dimension shows other attributes in this load, or is gone. The first column is the key.
+def _attributes_changed(load: Load, table: str, columns: tuple[str, ...], rows: int, settings: Settings) -> bool:
+    """Whether a stored row of a dimension, of so many rows, shows other attributes in this load, or is gone. The first column is the key.
 
     New days count, too: sales may be stored that lay outside the calendar.
     """
@@ -217,7 +218,7 @@ def _attributes_changed(load: Load, table: str, columns: tuple[str, ...]) -> boo
     named = new.select(*[F.col(c).alias(f"_{c}") for c in columns])
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns[1:]]
     key = F.col(columns[0]) == F.col(f"_{columns[0]}")
-    return not old.select(*columns).join(named, [key, *same], "left_anti").isEmpty()
+    return not old.select(*columns).join(sized(named, rows, settings.broadcast_rows), [key, *same], "left_anti").isEmpty()
 
 
 def star_of(spark: SparkSession, root: str, held: Generation) -> dict[str, DataFrame]:

@@ -101,7 +101,8 @@ def _extend(load: Load, incoming: DataFrame, keys: DataFrame, loaded_at: datetim
     merged = _merge(load, incoming, known, coming, leaving, time)
     changed = known.filter(F.col(MONTH) != F.col(BEFORE)).select(KEY, MONTH, LOADED)
     if sum(leaving.values()) < sum(coming.values()):
-        unseen = keys.join(known.select(KEY), KEY, "left_anti") if leaving else keys
+        # Known keys are as many as the batch may have, however small their file: they are not sent through the driver.
+        unseen = keys.join(known.select(KEY).hint("merge"), KEY, "left_anti") if leaving else keys
         changed = changed.unionByName(unseen.withColumn(LOADED, time))
     work = {
         "sales": lambda: load.rewrite(FACT, merged, MONTH, touched, True),

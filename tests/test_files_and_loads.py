@@ -421,3 +421,23 @@ def test_filters_are_one_file_a_bucket(spark, tmp_path, monkeypatch):
         spark.conf.set(coalesce, before)
     assert load.next.buckets == 10 and len(list(tmp_path.glob("filtres/*/paquet=*/*.parquet"))) == 10
     assert key_index.known_months(spark, load.root, load.next, keys_of(spark, "k7", "k2600"), "k", "m").collect() == [("k7", 202401)]
+
+
+def test_dimensions_are_compared_by_a_shuffle_unless_counted_as_small(spark, tmp_path, monkeypatch):
+    from dataclasses import replace
+
+    from starloom.plans import warehouse as plans
+
+    star, asked, plain = tiny_star(spark), [], plans.sized
+    load_star(spark, str(tmp_path), star, fact(spark, ("a", 20240105, 1, "livré")), T0)
+    monkeypatch.setattr(plans, "sized", lambda df, rows, limit: asked.append((rows, limit)) or plain(df, rows, limit))
+    load = generations.Load(spark, str(tmp_path))
+    for name, df in {**star, "dim_region": star["dim_region"].withColumn("ville", F.lit("neu"))}.items():
+        load.replace(name, df)
+    changed = {
+        name: plans._attributes_changed(load, name, tuple(columns), 7, replace(Settings(), broadcast_rows=limit))
+        for name, columns, limit in (("dim_region", ("id_region", "ville"), 3), ("dim_produit", ("id_produit_sk", "categorie"), 7))
+    }
+    assert changed == {"dim_region": True, "dim_produit": False} and asked == [(7, 3), (7, 7)]
+    marked = [plain(spark.range(7), *sizes)._jdf.queryExecution().analyzed().toString() for sizes in asked]
+    assert "merge" in marked[0] and "broadcast" in marked[1]
